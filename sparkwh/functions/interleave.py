@@ -30,6 +30,13 @@ def interleave_code(columns: list[tuple[Column, list]], bits: int) -> Column:
     return code
 
 
+def _picks(column: str, shares: list[float]) -> Column:
+    """The elements at the given shares of a sorted array column."""
+    last = F.size(column) - 1
+    places = [(F.lit(s) * last).cast("int") + 1 for s in shares]
+    return F.when(last >= 0, F.array(*[F.element_at(column, p) for p in places]))
+
+
 def quantile_bounds(df: DataFrame, columns: list[str], bits: int, seed: int = 7) -> list[list]:
     """Approximate bucket bounds per column: one aggregate over the table, a few values back to the driver.
 
@@ -48,9 +55,7 @@ def quantile_bounds(df: DataFrame, columns: list[str], bits: int, seed: int = 7)
         total = df.count()
         fraction = min(1.0, _SAMPLE_ROWS / max(total, 1))
         sample = df.select(*text).sample(fraction=fraction, seed=seed)
-        row = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in text]).select(*[
-            F.when(F.size(c) > 0, F.transform(F.array(*[F.lit(s) for s in shares]),
-                   lambda s, c=c: F.element_at(c, (s * (F.size(c) - 1)).cast("int") + 1))).alias(c)
-            for c in text]).first()
+        ordered = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in text])
+        row = ordered.select(*[_picks(c, shares).alias(c) for c in text]).first()
         found.update({c: row[c] or [] for c in text})
     return [sorted(set(found[c])) for c in columns]

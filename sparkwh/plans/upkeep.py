@@ -52,6 +52,8 @@ def selective_compact(spark: SparkSession, tables: dict[str, Column], layouts: d
 
     for table, deleted in tables.items():
         try:
+            if not spark.catalog.tableExists(table):
+                raise LookupError(f"no table {table}")
             gone, total = counts(table, deleted)
             needed = gone > min_deleted if ratio is None else gone > 0 and gone / total > ratio
             if needed:
