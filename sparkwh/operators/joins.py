@@ -12,49 +12,69 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` stays within both limits; counts and measures all of it, one row per task comes back."""
+    width = F.lit(0)
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 16
+        else:
+            width = width + 16
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its measured size allows that."""
+    return F.broadcast(df) if is_small(df) else df
+
+
+def matching_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of the target, or only those a small source asks for.
+
+    The keys of a small source are broadcast: the target is scanned, key columns only, and nothing of it is shuffled.
+    For a large source the target's keys are made distinct before they are shuffled, so a hot key is one row per task.
+    """
+    asked = source.select(*keys)
+    if is_small(asked):
+        found = target.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
+        return F.broadcast(found)
+    return target.select(*keys).distinct()
+
+
 def existing(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key is in the target."""
-    return source.join(target.select(*keys), keys, "left_semi")
+    return source.join(matching_keys(target, source, keys), keys, "left_semi")
 
 
 def missing(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key is not in the target.
+    """Source rows whose key is not in the target."""
+    return source.join(matching_keys(target, source, keys), keys, "left_anti")
 
-    The target is first cut down to the keys the source asks for. With a small batch that semi join broadcasts the
-    batch's keys, so a large target is scanned (key columns only) but never shuffled.
-    """
-    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    return source.join(matched, keys, "left_anti")
+
+def asked_for(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The target cut down to the keys of the source, where the source is small enough to broadcast them."""
+    asked = source.select(*keys)
+    return target.join(F.broadcast(asked), keys, "left_semi") if is_small(asked) else target
 
 
 def missing_within(source: DataFrame, target: DataFrame, keys: list[str], version_col: str, target_version_col: str,
                    tolerance: str) -> DataFrame:
     """Source rows for which the target has no row of the same key at or after ``version - tolerance``.
 
-    Only the newest target version of a key can decide that, so the target shrinks to one row per key before it is
-    shuffled, and a key with very many versions never meets its partners pair by pair.
+    Only the newest target version of a key can decide that, so the target shrinks to one row per key and task before it
+    is shuffled, and a key with very many versions never meets its partners pair by pair.
     """
-    wanted = target.join(source.select(*keys), keys, "left_semi")
-    newest = wanted.groupBy(*keys).agg(F.max(target_version_col).alias("_newest"))
+    newest = (asked_for(target.select(*keys, target_version_col), source, keys)
+              .groupBy(*keys).agg(F.max(target_version_col).alias("_newest")))
     s, t = source.alias("s"), newest.alias("t")
     on = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
     return s.join(t, on & (F.col("t._newest") >= F.col(f"s.{version_col}") - interval(tolerance)), "left_anti")
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` stays within both limits; reads no more than ``max_rows + 1`` rows of it."""
-    width = F.lit(0)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)) + 16
-        else:
-            width = width + 16
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-
-
 def broadcast_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
                   max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join with a replicated dimension. A dimension over the limits is joined by shuffle instead."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.numbering import with_position
 from ..functions.scalars import interval, ts
 from .filters import differs, recent
-from .joins import missing, missing_within
+from .joins import asked_for, missing, missing_within, sized
 from .reports import latest_version
 
 # The smallest value a mark can have, and the step to the next larger one.
@@ -70,7 +70,7 @@ def classify_changes(source: DataFrame, target: DataFrame, keys: list[str], comp
     ``window`` keeps only rows created in that span, plus all that differ. ``detect_deletes`` adds the target rows whose
     key left the source, as DELETE. Source and target must have one row per key.
     """
-    marked = target.select(*keys, *[F.col(c) for c in compare], F.lit(True).alias("_there"))
+    marked = asked_for(target.select(*keys, *compare), source, keys).withColumn("_there", F.lit(True))
     joined = source.alias("s").join(marked.alias("t"), _on("s", "t", keys), "left")
     there, changed = F.col("t._there").isNotNull(), differs("s", "t", compare, null_safe)
     if window is not None:
@@ -81,34 +81,33 @@ def classify_changes(source: DataFrame, target: DataFrame, keys: list[str], comp
                             ts(as_of).alias("processed_at"))
     if not detect_deletes:
         return stamped
-    gone = target.join(source.select(*keys), keys, "left_anti")
+    gone = missing(target, source, keys)
     return stamped.unionByName(gone.select(*kept, F.lit("DELETE").alias("operation_type"),
                                            ts(as_of).alias("processed_at")))
 
 
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` itself, failing at run time if a key occurs twice. Rows with a NULL key part are let through."""
+    """``df`` itself, failing at run time if a key without NULLs occurs twice. The count is a sub-query over the key
+    columns alone."""
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rest = [c for c in df.columns if c not in keys]
-    message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
-    packed = F.struct(*rest) if rest else F.struct(F.lit(0).alias("_none"))
-    grouped = df.where(~has_null).groupBy(*keys).agg(F.first(packed).alias("_row"), F.count(F.lit(1)).alias("_n"))
-    checked = grouped.withColumn("_row", F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_row")))
-    return (checked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
-            .unionByName(df.where(has_null)))
+    repeated = df.where(~has_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.max("_n"), F.lit(0)).alias("_most"))
+    message = F.lit(f"more than one source row for a value of {', '.join(keys)}")
+    return df.where(F.when(repeated.scalar() > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def update_from(target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str],
                 touch: dict[str, Column] | None = None, newer: str | None = None) -> DataFrame:
     """The target with ``cols`` overwritten where the changes have its key; ``touch`` sets further columns there.
 
-    ``newer`` names a version column: rows already at that version or later stay, the others take it too. A left join: a small batch is
-    broadcast and the target stays where it is; a large one is shuffled, and skew on the target side can be split.
+    ``newer`` names a version column: rows already at that version or later stay, the others take it too. A small
+    batch is broadcast and the target stays where it is; with a large one both are shuffled, and as this is a left join,
+    Spark can split what is skewed on the target's side.
     """
     touch = touch or {}
     carried = sorted(set(cols) | ({newer} if newer else set()))
     batch = changes.select(*keys, *carried, F.lit(True).alias("_hit"))
-    joined = target.alias("t").join(batch.alias("c"), _on("t", "c", keys), "left")
+    joined = target.alias("t").join(sized(batch).alias("c"), _on("t", "c", keys), "left")
     hit = F.col("c._hit").isNotNull()
     if newer:
         hit = hit & (F.col(f"t.{newer}").isNull() | (F.col(f"c.{newer}") > F.col(f"t.{newer}")))
@@ -156,7 +155,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], update
     """
     def of(kind: str) -> DataFrame:
         return changes.where(F.col("operation_type") == kind)
-    kept = target.join(of("DELETE").select(*keys), keys, "left_anti")
+    kept = target.join(sized(of("DELETE").select(*keys).distinct()), keys, "left_anti")
     updated = update_from(kept, of("UPDATE"), keys, update_cols, touch)
     return updated.unionByName(_shaped_like(of("INSERT"), target, touch or {}))
 

@@ -44,18 +44,14 @@ def compression_report(spark: SparkSession, tables: dict[str, tuple[str, str]],
     for name, (path, glob) in tables.items():
         one = column_chunks(spark, path, glob).withColumn("table_name", F.lit(name))
         report = one if report is None else report.unionByName(one)
-    flat = report.withColumn("encoding", F.explode("encodings"))
-    encodings = flat.groupBy("table_name", "column_name").agg(F.sort_array(F.collect_set("encoding")).alias("e"))
-    sizes = report.groupBy("table_name", "column_name").agg(
-        F.array_join(F.sort_array(F.collect_set("codec")), ",").alias("codec"),
-        F.countDistinct("path").alias("files"),
-        F.sum("value_count").alias("value_count"),
-        F.sum("compressed_bytes").alias("compressed_bytes"),
-        F.sum("uncompressed_bytes").alias("uncompressed_bytes"))
-    return (sizes.join(encodings, ["table_name", "column_name"])
-            .select(F.lit(schema_name).alias("schema_name"), "table_name", "column_name", "codec",
-                    F.array_join("e", ",").alias("encodings"), "files", "value_count", "compressed_bytes",
-                    "uncompressed_bytes",
-                    F.round(1 - F.col("compressed_bytes") / F.nullif(F.col("uncompressed_bytes"), F.lit(0)), 4)
-                    .alias("saved"))
+    saved = 1 - F.col("compressed_bytes") / F.nullif(F.col("uncompressed_bytes"), F.lit(0))
+    return (report.groupBy("table_name", "column_name").agg(
+                F.array_join(F.sort_array(F.collect_set("codec")), ",").alias("codec"),
+                F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("encodings")))), ",")
+                .alias("encodings"),
+                F.count_if(F.col("row_group") == 0).alias("files"),
+                F.sum("value_count").alias("value_count"),
+                F.sum("compressed_bytes").alias("compressed_bytes"),
+                F.sum("uncompressed_bytes").alias("uncompressed_bytes"))
+            .withColumn("saved", F.round(saved, 4)).withColumn("schema_name", F.lit(schema_name))
             .orderBy("schema_name", "table_name", "column_name"))
