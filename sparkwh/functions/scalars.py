@@ -21,13 +21,30 @@ def seconds(n: Column) -> Column:
 
 
 def trunc_ts(unit: str, col: Column) -> Column:
-    """``date_trunc`` that stays zone-less."""
-    return F.date_trunc(unit, col).cast("timestamp_ntz")
+    """Start of the day, hour, minute or any longer unit, without passing through a time zone."""
+    day = col.cast("date").cast("timestamp_ntz")
+    if unit == "day":
+        return day
+    if unit == "hour":
+        return day + F.make_dt_interval(F.lit(0), F.hour(col))
+    if unit == "minute":
+        return day + F.make_dt_interval(F.lit(0), F.hour(col), F.minute(col))
+    return F.trunc(col, unit).cast("timestamp_ntz")
+
+
+def whole_seconds(start: Column, end: Column) -> Column:
+    """Whole seconds between two zone-less timestamps."""
+    return F.floor((end - start).cast("interval second").cast("decimal(20,6)")).cast("bigint")
 
 
 def parse_ts(col: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Text to a zone-less timestamp; text that does not fit the pattern gives NULL."""
-    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+    """Text to a zone-less timestamp; text that does not fit the pattern gives NULL.
+
+    Spark's forgiving parser only makes zoned timestamps, so the text is read as UTC and counted up from the epoch.
+    """
+    instant = F.try_to_timestamp(F.concat(col, F.lit(" Z")), F.lit(fmt + " X"))
+    since = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return ts("1970-01-01") + seconds(since)
 
 
 def int_ratio(a: Column, b: Column) -> Column:

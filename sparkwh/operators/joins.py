@@ -27,19 +27,19 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if its measured size allows that."""
-    return F.broadcast(df) if is_small(df) else df
+def sized(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """``df``, marked for broadcast if its size allows that; ``small`` passes on a measurement already made."""
+    return F.broadcast(df) if (is_small(df) if small is None else small) else df
 
 
-def matching_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def matching_keys(target: DataFrame, source: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
     """Distinct keys of the target, or only those a small source asks for.
 
     The keys of a small source are broadcast: the target is scanned, key columns only, and nothing of it is shuffled.
     For a large source the target's keys are made distinct before they are shuffled, so a hot key is one row per task.
     """
     asked = source.select(*keys)
-    if is_small(asked):
+    if is_small(asked) if small is None else small:
         found = target.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
         return F.broadcast(found)
     return target.select(*keys).distinct()
@@ -50,9 +50,9 @@ def existing(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame
     return source.join(matching_keys(target, source, keys), keys, "left_semi")
 
 
-def missing(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+def missing(source: DataFrame, target: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
     """Source rows whose key is not in the target."""
-    return source.join(matching_keys(target, source, keys), keys, "left_anti")
+    return source.join(matching_keys(target, source, keys, small), keys, "left_anti")
 
 
 def asked_for(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

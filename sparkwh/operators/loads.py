@@ -10,9 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.numbering import with_position
-from ..functions.scalars import interval, ts
+from ..functions.scalars import interval, trunc_ts, ts
 from .filters import differs, recent
-from .joins import asked_for, missing, missing_within, sized
+from .joins import asked_for, is_small, missing, missing_within, sized
 from .reports import latest_version
 
 # The smallest value a mark can have, and the step to the next larger one.
@@ -97,7 +97,8 @@ def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def update_from(target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str],
-                touch: dict[str, Column] | None = None, newer: str | None = None) -> DataFrame:
+                touch: dict[str, Column] | None = None, newer: str | None = None,
+                small: bool | None = None) -> DataFrame:
     """The target with ``cols`` overwritten where the changes have its key; ``touch`` sets further columns there.
 
     ``newer`` names a version column: rows already at that version or later stay, the others take it too. A small
@@ -107,7 +108,7 @@ def update_from(target: DataFrame, changes: DataFrame, keys: list[str], cols: li
     touch = touch or {}
     carried = sorted(set(cols) | ({newer} if newer else set()))
     batch = changes.select(*keys, *carried, F.lit(True).alias("_hit"))
-    joined = target.alias("t").join(sized(batch).alias("c"), _on("t", "c", keys), "left")
+    joined = target.alias("t").join(sized(batch, small).alias("c"), _on("t", "c", keys), "left")
     hit = F.col("c._hit").isNotNull()
     if newer:
         hit = hit & (F.col(f"t.{newer}").isNull() | (F.col(f"c.{newer}") > F.col(f"t.{newer}")))
@@ -138,12 +139,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     """The target with matching rows overwritten and new rows added; ``touch`` is set on both.
 
     A key twice in the source is an error, as it is for any upsert; ``check=False`` skips that test for sources known
-    to be unique. The source is read twice; stage it if it is costly to compute.
+    to be unique. The source is read several times; stage it if it is costly to compute.
     """
+    small = is_small(source)
     if check:
         source = one_row_per_key(source, keys)
-    updated = update_from(target, source, keys, update_cols, touch, newer)
-    added = _shaped_like(missing(source, target, keys), target, touch or {})
+    updated = update_from(target, source, keys, update_cols, touch, newer, small)
+    added = _shaped_like(missing(source, target, keys, small), target, touch or {})
     return updated.unionByName(added)
 
 
@@ -198,7 +200,7 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 def daily_transform(staging: DataFrame, as_of: str) -> DataFrame:
     """Sales since the start of yesterday, stamped with the processing time."""
-    today = F.date_trunc("day", ts(as_of)).cast("timestamp_ntz")
+    today = trunc_ts("day", ts(as_of))
     return (staging.where(F.col("sale_date") >= today - interval("1 DAY"))
             .select("sale_id", "customer_id", "product_id", "sale_amount", "sale_date", "region", "store_id",
                     ts(as_of).alias("processed_at")))

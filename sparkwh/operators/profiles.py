@@ -37,14 +37,25 @@ def most_common_values(df: DataFrame, columns: list[str], k: int = 10) -> DataFr
         F.round(F.col("value_count") / total, 6).alias("frequency"))
 
 
-def _correlation(df: DataFrame, column: str, place: str) -> DataFrame:
-    """Correlation of a column's rank with the row order. Equal values rank in row order, so each rank is one row and a
-    value that fills the table is still split over many tasks."""
-    known = df.where(F.col(column).isNotNull()).select(column, place)
-    ranked = with_position(known, [column, place], "_rank")
-    return ranked.agg(F.lit(column).alias("column_name"),
-                      F.round(F.corr(F.col(place).cast("double"), F.col("_rank").cast("double")), 6)
-                      .alias("correlation"))
+def _correlations(df: DataFrame, columns: list[str], place: str) -> DataFrame:
+    """Correlation of each column's rank with the row order.
+
+    All columns are ranked in one global order of (column, value, place): a value sits in the slot of its own type, so it
+    sorts as that type. Equal values rank in row order, so each rank is one row and a value that fills the table is
+    still split over many tasks. The ranks of a column start somewhere in the middle, which a correlation ignores.
+    """
+    types = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
+    slots = [f"_v{i}" for i in range(len(types))]
+
+    def entry(c: str) -> Column:
+        own = df.schema[c].dataType.simpleString()
+        values = [(F.col(c) if t == own else F.lit(None).cast(t)).alias(s) for s, t in zip(slots, types)]
+        return F.struct(F.lit(c).alias("column_name"), *values)
+    known = reduce(lambda a, b: a | b, [F.col(s).isNotNull() for s in slots])
+    long = df.select(place, F.inline(F.array(*[entry(c) for c in columns]))).where(known)
+    ranked = with_position(long, ["column_name", *slots, place], "_rank")
+    return ranked.groupBy("column_name").agg(
+        F.round(F.corr(F.col(place).cast("double"), F.col("_rank").cast("double")), 6).alias("correlation"))
 
 
 def column_profile(df: DataFrame, columns: list[str], order_by: list[str] | None = None, k: int = 10) -> DataFrame:
@@ -66,8 +77,7 @@ def column_profile(df: DataFrame, columns: list[str], order_by: list[str] | None
     if order_by is None:
         return out.withColumn("correlation", F.lit(None).cast("double"))
     placed = with_position(df.select(*dict.fromkeys([*columns, *order_by])), order_by, "_place")
-    placed = stage(placed.select(*columns, "_place"), "placed")
-    correlations = reduce(DataFrame.unionByName, [_correlation(placed, c, "_place") for c in columns])
+    correlations = _correlations(placed, columns, "_place")
     return out.join(correlations, "column_name", "left")
 
 

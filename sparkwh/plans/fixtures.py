@@ -73,7 +73,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales with text dates; a seventh of them carry no time of day and an eleventh are no date at all."""
-    stamp = F.date_format("sale_date", "yyyy-MM-dd HH:mm:ss")
+    stamp = F.col("sale_date").cast("string")
     key = F.col("sale_id")
     return sales(spark, sf_dir).select(
         "sale_id", "product_id", "customer_id", "sale_amount",

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.scalars import ts
+from ..functions.scalars import ts, whole_seconds
 from ..operators.joins import missing
 from ..operators.loads import daily_transform, upsert
 from ..sources.files import extract
@@ -91,14 +91,10 @@ def new_run_log(spark: SparkSession, run_log: str) -> None:
     spark.createDataFrame([], RUN_LOG_SCHEMA).write.parquet(run_log)
 
 
-def _seconds(start: str, end: str):
-    return F.unix_timestamp(F.col(end).cast("timestamp")) - F.unix_timestamp(F.col(start).cast("timestamp"))
-
-
 def run_details(run_log: DataFrame) -> DataFrame:
     """Status, duration, retries and error of every step."""
     return run_log.select("pipeline", "task", "status", "start_time", "end_time",
-                          _seconds("start_time", "end_time").alias("duration_seconds"), "retry_count",
+                          whole_seconds(F.col("start_time"), F.col("end_time")).alias("duration_seconds"), "retry_count",
                           "error_message", "rows")
 
 
@@ -115,5 +111,5 @@ def run_summary(run_log: DataFrame) -> DataFrame:
               .when(F.col("completed_tasks") == F.col("total_tasks"), "completed")
               .when(F.col("start_time").isNull(), "pending").otherwise("running"))
     return grouped.select(F.col("pipeline").alias("pipeline_name"), status.alias("status"), "start_time", "end_time",
-                          _seconds("start_time", "end_time").alias("duration_seconds"), "total_tasks",
+                          whole_seconds(F.col("start_time"), F.col("end_time")).alias("duration_seconds"), "total_tasks",
                           "completed_tasks", "failed_tasks", "rows")

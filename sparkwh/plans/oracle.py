@@ -409,7 +409,7 @@ ORACLE = {
         SELECT pipeline AS pipeline_name,
                CASE WHEN failed_tasks > 0 THEN 'failed' WHEN completed_tasks = total_tasks THEN 'completed'
                     WHEN start_time IS NULL THEN 'pending' ELSE 'running' END AS status, start_time, end_time,
-               CAST(floor(epoch(end_time)) - floor(epoch(start_time)) AS BIGINT) AS duration_seconds,
+               CAST((epoch_us(end_time) - epoch_us(start_time)) // 1000000 AS BIGINT) AS duration_seconds,
                total_tasks, completed_tasks, failed_tasks, "rows"
         FROM (SELECT pipeline, min(start_time) AS start_time, max(end_time) AS end_time, count(*) AS total_tasks,
                      count(*) FILTER (WHERE status = 'completed') AS completed_tasks,
@@ -417,7 +417,7 @@ ORACLE = {
               FROM run_log GROUP BY pipeline)"""),
     "run_details": using("run_log", """
         SELECT pipeline, task, status, start_time, end_time,
-               CAST(floor(epoch(end_time)) - floor(epoch(start_time)) AS BIGINT) AS duration_seconds, retry_count,
+               CAST((epoch_us(end_time) - epoch_us(start_time)) // 1000000 AS BIGINT) AS duration_seconds, retry_count,
                error_message, "rows" FROM run_log"""),
     # Streams
     "stream_append": using("src_orders", "SELECT * FROM src_orders"),

@@ -22,10 +22,20 @@ SETTINGS = {
 _local_bases: dict[str, str] = {}
 
 
-def builder(app_name: str = "sparkwh", **extra: str) -> SparkSession.Builder:
-    """A session builder with the settings the library is written for."""
+# Shuffled bytes a task should get, so that it sorts in memory.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def builder(app_name: str = "sparkwh", data_bytes: int | None = None, **extra: str) -> SparkSession.Builder:
+    """A session builder with the settings the library is written for.
+
+    ``data_bytes``, the size of the largest input, sets the number of shuffle partitions; adaptive execution merges
+    those that turn out small.
+    """
     out = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = {} if data_bytes is None else {
+        "spark.sql.shuffle.partitions": str(min(100_000, max(200, data_bytes // TASK_BYTES)))}
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         out = out.config(key, value)
     return out
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.scalars import seconds, ts
+from ..session import stage
+
 # Only the fields used below; everything else in an event is skipped by the JSON reader.
 _EVENT_SCHEMA = """
   `Event` STRING, `executionId` BIGINT, `description` STRING, `time` BIGINT,
@@ -19,9 +22,11 @@ _BLOCK_BYTES = 1_048_576
 
 def load_query_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per SQL execution: text, scheduler pool, times, rows and bytes read, peak memory, spilled blocks."""
-    events = (spark.read.schema(_EVENT_SCHEMA).json(path)
-              .withColumn("app", F.regexp_replace(F.input_file_name(), r"^.*/|\.inprogress$", "")))
     event = F.col("Event")
+    # The text is parsed once; the few fields of the few kinds of event that matter are then read several times.
+    events = stage(spark.read.schema(_EVENT_SCHEMA).json(path)
+                   .where(event.isin(_SQL + "Start", _SQL + "End", "SparkListenerJobStart", "SparkListenerTaskEnd"))
+                   .withColumn("app", F.regexp_replace(F.input_file_name(), r"^.*/|\.inprogress$", "")), "events")
     started = events.where(event == _SQL + "Start").select(
         "app", F.col("executionId").alias("query_id"), F.col("description").alias("query"),
         F.col("time").alias("start_ms"))
@@ -49,7 +54,7 @@ def load_query_log(spark: SparkSession, path: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
 
     def at(column: str):
-        return F.timestamp_millis(F.col(column)).cast("timestamp_ntz")
+        return ts("1970-01-01") + seconds(F.col(column).cast("decimal(18,3)") / 1000)
 
     return (started.join(ended, ["app", "query_id"], "left").join(work, ["app", "query_id"], "left")
             .select("app", "query_id", "query", F.coalesce("pool", F.lit("default")).alias("service_class"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .files import file_sizes
@@ -13,29 +12,34 @@ _CHUNKS = ("path STRING, row_group INT, column_name STRING, codec STRING, encodi
            "value_count BIGINT, compressed_bytes BIGINT, uncompressed_bytes BIGINT")
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs
-    import pyarrow.parquet as pq
+def _footer_reader(names: list[str]):
+    """The task's function, built here so that it travels to executors by value: they need pyarrow, not this package."""
 
-    names = [field.split(" ")[0] for field in _CHUNKS.split(", ")]
-    for batch in batches:
-        for path in batch["path"]:
-            fs, inner = pyarrow.fs.FileSystem.from_uri(path)
-            with fs.open_input_file(inner) as handle:
-                footer = pq.read_metadata(handle)
-            rows = []
-            for group in range(footer.num_row_groups):
-                meta = footer.row_group(group)
-                for place in range(meta.num_columns):
-                    chunk = meta.column(place)
-                    rows.append((path, group, chunk.path_in_schema, chunk.compression, list(chunk.encodings),
-                                 chunk.num_values, chunk.total_compressed_size, chunk.total_uncompressed_size))
-            yield pd.DataFrame(rows, columns=names)
+    def read(batches: Iterator) -> Iterator:
+        import pandas as pd
+        import pyarrow.fs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path in batch["path"]:
+                fs, inner = pyarrow.fs.FileSystem.from_uri(path)
+                with fs.open_input_file(inner) as handle:
+                    footer = pq.read_metadata(handle)
+                rows = []
+                for group in range(footer.num_row_groups):
+                    meta = footer.row_group(group)
+                    for place in range(meta.num_columns):
+                        chunk = meta.column(place)
+                        rows.append((path, group, chunk.path_in_schema, chunk.compression, list(chunk.encodings),
+                                     chunk.num_values, chunk.total_compressed_size, chunk.total_uncompressed_size))
+                yield pd.DataFrame(rows, columns=names)
+    return read
 
 
 def column_chunks(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """One row per column chunk. Each executor opens the footers of its share of the files."""
-    return file_sizes(spark, path, glob).select("path").mapInPandas(_read_footers, _CHUNKS)
+    return file_sizes(spark, path, glob).select("path").mapInPandas(
+        _footer_reader([field.split(" ")[0] for field in _CHUNKS.split(", ")]), _CHUNKS)
 
 
 def compression_report(spark: SparkSession, tables: dict[str, tuple[str, str]], schema_name: str = "public") -> DataFrame:

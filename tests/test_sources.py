@@ -213,3 +213,6 @@ def test_stream_dedup_forgets_after_the_tolerance(spark):
 def test_builder_settings():
     assert session.SETTINGS["spark.sql.adaptive.enabled"] == "true"
     assert isinstance(session.builder("x"), SparkSession.Builder)
+    sized = session.builder("x", data_bytes=100 << 40)
+    assert sized._options["spark.sql.shuffle.partitions"] == "100000"
+    sized._options.pop("spark.sql.shuffle.partitions")

@@ -201,6 +201,15 @@ def test_encodings_and_codec(spark):
     assert rows(spark.table(table)) == rows(numbers(spark))
 
 
+def test_reencode_an_existing_table(spark):
+    table = new_name("t")
+    tables.save_table(numbers(spark), table, Layout(codec="snappy"))
+    tables.publish(spark.table(table), table, Layout(encodings={"id": "delta"}, codec="gzip"))
+    chunk = pq.read_metadata(data_files(spark, table)[0]).row_group(0).column(0)
+    assert chunk.compression == "GZIP" and "DELTA_BINARY_PACKED" in chunk.encodings
+    assert rows(spark.table(table)) == rows(numbers(spark))
+
+
 def test_layout_rejects_nonsense():
     for bad in ({"dist": "odd"}, {"dist": "key"}, {"key": "a"}, {"sort": ("a",), "interleave": ("b",)},
                 {"codec": "lzo"}, {"encodings": {"a": "huffman"}},
