@@ -210,4 +210,4 @@ def load_history(history: DataFrame, as_of: str, span: str = "24 HOURS") -> Data
     """Loads of the last span, newest first."""
     return (recent(history, "call_time", as_of, span)
             .select("procedure_name", "call_time", "total_time", "rows_processed", "success_flag")
-            .orderBy(F.col("call_time").desc(), "procedure_name"))
+            .orderBy(F.col("call_time").desc(), "procedure_name", "rows_processed"))

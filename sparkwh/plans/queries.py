@@ -323,9 +323,9 @@ def daily_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def throughput(spark: SparkSession, sf: str) -> DataFrame:
-    runs = filters.recent(fx.batch_runs(spark, sf), "processing_date", EVENTS_NOW, "7 DAYS").drop("batch_id")
+    runs = filters.recent(fx.batch_runs(spark, sf), "processing_date", EVENTS_NOW, "7 DAYS")
     return reports.throughput(runs, "records_processed", "processing_time_seconds").orderBy(
-        F.col("processing_date").desc())
+        F.col("processing_date").desc(), "batch_id").drop("batch_id")
 
 
 @query

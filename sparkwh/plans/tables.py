@@ -7,12 +7,14 @@ and then made current by changing the table's location in the catalog, so reader
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.loads import delete_where, upsert
-from ..session import new_name, new_path, stage
-from .layout import Layout, writer, writer_options
+from ..session import new_name, new_path
+from ..sources.files import file_sizes
+from .layout import Layout, writer
 
 
 def save_table(df: DataFrame, table: str, layout: Layout = Layout(), path: str | None = None) -> None:
@@ -51,35 +53,60 @@ def publish(df: DataFrame, table: str, layout: Layout = Layout()) -> str:
     return old
 
 
+# Up to this many partitions are named one by one; beyond it, by the values of each column.
+NAMED_PARTITIONS = 200
+
+
 def in_partitions(df: DataFrame, columns: list[str]) -> Column:
-    """A predicate for the partitions ``df`` has rows in; it prunes directories.
+    """A predicate that holds in the partitions ``df`` has rows in, and prunes directories. For very many partitions of
+    several columns it may hold in others too.
 
     Only partition values travel through the driver: as many as the batch touches directories.
     """
     values = df.select(*columns).distinct().collect()
+
+    def one_of(c: str) -> Column:
+        found = {v[c] for v in values}
+        known = F.col(c).isin([v for v in found if v is not None])
+        return known | F.col(c).isNull() if None in found else known
     if not values:
         return F.lit(False)
-    if len(columns) == 1:
-        known = [v[0] for v in values if v[0] is not None]
-        hit = F.col(columns[0]).isin(known) if known else F.lit(False)
-        return hit | F.col(columns[0]).isNull() if len(known) < len(values) else hit
+    if len(columns) == 1 or len(values) > NAMED_PARTITIONS:
+        return reduce(lambda a, b: a & b, [one_of(c) for c in columns])
     each = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in columns]) for v in values]
     return reduce(lambda a, b: a | b, each)
 
 
+def _spec(folder: str, depth: int) -> str:
+    """The partition a folder name like ``.../a=1/b=x`` stands for, as SQL."""
+    parts = []
+    for step in folder.split("/")[-depth:]:
+        name, _, value = step.partition("=")
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"`{name}`=NULL" if value == "__HIVE_DEFAULT_PARTITION__" else f"`{name}`='{text}'")
+    return ", ".join(parts)
+
+
+def _point(spark: SparkSession, table: str, spec: str, folder: str) -> None:
+    place = folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+
+
 def overwrite_partitions(df: DataFrame, table: str, partition_by: tuple[str, ...], layout: Layout = Layout()) -> None:
     """Replace exactly the partitions ``df`` has rows in.
 
-    The rows are staged first: they may come from the table itself, and a failure while directories are being exchanged
-    is repaired by running the second write again from the stage.
+    The new files go to a folder of their own, so ``df`` may read the table and a failed write changes nothing; then the
+    catalog is pointed at it, partition by partition.
     """
-    spark = df.sparkSession
-    base = location(spark, table)
-    staged = stage(df, "partitions")
+    spark, new = df.sparkSession, new_path(df.sparkSession, "partitions")
     shaped = Layout(partition_by=partition_by, sort=layout.sort, encodings=layout.encodings, codec=layout.codec)
-    (writer(staged, shaped).mode("overwrite").options(**writer_options(shaped))
-     .option("partitionOverwriteMode", "dynamic").save(base))
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    writer(df, shaped).save(new)
+    # A listing, reduced on the executors to one name per partition written.
+    folders = file_sizes(spark, new).select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.collect():
+        if "=" in row["folder"].rsplit("/", 1)[-1]:
+            _point(spark, table, _spec(row["folder"], len(partition_by)), row["folder"])
     spark.catalog.refreshTable(table)
 
 
@@ -110,14 +137,13 @@ def delete_from(spark: SparkSession, table: str, predicate: Column, layout: Layo
 def replace_partitions(before: DataFrame, after: DataFrame, table: str, layout: Layout) -> None:
     """Write ``after`` over the partitions of ``before``; a partition that ends up empty is pointed at an empty folder."""
     spark, parts = before.sparkSession, list(layout.partition_by)
-    had = before.select(*parts).distinct()
-    has = after.select(*parts).distinct()
+    had, has = before.select(*parts).distinct(), after.select(*parts).distinct()
     same = reduce(lambda a, b: a & b, [had[c].eqNullSafe(has[c]) for c in parts])
     emptied = had.join(has, same, "left_anti").select(*[F.col(c).cast("string").alias(c) for c in parts]).collect()
     overwrite_partitions(after, table, layout.partition_by, layout)
     for row in emptied:
         nothing = new_path(spark, "empty")
         after.drop(*parts).where(F.lit(False)).write.parquet(nothing)
-        spec = ", ".join(f"{c}='{row[c]}'" if row[c] is not None else f"{c}=NULL" for c in parts)
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{nothing}'")
+        steps = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else quote(row[c], safe=' ')}" for c in parts]
+        _point(spark, table, _spec("/".join(steps), len(parts)), nothing)
     spark.catalog.refreshTable(table)
