@@ -82,13 +82,15 @@ def key_skew(df: DataFrame, key: str, n: int, bucket: Column | None = None) -> D
 
 
 def zone_ranges(df: DataFrame, col: str) -> DataFrame:
-    """Smallest and largest value per file."""
+    """Smallest and largest value per file, by reading the column. ``sources.footers.column_ranges`` gives the same from
+    the footers of Parquet files."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.min(col).alias("min_value"), F.max(col).alias("max_value"))
+        F.count(F.lit(1)).alias("row_count"), F.min(col).alias("min_value"), F.max(col).alias("max_value"),
+        F.lit(True).alias("known"))
 
 
-def zone_overlap(df: DataFrame, col: str, lo: Column, hi: Column) -> DataFrame:
+def zone_overlap(ranges: DataFrame, lo: Column, hi: Column) -> DataFrame:
     """How many files a range filter has to open: few if the sort order is effective."""
-    hit = (F.col("max_value") >= lo) & (F.col("min_value") <= hi)
-    return zone_ranges(df, col).agg(F.count(F.lit(1)).alias("file_count"), F.count_if(hit).alias("files_hit"),
-                                    F.sum("row_count").alias("row_count"))
+    inside = (F.col("max_value") >= lo) & (F.col("min_value") <= hi)
+    return ranges.agg(F.count(F.lit(1)).alias("file_count"), F.count_if(~F.col("known") | inside).alias("files_hit"),
+                      F.sum("row_count").alias("row_count"))

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.scalars import ts, whole_seconds
 from ..operators.joins import missing
 from ..operators.loads import daily_transform, upsert
+from ..session import stage
 from ..sources.files import extract
-from .tables import append
+from .layout import Layout
+from .tables import append, upsert_table
 
 RUN_LOG_SCHEMA = ("pipeline STRING, task STRING, status STRING, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, "
                   "retry_count INT, error_message STRING, rows BIGINT")
@@ -53,6 +55,38 @@ def daily_sales_job(spark: SparkSession, source: str, target: DataFrame, as_of:
     return upsert(target, daily_transform(staging, as_of), ["sale_id"], SALES_UPDATE, {"updated_at": ts(as_of)})
 
 
+def logged(spark: SparkSession, run_log: str, pipeline: str, task: str, work: Callable[[], int | None]) -> int | None:
+    """Do one step, which returns its number of rows, and note how it went; a failure is noted and raised again."""
+    def now() -> str:
+        return datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+    begin = now()
+    try:
+        rows = work()
+    except Exception as error:
+        log_step(spark, run_log, pipeline, task, "failed", begin, now(), error=str(error).split("\n", 1)[0])
+        raise
+    log_step(spark, run_log, pipeline, task, "completed", begin, now(), rows)
+    return rows
+
+
+def daily_sales_load(spark: SparkSession, source: str, table: str, as_of: str, run_log: str, fmt: str = "parquet",
+                     layout: Layout = Layout()) -> None:
+    """The daily job on a catalog table, with its steps in the run log. The day's rows are counted while they are
+    staged, and staged so that the source is read once."""
+    name, held = "daily_sales", {}
+
+    def transform() -> int:
+        counted, seen = with_metrics(daily_transform(extract(spark, source, fmt=fmt), as_of), f"{name}_{as_of}")
+        held["day"] = stage(counted, "day")
+        return seen.get["rows"]
+
+    def load() -> int:
+        upsert_table(held["day"], table, ["sale_id"], SALES_UPDATE, {"updated_at": ts(as_of)}, layout=layout)
+        return held["rows"]
+    held["rows"] = logged(spark, run_log, name, "transform", transform)
+    logged(spark, run_log, name, "load", load)
+
+
 def load_batches(assigned: DataFrame, table: str, id_col: str, run_log: str, name: str, as_of: str) -> None:
     """Append each batch of ``operators.loads.batch_assign`` as its own commit, noting it in the run log at ``run_log``.
 

@@ -56,10 +56,17 @@ class Layout:
             raise ValueError(f"unknown encodings {sorted(unknown)}")
 
 
+def _hashable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_hashable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _hashable(data_type.elementType)
+    return not isinstance(data_type, (T.MapType, T.VariantType))
+
+
 def _tie_split(df: DataFrame) -> list:
     """A last range column that splits rows with equal sort values over several partitions."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return [row_hash(plain)]
+    return [row_hash([f.name for f in df.schema.fields if _hashable(f.dataType)])]
 
 
 def _by_range(df: DataFrame, columns: list, files: int | None) -> DataFrame:

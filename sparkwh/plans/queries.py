@@ -172,11 +172,14 @@ def layout_all_join(spark: SparkSession, sf: str) -> DataFrame:
     return joins.broadcast_dim(parts, spark.table(table), ["category_id"])
 
 
+def _sorted(spark: SparkSession, sf: str) -> str:
+    return fx.written(spark, sf, "sales_sorted", lambda p: write_files(
+        fx.sales(spark, sf), p, Layout(sort=SALES_SORT, files=8)))
+
+
 @query
 def layout_compound_sort(spark: SparkSession, sf: str) -> DataFrame:
-    path = fx.written(spark, sf, "sales_sorted", lambda p: write_files(
-        fx.sales(spark, sf), p, Layout(sort=SALES_SORT)))
-    return files.read_parquet(spark, path)
+    return files.read_parquet(spark, _sorted(spark, sf))
 
 
 @query
@@ -608,7 +611,12 @@ def key_skew(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zone_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    return keep.zone_overlap(layout_compound_sort(spark, sf), "sale_date", ts(MONTH[0]), ts(MONTH[1]))
+    """Files a month's filter opens in the sorted table: by reading the column, and by the footers."""
+    lo, hi = ts(MONTH[0]), ts(MONTH[1])
+    read = keep.zone_overlap(keep.zone_ranges(layout_compound_sort(spark, sf), "sale_date"), lo, hi)
+    footer = footers.column_ranges(spark, _sorted(spark, sf), "sale_date", "timestamp_ntz")
+    return read.withColumn("source", F.lit("column")).unionByName(
+        keep.zone_overlap(footer, lo, hi).withColumn("source", F.lit("footer")))
 
 
 # --- Query log -------------------------------------------------------------------------------------------------------

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from sparkwh.functions.scalars import ts
 from sparkwh.operators import joins, loads
-from sparkwh.operators.upkeep import analyze_table, column_statistics, key_skew, zone_overlap
+from sparkwh.operators.upkeep import analyze_table, column_statistics, key_skew, zone_overlap, zone_ranges
+from sparkwh.plans import fixtures as fx
 from sparkwh.plans import jobs, tables, upkeep
 from sparkwh.plans.layout import ENCODING_NAMES, Layout, arrange, write_files
 from sparkwh.session import new_name, new_path, stage
+from sparkwh.sources import footers
 
-from .conftest import rows
+from .conftest import SF, rows
 
 
 def numbers(spark, n=1000):
@@ -180,10 +182,27 @@ def test_compound_sort_reaches_few_files(spark):
     path = new_path(spark, "sorted")
     df = spark.range(20_000).repartition(8).select("id", (ts("2024-01-01") + F.make_dt_interval(mins=F.col("id"))).alias("at"))
     write_files(df, path, Layout(sort=("at",), files=8))
-    got = zone_overlap(spark.read.parquet(path), "at", ts("2024-01-02"), ts("2024-01-03")).first()
+    got = zone_overlap(zone_ranges(spark.read.parquet(path), "at"), ts("2024-01-02"), ts("2024-01-03")).first()
     assert got["file_count"] == 8 and got["files_hit"] <= 3 and got["row_count"] == 20_000
 
 
+def test_footers_give_the_same_ranges(spark):
+    path = new_path(spark, "zones")
+    k = F.col("id")
+    df = spark.range(5000).select(
+        "id", (k / 7).alias("d"), (k / 100).cast("decimal(12,2)").alias("m"), F.concat(F.lit("n"), k).alias("s"),
+        (ts("2024-01-01") + F.make_dt_interval(secs=k)).alias("t"), F.date_add(F.lit("2024-01-01"), (k % 90).cast("int")).alias("day"),
+        F.when(k % 3 == 0, k).alias("some"), F.lit(None).cast("int").alias("none"))
+    write_files(df, path, Layout(sort=("id",), files=6))
+    back = spark.read.parquet(path)
+    for column, data_type in df.dtypes:
+        seen = footers.column_ranges(spark, path, column, data_type)
+        assert seen.where("NOT known").count() == 0
+        assert rows(seen.select("row_count", "min_value", "max_value")) == \
+            rows(zone_ranges(back, column).select("row_count", "min_value", "max_value"))
+    assert footers.column_ranges(spark, path, "absent", "int").where("known").count() == 0
+
+
 def test_equal_sort_values_are_split(spark):
     df = spark.range(10_000).withColumn("same", F.lit(1))
     sizes = arrange(df, Layout(sort=("same",), files=8)).groupBy(F.spark_partition_id()).count().collect()
@@ -199,7 +218,7 @@ def test_interleave_narrows_every_column(spark):
     back = spark.read.parquet(path)
     assert set(back.columns) == {"a", "b", "c"} and back.count() == 40_000
     for column, value in (("a", F.lit(10)), ("b", F.lit(150)), ("c", F.lit("n042"))):
-        got = zone_overlap(back, column, value, value).first()
+        got = zone_overlap(zone_ranges(back, column), value, value).first()
         assert got["files_hit"] <= 0.6 * got["file_count"]
 
 
@@ -304,6 +323,24 @@ def test_metrics_count_without_a_second_scan(spark):
     assert got["records_loaded"] == 42 and got["target"] == table
 
 
+def test_daily_load_of_a_table_is_logged_and_repeatable(spark):
+    table, log, source = new_name("w"), new_path(spark, "log"), new_path(spark, "in")
+    fx.sales(spark, SF).write.parquet(source)
+    tables.save_table(fx.warehouse_sales(spark, SF), table)
+    jobs.new_run_log(spark, log)
+    for _ in range(2):
+        jobs.daily_sales_load(spark, source, table, "2001-07-01 00:00:00", log)
+        want = jobs.daily_sales_job(spark, source, fx.warehouse_sales(spark, SF), "2001-07-01 00:00:00")
+        assert rows(spark.table(table)) == rows(want)
+    noted = spark.read.parquet(log).where("status = 'completed'")
+    assert noted.count() == 4 and {r["rows"] for r in noted.collect()} == {
+        fx.sales(spark, SF).where("sale_date >= '2001-06-30'").count()}
+    with pytest.raises(ValueError):
+        jobs.daily_sales_load(spark, "ftp://x", table, "2001-07-01 00:00:00", log)
+    failed = spark.read.parquet(log).where("status = 'failed'").collect()
+    assert [(r["task"], r["error_message"]) for r in failed] == [("transform", "Unsupported source type: ftp://x")]
+
+
 def test_run_summary(spark):
     log = new_path(spark, "log")
     jobs.new_run_log(spark, log)
