@@ -46,15 +46,11 @@ def quantile_bounds(df: DataFrame, columns: list[str], bits: int, seed: int = 7)
     parts = 1 << bits
     shares = [i / parts for i in range(1, parts)]
     text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    found: dict[str, list] = {}
     other = [c for c in columns if c not in text]
-    if other:
-        row = df.agg(*[F.percentile_approx(c, shares, 1000).alias(c) for c in other]).first()
-        found.update({c: row[c] or [] for c in other})
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.percentile_approx(c, shares, 1000).alias(c) for c in other]).first()
+    found: dict[str, list] = {c: row[c] or [] for c in other}
     if text:
-        total = df.count()
-        fraction = min(1.0, _SAMPLE_ROWS / max(total, 1))
-        sample = df.select(*text).sample(fraction=fraction, seed=seed)
+        sample = df.select(*text).sample(fraction=min(1.0, _SAMPLE_ROWS / max(row["_rows"], 1)), seed=seed)
         ordered = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in text])
         row = ordered.select(*[_picks(c, shares).alias(c) for c in text]).first()
         found.update({c: row[c] or [] for c in text})

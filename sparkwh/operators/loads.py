@@ -123,7 +123,7 @@ def update_from(target: DataFrame, changes: DataFrame, keys: list[str], cols: li
     return joined.select(*[result(c) for c in target.columns])
 
 
-def _shaped_like(df: DataFrame, target: DataFrame, extra: dict[str, Column]) -> DataFrame:
+def shaped_like(df: DataFrame, target: DataFrame, extra: dict[str, Column]) -> DataFrame:
     """``df`` with the target's columns: by name, then from ``extra``, else NULL."""
     def column(field: T.StructField) -> Column:
         if field.name in extra:
@@ -145,7 +145,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     if check:
         source = one_row_per_key(source, keys)
     updated = update_from(target, source, keys, update_cols, touch, newer, small)
-    added = _shaped_like(missing(source, target, keys, small), target, touch or {})
+    added = shaped_like(missing(source, target, keys, small), target, touch or {})
     return updated.unionByName(added)
 
 
@@ -159,7 +159,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], update
         return changes.where(F.col("operation_type") == kind)
     kept = target.join(sized(of("DELETE").select(*keys).distinct()), keys, "left_anti")
     updated = update_from(kept, of("UPDATE"), keys, update_cols, touch)
-    return updated.unionByName(_shaped_like(of("INSERT"), target, touch or {}))
+    return updated.unionByName(shaped_like(of("INSERT"), target, touch or {}))
 
 
 def purge_staging(staging: DataFrame, as_of: str, older_than: str = "1 HOUR",
@@ -184,8 +184,7 @@ def batch_assign(source: DataFrame, target: DataFrame, id_col: str, batch_size:
     """
     pending = incremental_by_id(source, target, id_col)
     placed = with_position(pending, [id_col, *(tiebreak or [])], "_position")
-    return placed.withColumn("batch_no", F.floor(F.col("_position") / F.lit(batch_size)).cast("bigint")
-                             ).drop("_position")
+    return placed.withColumn("batch_no", F.call_function("div", "_position", F.lit(batch_size))).drop("_position")
 
 
 def default_fill(df: DataFrame, col: str, value: Column) -> DataFrame:
