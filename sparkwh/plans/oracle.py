@@ -74,6 +74,7 @@ FIXTURES = {
 NEEDS = {"tgt_orders": ["src_orders"], "sales_text": ["sales"], "sales_month": ["sales"], "warehouse_sales": ["sales"],
          "counts": ["sales", "facts", "src_orders", "tgt_orders"]}
 
+REPORTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 ORDER = "order_id, customer_id, order_date, total_amount, status, created_at"
 
 
@@ -220,6 +221,9 @@ ORACLE = {
         TIMESTAMP '2024-01-31 00:00:00' - to_seconds(h(2, 31536000)) AS "timestamp",
         CASE h(3, 4) WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'D' END AS category,
         CASE h(4, 2) WHEN 0 THEN 'SYS1' ELSE 'SYS2' END AS source_system""", "events", "event_id"),
+    "compression_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, column_name, value_count FROM (SELECT count(*) AS value_count FROM {t}) CROSS JOIN "
+        f"(SELECT column_name FROM (DESCRIBE {t}))" for t in REPORTED),
     # Sinks and layout
     "append_load": using("src_orders tgt_orders", f"""SELECT {ORDER} FROM tgt_orders
         UNION ALL SELECT {ORDER} FROM src_orders WHERE order_id NOT IN (SELECT order_id FROM tgt_orders)"""),
