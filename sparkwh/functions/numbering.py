@@ -62,8 +62,9 @@ def with_previous(df: DataFrame, order_by: list[Column | str], columns: list[str
     # One row per range partition: the last row of the partition before it.
     carried = last.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_carried"))
     inside = Window.partitionBy("_part").orderBy("_row")
+    # The window has already brought the rows together by _part, so this join moves only the few carried rows.
     return (placed.withColumn("_inside", F.lag(packed).over(inside))
-            .join(F.broadcast(carried), "_part")
+            .join(carried, "_part")
             .withColumn("_prev", F.when(F.col("_row") == 0, F.col("_carried")).otherwise(F.col("_inside")))
             .select(*df.columns, "_prev"))
 

@@ -38,7 +38,7 @@ def load_with_metrics(df: DataFrame, table: str, as_of: str) -> DataFrame:
 def sql_transform(spark: SparkSession, text: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
     """A transform given as SQL: ``:name`` takes a value from ``args``, ``{name}`` a DataFrame."""
     if not text:
-        raise ValueError("SQL not specified for transform")
+        raise ValueError("a SQL transform needs SQL")
     return spark.sql(text, args=args or {}, **frames)
 
 

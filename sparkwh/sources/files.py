@@ -42,7 +42,7 @@ def extract(spark: SparkSession, source: str | None, *, fmt: str = "parquet",
             schema: str | T.StructType | None = None, **options) -> DataFrame:
     """Read from wherever ``source`` points: a file URL or path, or ``jdbc:``."""
     if not source:
-        raise ValueError("Source not specified for extract")
+        raise ValueError("extract needs a source")
     if source.startswith("jdbc:"):
         return spark.read.format("jdbc").options(**jdbc_options(source, **options)).load()
     scheme, found, _ = source.partition(":/")

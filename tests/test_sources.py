@@ -67,7 +67,7 @@ def test_extract_rejects_other_sources(spark):
         with pytest.raises(ValueError, match="Unsupported source type"):
             files.extract(spark, bad)
     for none in (None, ""):
-        with pytest.raises(ValueError, match="Source not specified"):
+        with pytest.raises(ValueError, match="needs a source"):
             files.extract(spark, none)
 
 
