@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, duck
+from sparkwh.plans.oracle import ORACLE
+from sparkwh.plans.queries import REGISTRY
 
 from .conftest import SF
 
@@ -18,14 +20,15 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_agrees(spark, con, name):
     good, note = compare(spark, con, name, SF)
     assert good and "TYPES" not in note, note
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(REGISTRY) - set(ORACLE) == WITHOUT_SQL
+    assert set(ORACLE) <= set(REGISTRY)
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
