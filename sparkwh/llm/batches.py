@@ -85,12 +85,19 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprint and row of every word, in text order. ``fold_case`` takes A-Z as a-z."""
+#: Bytes that make words: everything but white space; ASCII letters and digits and all longer characters.
+SOLID = ~_IS_SPACE
+ALPHANUMERIC = np.zeros(256, bool)
+ALPHANUMERIC[48:58] = ALPHANUMERIC[65:91] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
+
+
+def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool = True,
+          kind: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprint and row of every run of bytes of a ``kind``, in text order. ``fold_case`` takes A-Z as a-z."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    solid = ~_IS_SPACE[data]
+    solid = kind[data]
     before = np.empty(n, bool)
     before[0], before[1:] = False, solid[:-1]
     after = np.empty(n, bool)
