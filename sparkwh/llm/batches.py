@@ -149,6 +149,37 @@ def shingle_sets(h: np.ndarray, row: np.ndarray, size: int, n_rows: int) -> tupl
     return s, at, np.bincount(at, minlength=n_rows)
 
 
+def _runs(columns: list[np.ndarray]) -> np.ndarray:
+    """Starts of runs of rows that are equal in all columns, and the end."""
+    n = len(columns[0])
+    change = np.zeros(max(n - 1, 0), bool)
+    for c in columns:
+        change |= c[1:] != c[:-1]
+    return np.concatenate([[0], np.flatnonzero(change) + 1, [n]]) if n else np.zeros(1, int)
+
+
+def grouped(batches, keys: int):
+    """Arrow tables of the rows of one group after another; rows come sorted by the first ``keys`` columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = _runs([batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)])
+        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in range(keys)):
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        if len(cuts) > 2:
+            first = batch.slice(0, cuts[1])
+            yield pa.Table.from_batches([*held, first]).combine_chunks()
+            held = []
+            whole = pa.Table.from_batches([batch])
+            for a, b in zip(cuts[1:-2], cuts[2:-1]):
+                yield whole.slice(a, b - a)
+        held.append(batch.slice(cuts[-2]))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark longs with the same bits."""
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
