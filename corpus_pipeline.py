@@ -1,18 +1,64 @@
-"""The corpus pipeline: language ID, exact dedup, near dedup, benchmark decontamination, packing."""
+"""The corpus pipeline: language ID, exact dedup, near dedup, benchmark decontamination, packing.
+
+Every stage takes the documents that the one before kept, read from Parquet, and applies its operator's decisions to the
+rows; all columns pass through untouched up to packing, which returns the pieces of the training sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkwh.llm import exact_dedup, packing
+from sparkwh.llm import decontamination, exact_dedup, language, near_dedup, packing
+from sparkwh.llm.filters import without
 from sparkwh.llm.queries import vocabulary_path
+from sparkwh.session import stage
+
+# Near duplicates on shingles of five words, links at a similarity of 0.8 or more.
+NEAR = near_dedup.NearParameters(shingle=5)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a language (NULL, no letters). If nothing has a label to learn from, nothing is dropped."""
+    model = language.fit(docs)
+    return language.keep_identified(docs, model) if model.languages else docs
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of every group of texts that are equal but for white space. Rows without a ``doc_id`` go."""
+    return exact_dedup.keep_one(docs, exact_dedup.exact_groups(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest ``doc_id`` of every component; rows that share a ``doc_id`` stay if one of them does."""
+    groups = near_dedup.near_groups(docs, NEAR).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return without(docs, stage(groups.where("not kept and doc_id is not null").select("doc_id"), "near_copies"))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = decontamination.overlaps(docs, benchmark).select("doc_id").distinct()
+    return without(docs, stage(leaks, "leaks"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, vocabulary_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("packing", pack),
+]
 
-STAGES = []
+# Classifier, sketches and token merging have no SQL form; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

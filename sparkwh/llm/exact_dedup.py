@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
 from .batches import SPACES
+from .filters import split
 
 MAP_TRIE_BYTES = 32 << 20
 OWNER_TRIE_BYTES = 128 << 20
+_SHA, _POINTS = "__text_sha256", "__n_points"
 
 
 class _Node:
@@ -156,10 +158,10 @@ def _batch(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Recor
                                       names=[n for n, _ in schema])
 
 
-_MAPPED = [("row", pa.int64()), ("doc_id", pa.int64()), ("owner", pa.int64()), ("text_sha256", pa.string()),
+_MAPPED = [("row", pa.int64()), ("doc_id", pa.int64()), ("owner", pa.int64()), ("text_sha256", pa.string()), ("own_points", pa.int64()),
            ("n_bytes", pa.int64()), ("content_hash", pa.int64()), ("norm", pa.binary()), ("n", pa.int64()),
            ("points", pa.int64()), ("best_id", pa.int64()), ("best_row", pa.int64())]
-_MAPPED_SQL = ("row long, doc_id long, owner long, text_sha256 string, n_bytes long, content_hash long, norm binary, "
+_MAPPED_SQL = ("row long, doc_id long, owner long, text_sha256 string, own_points long, n_bytes long, content_hash long, norm binary, "
                "n long, points long, best_id long, best_row long")
 _OWNED = [("owner", pa.int64()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64())]
 _OWNED_SQL = "owner long, keep_id long, keep_row long, group_size long"
@@ -173,13 +175,13 @@ def _map_side(trie_bytes: int):
     def flush(trie, rows):
         owned = {value[0]: (key, value) for key, value in trie.items()}
         out = []
-        for number, doc_id, owner, digest in rows:
+        for number, doc_id, owner, digest, own in rows:
             if owner == number:
                 key, (_, n, best) = owned[owner]
                 hashed = xxhash.xxh3_64_intdigest(key) - (1 << 63)
-                out.append((number, doc_id, owner, digest, len(key), hashed, key, n, *best))
+                out.append((number, doc_id, owner, digest, own, len(key), hashed, key, n, *best))
             else:
-                out.append((number, doc_id, owner, digest) + (None,) * 7)
+                out.append((number, doc_id, owner, digest, own) + (None,) * 7)
         return _batch(out, _MAPPED)
 
     def run(batches):
@@ -189,7 +191,7 @@ def _map_side(trie_bytes: int):
                 text = text or ""
                 key = text.encode().translate(None, SPACES)
                 owner = trie.insert(key, (number, 1, (len(text), doc_id, number)))[0]
-                rows.append((number, doc_id, owner, hashlib.sha256(key).hexdigest()))
+                rows.append((number, doc_id, owner, hashlib.sha256(key).hexdigest(), len(text)))
                 if trie.held + 300 * len(rows) > trie_bytes:
                     yield flush(trie, rows)
                     trie, rows = PatriciaTrie(merge, 1 << 62), []
@@ -221,7 +223,7 @@ def _owner_side(trie_bytes: int):
 def exact_groups(docs: DataFrame, map_trie_bytes: int = MAP_TRIE_BYTES,
                  owner_trie_bytes: int = OWNER_TRIE_BYTES) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``; other columns are ignored): ``doc_id``, ``keep_id``,
-    ``group_size``, ``kept``, ``text_sha256`` of the text without white space.
+    ``group_size``, ``kept``, ``text_sha256`` of the text without white space, ``n_points`` of the text as it is.
 
     Of equal texts the row with the most code points stays, then the smallest ``doc_id``, a NULL id last, and of fully
     repeated rows exactly one. NULL and blank texts are one group, of the empty text. An empty table gives no rows.
@@ -232,5 +234,22 @@ def exact_groups(docs: DataFrame, map_trie_bytes: int = MAP_TRIE_BYTES,
              .repartition("n_bytes", "content_hash")
              .select("owner", "norm", "n", "points", "best_id", "best_row")
              .mapInArrow(_owner_side(owner_trie_bytes), _OWNED_SQL))
-    return (mapped.select("row", "doc_id", "owner", "text_sha256").join(owned, "owner")
-            .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256"))
+    return (mapped.select("row", "doc_id", "owner", "text_sha256", "own_points").join(owned, "owner")
+            .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256",
+                    F.col("own_points").alias("n_points")))
+
+
+def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay by ``groups`` (from ``exact_groups``), with all their columns.
+
+    Only rows whose id has a row that goes, or more than one row, are joined; of rows that agree in id, text without white
+    space and length one stays. Rows with NULL ``doc_id`` have no identity and go.
+    """
+    groups = stage(groups.where("doc_id is not null"), "exact_groups")
+    odd = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("all")).where("n > 1 or not all")
+    sure, maybe = split(docs.where("doc_id is not null"), odd.select(F.col("doc_id").alias("key")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    marked = maybe.withColumns({_SHA: F.sha2(F.translate(text, SPACES.decode(), ""), 256), _POINTS: F.char_length(text).cast("long")})
+    stays = groups.where("kept").select("doc_id", F.col("text_sha256").alias(_SHA), F.col("n_points").alias(_POINTS)).distinct()
+    chosen = marked.join(stays, ["doc_id", _SHA, _POINTS], "left_semi").dropDuplicates(["doc_id", _SHA, _POINTS])
+    return sure.unionByName(chosen.select(*docs.columns))

@@ -149,6 +149,27 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS,
     return CodeModel(languages, code, w, b, trust, buckets, margin)
 
 
+def _decoded(model: CodeModel, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and closeness of every text of a column."""
+    data, offsets = text_bytes(column)
+    names, scores, close = [], [np.zeros(0)], [np.zeros(0, bool)]
+    for i, j in slices(offsets, 1 << 19):
+        for a in range(i, j, 512):
+            b = min(j, a + 512)
+            part, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+            lettered = np.array([bool(_LETTER.search(part[x:y].tobytes().decode())) for x, y in zip(at, at[1:])], bool)
+            if not model.languages:
+                lettered[:] = False
+            if lettered.any():
+                best, score, near = model.decode(gram_counts(part, at, model.buckets))
+            else:
+                best, score, near = np.zeros(b - a, int), np.zeros(b - a), np.zeros(b - a, bool)
+            names += [model.languages[k] if has else UNDETERMINED for k, has in zip(best, lettered)]
+            scores.append(np.where(lettered, score, 0.0))
+            close.append(near & lettered)
+    return names, np.clip(np.concatenate(scores), 0, 1), np.concatenate(close)
+
+
 def predict(docs: DataFrame, model: CodeModel) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, ambiguous`` per row of ``docs``.
 
@@ -158,26 +179,28 @@ def predict(docs: DataFrame, model: CodeModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
         for batch in batches:
-            data, offsets = text_bytes(batch.column(2))
-            for i, j in slices(offsets, 1 << 19):
-                part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                lettered = [bool(_LETTER.search(part[a:b].tobytes().decode(errors="ignore"))) for a, b in zip(at, at[1:])]
-                names, scores, close = [UNDETERMINED] * (j - i), np.zeros(j - i), np.zeros(j - i, bool)
-                if m.languages:
-                    best, score, near = m.decode(gram_counts(part, at, m.buckets))
-                    names = [m.languages[k] if has else UNDETERMINED for k, has in zip(best, lettered)]
-                    scores, close = np.where(lettered, score, 0.0), near & lettered
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(names, pa.string()),
-                    pa.array(scores, pa.float64()), pa.array(close, pa.bool_())],
-                    names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
+            names, scores, close = _decoded(shared.value, batch.column(2))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores.astype(float)), pa.array(close)],
+                names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(crc_fold("doc_id") == HELD_OUT, F.lit(False)).alias("held_out"),
                        F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
+def keep_identified(docs: DataFrame, model: CodeModel) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language; ``und`` goes. Close calls stay."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            names = _decoded(shared.value, batch.column(at))[0]
+            yield batch.filter(pa.array([n != UNDETERMINED for n in names], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     return predict(docs, fit(docs, sample_rows))

@@ -83,6 +83,7 @@ ORACLE["op2_exact_dedup"] = """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points,
                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
      g AS (SELECT norm, first(doc_id ORDER BY points DESC, doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
-SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.norm) AS text_sha256
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.norm) AS text_sha256,
+       d.points AS n_points
 FROM d JOIN g USING (norm)
 """
