@@ -16,21 +16,19 @@ def connected(edges: DataFrame) -> DataFrame:
     driver. Loops and repeated edges are allowed.
     """
     spark = edges.sparkSession
-    e = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
+    given = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    e, before = given.where("a <> b"), None
     while True:
-        both = e.where("a <> b").select("a", "b").unionByName(e.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # Every node that is nobody's larger neighbour keeps the edge to its smallest one by way of that neighbour.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-                 .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        e = stage(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        e = stage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first())
         if now == before:
             break
         before = now
     inner = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    tops = e.select(F.col("b").alias("node")).distinct().join(inner.select("node"), "node", "left_anti")
-    return inner.unionByName(tops.select("node", F.col("node").alias("root")))
+    every = given.select(F.col("a").alias("node")).unionByName(given.select(F.col("b").alias("node"))).distinct()
+    return every.join(inner, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
