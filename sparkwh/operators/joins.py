@@ -4,82 +4,55 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import interval, row_hash
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` stays within both limits; counts and measures all of it, one row per task comes back."""
-    width = F.lit(0)
-    for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(value), F.lit(0)) + 16
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 16
-        else:
-            width = width + 16
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-
-
-def sized(df: DataFrame, small: bool | None = None) -> DataFrame:
-    """``df``, marked for broadcast if its size allows that; ``small`` passes on a measurement already made."""
-    return F.broadcast(df) if (is_small(df) if small is None else small) else df
-
-
-def matching_keys(target: DataFrame, source: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
-    """Distinct keys of the target, or only those a small source asks for.
+def matching_keys(target: DataFrame, source: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
+    """Distinct keys of the target; with ``small``, which vouches for a source that fits every task, only those it asks for.
 
     The keys of a small source are broadcast: the target is scanned, key columns only, and nothing of it is shuffled.
-    For a large source the target's keys are made distinct before they are shuffled, so a hot key is one row per task.
+    Else the target's keys are made distinct before they are shuffled, so a hot key is one row per task; adaptive execution
+    still broadcasts what turns out small.
     """
-    asked = source.select(*keys)
-    if is_small(asked) if small is None else small:
-        found = target.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
-        return F.broadcast(found)
-    return target.select(*keys).distinct()
+    found = asked_for(target.select(*keys), source, keys, small).distinct()
+    return F.broadcast(found) if small else found
 
 
-def existing(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+def existing(source: DataFrame, target: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """Source rows whose key is in the target."""
-    return source.join(matching_keys(target, source, keys), keys, "left_semi")
+    return source.join(matching_keys(target, source, keys, small), keys, "left_semi")
 
 
-def missing(source: DataFrame, target: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
+def missing(source: DataFrame, target: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """Source rows whose key is not in the target."""
     return source.join(matching_keys(target, source, keys, small), keys, "left_anti")
 
 
-def asked_for(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target cut down to the keys of the source, where the source is small enough to broadcast them."""
-    asked = source.select(*keys)
-    return target.join(F.broadcast(asked), keys, "left_semi") if is_small(asked) else target
+def asked_for(target: DataFrame, source: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
+    """The target, cut down to the keys of a source that is ``small``."""
+    return target.join(F.broadcast(source.select(*keys)), keys, "left_semi") if small else target
 
 
 def missing_within(source: DataFrame, target: DataFrame, keys: list[str], version_col: str, target_version_col: str,
-                   tolerance: str) -> DataFrame:
+                   tolerance: str, small: bool = False) -> DataFrame:
     """Source rows for which the target has no row of the same key at or after ``version - tolerance``.
 
     Only the newest target version of a key can decide that, so the target shrinks to one row per key and task before it
     is shuffled, and a key with very many versions never meets its partners pair by pair.
     """
-    newest = (asked_for(target.select(*keys, target_version_col), source, keys)
+    newest = (asked_for(target.select(*keys, target_version_col), source, keys, small)
               .groupBy(*keys).agg(F.max(target_version_col).alias("_newest")))
     s, t = source.alias("s"), newest.alias("t")
     on = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
     return s.join(t, on & (F.col("t._newest") >= F.col(f"s.{version_col}") - interval(tolerance)), "left_anti")
 
 
-def broadcast_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
-                  max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Join with a replicated dimension. A dimension over the limits is joined by shuffle instead."""
-    side = F.broadcast(dim) if is_small(dim, max_rows, max_bytes) else dim
-    return fact.join(side, on, how)
+def broadcast_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Join with a dimension. Spark broadcasts it where its measured size allows that; ``small`` vouches for it."""
+    return fact.join(F.broadcast(dim) if small else dim, on, how)
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
@@ -93,22 +66,37 @@ def colocated_join(spark: SparkSession, left_table: str, right_table: str, on: s
                    hot_share: float = 0.05, salts: int = 32) -> DataFrame:
     """Join two tables bucketed alike on ``on``: bucket meets bucket, nothing is shuffled.
 
-    Keys that hold more than ``hot_share`` of the left table would fill one bucket's task; only their rows leave the
-    buckets, are spread over ``salts`` tasks, and meet a copy of the right rows in each.
+    Keys that hold more than ``hot_share`` of either table would fill one bucket's task; only their rows leave the buckets.
+    The side on which such a key is hot is spread over ``salts`` tasks, and the other side's rows meet it in each; where it
+    is hot on both, the rows are dealt over a square of tasks, so neither side is copied ``salts`` times.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join type {how} cannot be salted on the left side")
     left, right = spark.table(left_table), spark.table(right_table)
-    hot = hot_keys(left, on, hot_share)
+    hot_left, hot_right = (set(hot_keys(side, on, hot_share)) for side in (left, right))
+    hot = sorted(hot_left | hot_right)
     if not hot:
         return left.join(right, on, how)
     is_hot = F.col(on).isin(hot)
-    cold = left.where(~is_hot | F.col(on).isNull()).join(right.where(~is_hot), on, how)
-    salted = left.where(is_hot).withColumn("_salt", F.pmod(row_hash(left.columns), F.lit(salts)))
-    copies = right.where(is_hot).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    spread = salted.join(copies, [on, "_salt"], how).drop("_salt")
-    return cold.unionByName(spread)
+    parts = [left.where(~is_hot | F.col(on).isNull()).join(right.where(~is_hot), on, how)]
+    side = max(2, round(salts ** 0.5))
+    for keys, a, b in ((hot_left - hot_right, salts, 1), (hot_right - hot_left, 1, salts), (hot_left & hot_right, side, side)):
+        # A left join must see all partners of a left row in one task, so there the left side alone is dealt out.
+        across, down = (a, b) if how == "inner" else (salts, 1)
+        if keys:
+            own = F.col(on).isin(sorted(keys))
+            parts.append(_dealt(left.where(own), across, down, True).join(
+                _dealt(right.where(own), across, down, False), [on, "_a", "_b"], how).drop("_a", "_b"))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def _dealt(rows: DataFrame, across: int, down: int, left: bool) -> DataFrame:
+    """Rows dealt by hash along their own axis and copied along the other one."""
+    own, other = (across, down) if left else (down, across)
+    place = F.pmod(row_hash(rows.columns), F.lit(own)).cast("int")
+    copy = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
+    mine, theirs = ("_a", "_b") if left else ("_b", "_a")
+    return rows.withColumn(mine, place).withColumn(theirs, copy)
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:

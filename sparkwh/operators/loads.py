@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbering import with_position
 from ..functions.scalars import interval, trunc_ts, ts
 from .filters import differs, recent
-from .joins import asked_for, is_small, missing, missing_within, sized
+from .joins import asked_for, missing, missing_within
 from .reports import latest_version
 
 # The smallest value a mark can have, and the step to the next larger one.
@@ -64,13 +64,19 @@ def incremental_by_id(source: DataFrame, target: DataFrame, id_col: str, fill_ga
 
 def classify_changes(source: DataFrame, target: DataFrame, keys: list[str], compare: list[str], as_of: str,
                      window: str | None = None, created_col: str = "created_at", null_safe: bool = True,
-                     detect_deletes: bool = False) -> DataFrame:
+                     detect_deletes: bool = False, version_col: str | None = None, tiebreak: list[str] | None = None,
+                     small: bool = False) -> DataFrame:
     """Source rows with ``operation_type`` INSERT, UPDATE or UNCHANGED, and ``processed_at``.
 
     ``window`` keeps only rows created in that span, plus all that differ. ``detect_deletes`` adds the target rows whose
-    key left the source, as DELETE. Source and target must have one row per key.
+    key left the source, as DELETE. Of source rows with one key the newest by ``version_col`` and ``tiebreak`` counts; without
+    a version column a repeated key is an error. ``small`` vouches for a source that fits every task.
     """
-    marked = asked_for(target.select(*keys, *compare), source, keys).withColumn("_there", F.lit(True))
+    if version_col is not None:
+        source = latest_version(source, keys, version_col, tiebreak or [])
+    else:
+        source = one_row_per_key(source, keys)
+    marked = asked_for(target.select(*keys, *compare), source, keys, small).withColumn("_there", F.lit(True))
     joined = source.alias("s").join(marked.alias("t"), _on("s", "t", keys), "left")
     there, changed = F.col("t._there").isNotNull(), differs("s", "t", compare, null_safe)
     if window is not None:
@@ -96,22 +102,35 @@ def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(F.when(repeated.scalar() > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
+def _is_newer(newer: str | list[str]) -> Column:
+    """Whether the change ``c`` is later than the target row ``t`` by the version columns, taken in order; a target row
+    without a version is earlier than any."""
+    names = [newer] if isinstance(newer, str) else list(newer)
+    later = F.struct(*[F.col(f"c.{n}") for n in names]) > F.struct(*[F.col(f"t.{n}") for n in names])
+    return F.col(f"t.{names[0]}").isNull() | F.coalesce(later, F.lit(False))
+
+
+def _carried(cols: list[str], newer: str | list[str] | None) -> list[str]:
+    return sorted(set(cols) | set([newer] if isinstance(newer, str) else newer or []))
+
+
 def update_from(target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str],
-                touch: dict[str, Column] | None = None, newer: str | None = None,
-                small: bool | None = None) -> DataFrame:
+                touch: dict[str, Column] | None = None, newer: str | list[str] | None = None,
+                small: bool = False, check: bool = True) -> DataFrame:
     """The target with ``cols`` overwritten where the changes have its key; ``touch`` sets further columns there.
 
-    ``newer`` names a version column: rows already at that version or later stay, the others take it too. A small
-    batch is broadcast and the target stays where it is; with a large one both are shuffled, and as this is a left join,
-    Spark can split what is skewed on the target's side.
+    ``newer`` names version columns: rows already at that version or later stay, the others take it too. A batch that is
+    ``small`` is broadcast and the target stays where it is; else both are shuffled, and as this is a left join, Spark can
+    split what is skewed on the target's side. A key twice in the changes is an error; ``check=False`` skips that test.
     """
     touch = touch or {}
-    carried = sorted(set(cols) | ({newer} if newer else set()))
-    batch = changes.select(*keys, *carried, F.lit(True).alias("_hit"))
-    joined = target.alias("t").join(sized(batch, small).alias("c"), _on("t", "c", keys), "left")
+    carried = _carried(cols, newer)
+    changes = one_row_per_key(changes, keys) if check else changes
+    batch = changes.select(*keys, *[c for c in carried if c not in keys], F.lit(True).alias("_hit"))
+    joined = target.alias("t").join((F.broadcast(batch) if small else batch).alias("c"), _on("t", "c", keys), "left")
     hit = F.col("c._hit").isNotNull()
     if newer:
-        hit = hit & (F.col(f"t.{newer}").isNull() | (F.col(f"c.{newer}") > F.col(f"t.{newer}")))
+        hit = hit & _is_newer(newer)
 
     def result(name: str) -> Column:
         old = F.col(f"t.{name}")
@@ -134,32 +153,77 @@ def shaped_like(df: DataFrame, target: DataFrame, extra: dict[str, Column]) -> D
     return df.select(*[column(f) for f in target.schema.fields])
 
 
+def _no_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def _met(target: DataFrame, changes: DataFrame, keys: list[str], check: bool) -> DataFrame:
+    """Target ``t`` and changes ``c`` met by key in one full outer join, with ``_old`` and ``_new`` telling who is there. Rows
+    with a NULL in their key meet nothing and are left out.
+
+    The test for repeated keys is a window over the keys, which needs the same shuffle and order as the join: one per side.
+    """
+    changes = changes.where(_no_null(keys)).withColumn("_new", F.lit(True))
+    if check:
+        count = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        message = F.lit(f"more than one source row for a value of {', '.join(keys)}")
+        single = F.when(F.col("_count") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+        changes = changes.withColumn("_count", count).where(single).drop("_count")
+    there = target.where(_no_null(keys)).withColumn("_old", F.lit(True))
+    return there.alias("t").join(changes.alias("c"), _on("t", "c", keys), "full")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-           touch: dict[str, Column] | None = None, newer: str | None = None, check: bool = True) -> DataFrame:
+           touch: dict[str, Column] | None = None, newer: str | list[str] | None = None, check: bool = True,
+           small: bool = False) -> DataFrame:
     """The target with matching rows overwritten and new rows added; ``touch`` is set on both.
 
-    A key twice in the source is an error, as it is for any upsert; ``check=False`` skips that test for sources known
-    to be unique. The source is read several times; stage it if it is costly to compute.
+    A key twice in the source is an error, as it is for any upsert; ``check=False`` skips that test for sources known to
+    be unique. Rows with a NULL in their key match nothing: they stay, or are added. Source and target are read and
+    shuffled once each. With ``small``, which vouches for a source that fits every task, the source is broadcast instead
+    and the target is not shuffled.
     """
-    small = is_small(source)
-    if check:
-        source = one_row_per_key(source, keys)
-    updated = update_from(target, source, keys, update_cols, touch, newer, small)
-    added = shaped_like(missing(source, target, keys, small), target, touch or {})
-    return updated.unionByName(added)
+    touch = touch or {}
+    if small:
+        source = one_row_per_key(source, keys) if check else source
+        updated = update_from(target, source, keys, update_cols, touch, newer, True, check=False)
+        return updated.unionByName(shaped_like(missing(source, target, keys, True), target, touch))
+    return _merged(target, source, keys, update_cols, touch, newer, check)
+
+
+def _merged(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str], touch: dict[str, Column],
+            newer: str | list[str] | None, check: bool, keep: Column | None = None) -> DataFrame:
+    """One full outer join: old rows, overwritten where met, and new ones. ``keep`` drops joined rows."""
+    carried = _carried(update_cols, newer)
+    met = _met(target, source, keys, check)
+    met = met if keep is None else met.where(keep)
+    old = F.col("t._old").isNotNull()
+    hit = old & F.col("c._new").isNotNull()
+    if newer:
+        hit = hit & _is_newer(newer)
+
+    def result(field: T.StructField) -> Column:
+        name = field.name
+        before, after = F.col(f"t.{name}"), F.col(f"c.{name}") if name in source.columns else F.lit(None)
+        added = touch[name] if name in touch else after
+        changed = touch[name] if name in touch else after if name in carried else before
+        return (F.when(~old, added.cast(field.dataType)).when(hit, changed.cast(field.dataType)).otherwise(before)).alias(name)
+    joined = met.select(*[result(f) for f in target.schema.fields])
+    none = ~_no_null(keys)
+    loose = source.where(none) if "operation_type" not in source.columns or keep is None else source.where(none & (F.col("operation_type") == "INSERT"))
+    return joined.unionByName(target.where(none)).unionByName(shaped_like(loose, target, touch))
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], update_cols: list[str],
-                  touch: dict[str, Column] | None = None) -> DataFrame:
+                  touch: dict[str, Column] | None = None, check: bool = True) -> DataFrame:
     """Apply one classified batch (see ``classify_changes``): add INSERT rows, overwrite UPDATE rows, drop DELETE rows.
 
-    ``changes`` is read up to three times; stage it if it is costly to compute.
+    An UPDATE or DELETE whose key the target lacks does nothing, an INSERT whose key it has overwrites. A key twice in the
+    batch is an error. Target and changes are read and shuffled once each.
     """
-    def of(kind: str) -> DataFrame:
-        return changes.where(F.col("operation_type") == kind)
-    kept = target.join(sized(of("DELETE").select(*keys).distinct()), keys, "left_anti")
-    updated = update_from(kept, of("UPDATE"), keys, update_cols, touch)
-    return updated.unionByName(shaped_like(of("INSERT"), target, touch or {}))
+    kind, old = F.col("c.operation_type"), F.col("t._old").isNotNull()
+    keep = F.when(old, F.coalesce(kind != "DELETE", F.lit(True))).otherwise(kind == "INSERT")
+    return _merged(target, changes.where("operation_type IN ('INSERT', 'UPDATE', 'DELETE')"), keys, update_cols, touch or {}, None, check, keep)
 
 
 def purge_staging(staging: DataFrame, as_of: str, older_than: str = "1 HOUR",
@@ -170,10 +234,11 @@ def purge_staging(staging: DataFrame, as_of: str, older_than: str = "1 HOUR",
 
 def delta_load(source: DataFrame, target: DataFrame, keys: list[str], version_col: str, as_of: str,
                tiebreak: list[str], window: str = "1 HOUR", tolerance: str = "5 MINUTES",
-               target_version_col: str | None = None) -> DataFrame:
-    """Newest recent version per key, unless the target holds one that is at most ``tolerance`` older."""
+               target_version_col: str | None = None, small: bool = False) -> DataFrame:
+    """Newest recent version per key, unless the target holds one that is at most ``tolerance`` older. ``small`` vouches for a
+    window whose keys fit every task; the source is read once without it."""
     newest = latest_version(recent(source, version_col, as_of, window), keys, version_col, tiebreak)
-    return missing_within(newest, target, keys, version_col, target_version_col or version_col, tolerance)
+    return missing_within(newest, target, keys, version_col, target_version_col or version_col, tolerance, small)
 
 
 def batch_assign(source: DataFrame, target: DataFrame, id_col: str, batch_size: int = 1000,

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, DataFrameWriter, functions as F, types as T
 
 from ..functions.interleave import interleave_code, quantile_bounds
 from ..functions.scalars import row_hash
-from ..operators.joins import is_small
 
 # Column encodings by their warehouse names, and the Parquet encoding or codec that does the same.
 ENCODING_NAMES = {
@@ -25,13 +24,14 @@ CODECS = ("none", "snappy", "gzip", "lz4", "zstd")
 
 @dataclass(frozen=True)
 class Layout:
-    """``dist``: ``auto`` (as computed), ``even`` (round robin over ``files``), ``all`` (one small file) or ``key``
-    (``buckets`` hash buckets of ``key``). Then an order inside: ``sort`` columns, or ``interleave`` columns with
+    """``dist``: ``auto`` (as computed), ``even`` (round robin over ``files``), ``all`` (one file, for tables that are copied
+    to every task) or ``key`` (``buckets`` hash buckets of ``key``). Where ``files`` or ``buckets`` are not given, they follow
+    from the size of the data: one per ``FILE_BYTES``. Then an order inside: ``sort`` columns, or ``interleave`` columns with
     ``bits`` bits each. ``encodings`` maps columns to ``dict``, ``delta`` or ``plain``."""
 
     dist: str = "auto"
     key: str | None = None
-    buckets: int = 8
+    buckets: int | None = None
     files: int | None = None
     sort: tuple[str, ...] = ()
     interleave: tuple[str, ...] = ()
@@ -45,6 +45,8 @@ class Layout:
             raise ValueError(f"unknown distribution {self.dist}")
         if (self.dist == "key") != (self.key is not None):
             raise ValueError("a key goes with, and only with, dist='key'")
+        if self.buckets is not None and self.buckets < 1:
+            raise ValueError("at least one bucket")
         if self.dist == "key" and (self.interleave or self.partition_by):
             raise ValueError("a bucketed table takes a sort order, not interleaving or partitions")
         if self.sort and self.interleave:
@@ -75,6 +77,38 @@ def _by_range(df: DataFrame, columns: list, files: int | None) -> DataFrame:
     return spread.sortWithinPartitions(*columns)
 
 
+#: Bytes that one file, bucket or range of a layout should hold.
+FILE_BYTES = 256 * 1024 * 1024
+#: Most that a table laid out as one file may measure.
+ALL_BYTES = 256 * 1024 * 1024
+_UNKNOWN = 1 << 60
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files and local rows that ``df`` reads, by the optimizer's statistics; None if a part is unknown. Nothing
+    is run."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(sizes) if all(x < _UNKNOWN for x in sizes) else None
+
+
+def pieces_of(df: DataFrame, piece_bytes: int = FILE_BYTES) -> int:
+    """How many files or buckets hold ``df`` at ``piece_bytes`` each; the session's shuffle partitions if its size is unknown."""
+    size = planned_bytes(df)
+    if size is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // piece_bytes))
+
+
+def _clustered(df: DataFrame, layout: Layout) -> tuple[DataFrame, list]:
+    """``df`` with a clustering code if the layout has one, and the columns of its order inside files."""
+    if not layout.interleave:
+        return df, list(layout.sort)
+    bounds = quantile_bounds(df, list(layout.interleave), layout.bits)
+    code = interleave_code([(F.col(c), b) for c, b in zip(layout.interleave, bounds)], layout.bits)
+    return df.withColumn("_code", code), ["_code"]
+
+
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """``df`` partitioned and sorted for writing.
 
@@ -82,20 +116,22 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     one task into several files, and merge what is too small.
     """
     if layout.dist == "key":
-        return df.hint("rebalance", layout.buckets, layout.key)
-    if layout.partition_by:
-        spread = df.hint("rebalance", *layout.partition_by)
-        return spread.sortWithinPartitions(*layout.partition_by, *layout.sort)
-    if layout.interleave:
-        bounds = quantile_bounds(df, list(layout.interleave), layout.bits)
-        code = interleave_code([(F.col(c), b) for c, b in zip(layout.interleave, bounds)], layout.bits)
-        return _by_range(df.withColumn("_code", code), ["_code"], layout.files).drop("_code")
-    if layout.sort:
-        return _by_range(df, list(layout.sort), layout.files)
-    if layout.dist == "even" and layout.files:
-        return df.repartition(layout.files)
-    if layout.dist == "all" and is_small(df):
+        return df.hint("rebalance", layout.buckets or pieces_of(df), layout.key)
+    if layout.dist == "all":
+        size = planned_bytes(df)
+        if size is not None and size > ALL_BYTES:
+            raise ValueError(f"a table of {size} bytes is too large to be laid out as one file")
         return df.coalesce(1)
+    columns = df.columns
+    marked, order = _clustered(df, layout)
+    if layout.partition_by:
+        if layout.files or order:  # ranges cut large partitions into files, and keep each file's share of the order
+            return _by_range(marked, [*layout.partition_by, *order], layout.files or pieces_of(df)).select(*columns)
+        return df.hint("rebalance", *layout.partition_by).sortWithinPartitions(*layout.partition_by)
+    if order:
+        return _by_range(marked, order, layout.files or pieces_of(df)).select(*columns)
+    if layout.dist == "even":
+        return df.repartition(layout.files or pieces_of(df))
     return df
 
 
@@ -116,7 +152,7 @@ def writer(df: DataFrame, layout: Layout) -> DataFrameWriter:
     if layout.partition_by:
         out = out.partitionBy(*layout.partition_by)
     if layout.dist == "key":
-        out = out.bucketBy(layout.buckets, layout.key).sortBy(*(layout.sort or (layout.key,)))
+        out = out.bucketBy(layout.buckets or pieces_of(df), layout.key).sortBy(*(layout.sort or (layout.key,)))
     return out
 
 

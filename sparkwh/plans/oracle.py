@@ -263,7 +263,8 @@ ORACLE = {
     "join_colocated": using("src_orders customers", """SELECT o.customer_id, customer_name, order_id, total_amount
         FROM src_orders o JOIN customers c ON o.customer_id = c.customer_id"""),
     "update_from": using("src_orders tgt_orders", """
-        SELECT t.order_id, t.customer_id, t.order_date, s.total_amount, s.status, t.created_at
+        SELECT t.order_id, t.customer_id, t.order_date, CASE WHEN t.order_id % 15 <> 4 THEN s.total_amount ELSE t.total_amount END AS total_amount,
+               CASE WHEN t.order_id % 15 <> 4 THEN s.status ELSE t.status END AS status, t.created_at
         FROM tgt_orders t JOIN src_orders s ON t.order_id = s.order_id"""),
     "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS row_count, 'duplicate key' AS reason
         FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
@@ -323,7 +324,53 @@ ORACLE = {
         SELECT order_id, CAST((row_number() OVER (ORDER BY order_id) - 1) // 1000 AS BIGINT) AS batch_no
         FROM src_orders"""),
     "batch_load": using("src_orders", "SELECT * FROM src_orders"),
-    "upsert": using("src_orders", f"SELECT *, {ORDERS_NOW} AS updated_at FROM src_orders"),
+    "upsert": using("src_orders tgt_orders", f"""SELECT *, {ORDERS_NOW} AS updated_at FROM src_orders WHERE order_id % 15 <> 4
+        UNION ALL SELECT *, CAST(NULL AS TIMESTAMP) FROM tgt_orders WHERE order_id % 15 = 4"""),
+    "upsert_moved_key": using("src_orders tgt_orders", f"""
+        SELECT *, CAST(year(order_date) AS INTEGER) AS order_year FROM (
+            SELECT {ORDER} FROM tgt_orders WHERE order_id % 15 <> 4 UNION ALL
+            SELECT order_id, customer_id, CAST(order_date + INTERVAL 1 YEAR AS TIMESTAMP), total_amount, status, created_at FROM src_orders
+            WHERE order_id % 15 = 4)"""),
+    "upsert_bucketed": using("src_orders tgt_orders", f"""SELECT {ORDER} FROM src_orders WHERE order_id % 15 <> 4
+        UNION ALL SELECT {ORDER} FROM tgt_orders WHERE order_id % 15 = 4"""),
+    "delete_partitioned": using("src_orders", f"""SELECT {ORDER}, CAST(year(order_date) AS INTEGER) AS order_year FROM src_orders
+        WHERE year(order_date) <> 1997 AND order_id % 7 <> 0"""),
+    "compact_partitioned": using("src_orders", f"""SELECT {ORDER}, CAST(year(order_date) AS INTEGER) AS order_year FROM src_orders
+        WHERE status <> 'P'"""),
+    "cdc_repeated_keys": f"""
+        WITH newest AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
+                 ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1),
+             known AS (SELECT * FROM lineitem WHERE l_orderkey % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY l_orderkey
+                 ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1)
+        SELECT n.l_orderkey, n.l_shipdate, n.l_linenumber, n.l_partkey, n.l_suppkey, n.l_extendedprice, n.l_returnflag,
+               CASE WHEN k.l_orderkey IS NULL THEN 'INSERT'
+                    WHEN k.l_returnflag IS DISTINCT FROM n.l_returnflag OR k.l_partkey IS DISTINCT FROM n.l_partkey THEN 'UPDATE'
+                    ELSE 'UNCHANGED' END AS operation_type, {ORDERS_NOW} AS processed_at
+        FROM newest n LEFT JOIN known k USING (l_orderkey)""",
+    "proc_by_timestamp": using("src_orders", f"""SELECT *, CASE WHEN order_date > TIMESTAMP '2001-01-01 00:00:00' THEN {ORDERS_NOW} END AS loaded_at
+        FROM src_orders WHERE order_date <= {ORDERS_NOW}"""),
+    "proc_by_id": using("src_orders", f"""
+        SELECT *, CAST(NULL AS TIMESTAMP) AS loaded_at FROM src_orders WHERE order_date < TIMESTAMP '1995-01-03 00:00:00'
+        UNION ALL SELECT *, {ORDERS_NOW} FROM src_orders
+        WHERE order_id > (SELECT max(order_id) FROM src_orders WHERE order_date < TIMESTAMP '1995-01-03 00:00:00')"""),
+    "proc_delta": f"""
+        WITH newest AS (SELECT user_id, ts, event_id, event_type, value FROM events WHERE ts > {EVENTS_NOW} - INTERVAL 24 HOUR
+                        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+             held AS (SELECT user_id, ts, event_id, event_type, value FROM events WHERE event_id % 3 = 0)
+        SELECT *, CAST(NULL AS TIMESTAMP) AS loaded_at FROM held
+        UNION ALL SELECT n.*, {EVENTS_NOW} FROM newest n WHERE NOT EXISTS (
+            SELECT 1 FROM held h WHERE h.user_id = n.user_id AND h.ts >= n.ts - INTERVAL 5 MINUTE)""",
+    "proc_batches": using("src_orders", f"""SELECT *, CASE WHEN order_id >= 5 THEN {ORDERS_NOW} END AS loaded_at FROM src_orders"""),
+    "proc_changes": using("src_orders tgt_orders", f"""
+        SELECT s.order_id, s.customer_id, s.order_date, s.total_amount, s.status,
+               CASE WHEN t.order_id IS NULL OR {_SAFE} THEN {ORDERS_NOW} END AS loaded_at,
+               CASE WHEN t.order_id IS NULL THEN 'INSERT' WHEN {_SAFE} THEN 'UPDATE' END AS noted
+        FROM src_orders s LEFT JOIN tgt_orders t ON s.order_id = t.order_id WHERE s.order_id % 15 <> 4"""),
+    "daily_sales_load": using("sales", f"""
+        SELECT sale_id, customer_id, product_id, sale_amount, sale_date, region, store_id, {ORDERS_NOW} AS updated_at
+        FROM sales WHERE sale_date >= TIMESTAMP '2001-06-30 00:00:00'
+        UNION ALL SELECT sale_id, customer_id, product_id, CAST(sale_amount + 1 AS DECIMAL(10,2)), sale_date, region, store_id, NULL
+        FROM sales WHERE sale_date < TIMESTAMP '2001-06-30 00:00:00' AND sale_id % 2 = 0"""),
     "upsert_partitions": using("src_orders tgt_orders", f"""
         SELECT {ORDER}, CAST(year(order_date) AS INTEGER) AS order_year FROM src_orders WHERE year(order_date) = 1998
         UNION ALL SELECT {ORDER}, CAST(year(order_date) AS INTEGER) FROM tgt_orders WHERE year(order_date) <> 1998"""),
@@ -425,8 +472,10 @@ ORACLE = {
                error_message, "rows" FROM run_log"""),
     # Streams
     "stream_append": using("src_orders", "SELECT * FROM src_orders"),
-    "stream_latest_upsert": """SELECT user_id, ts, event_id, event_type, value FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    "stream_latest_upsert": """SELECT user_id, hour, ts, event_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, hour ORDER BY ts DESC, event_id DESC) AS rn FROM (
+            SELECT user_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, event_id, event_type, value FROM events))
         WHERE rn = 1""",
-    "stream_dedup": "SELECT event_id, ts, event_type FROM events",
+    "stream_dedup": """SELECT event_id, ts, event_type FROM events
+        UNION ALL SELECT event_id, ts + INTERVAL 1 HOUR, event_type FROM events WHERE event_id % 5 = 0""",
 }

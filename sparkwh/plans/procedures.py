@@ -10,7 +10,7 @@ from ..operators.upkeep import MAX_DELETED_SHARE, MIN_DELETED, analyze_table
 from ..session import new_path, stage
 from . import jobs
 from .layout import Layout
-from .tables import append, in_partitions, publish, replace_partitions
+from .tables import append, held_partitions, in_partitions, obeyed, publish, replace_partitions
 from .upkeep import compact, selective_compact
 
 LOADED = "loaded_at"
@@ -60,20 +60,22 @@ def load_changes(source: DataFrame, table: str, staging: str, keys: list[str], c
                  **options) -> None:
     """Classify the source against the table, note the changes in the staging table, apply them, and purge old notes.
 
-    Only this run's changes are applied, so what an earlier run noted is not applied twice. See
+    The changes are noted before they are applied, so a failure between loses no record of them. Only this run's changes are applied, so what an earlier run noted is not applied twice. See
     ``loads.classify_changes`` for the options.
     """
     spark = source.sparkSession
-    target = spark.table(table)
+    target, layout = spark.table(table), obeyed(spark, table, layout)
+    parts = list(layout.partition_by)
     classified = loads.classify_changes(source, target, keys, compare, as_of, **options)
     changes = stage(classified.where(F.col("operation_type") != "UNCHANGED"), "changes")
     touch = {LOADED: ts(as_of)} if LOADED in target.columns else {}
-    if layout.partition_by:
-        touched = target.where(in_partitions(changes, list(layout.partition_by)))
+    append(changes, staging)
+    if parts:
+        update_cols = [*update_cols, *[p for p in parts if p not in update_cols and p not in keys]]
+        touched = target.where(in_partitions(held_partitions(target, changes, keys, parts), parts))
         replace_partitions(touched, loads.apply_changes(touched, changes, keys, update_cols, touch), table, layout)
     else:
         publish(loads.apply_changes(target, changes, keys, update_cols, touch), table, layout)
-    append(changes, staging)
     publish(loads.purge_staging(spark.table(staging), as_of, keep_staged), staging)
 
 

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.interleave import interleave_code
 from ..functions.numbering import assign_identity
-from ..functions.scalars import parse_ts, round_cast, ts
+from ..functions.scalars import interval, parse_ts, round_cast, trunc_ts, ts
 from ..operators import filters, joins, loads, profiles, querylog, reports
 from ..operators import upkeep as keep
 from ..session import new_name, new_path, stage
 from ..sources import files, footers, synthetic
 from ..streaming import loads as streams
 from . import fixtures as fx
-from . import jobs, tables, upkeep
+from . import jobs, procedures, tables, upkeep
 from .fixtures import EVENTS_NOW, ORDERS_NOW
 from .layout import Layout, write_files
 
@@ -157,7 +157,7 @@ def append_load(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def layout_even(spark: SparkSession, sf: str) -> DataFrame:
-    return _sales_table(spark, sf, Layout(dist="even", files=8))
+    return _sales_table(spark, sf, Layout(dist="even"))
 
 
 @query
@@ -182,7 +182,7 @@ def layout_all_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sorted(spark: SparkSession, sf: str) -> str:
     return fx.written(spark, sf, "sales_sorted", lambda p: write_files(
-        fx.sales(spark, sf), p, Layout(sort=SALES_SORT, files=8)))
+        fx.sales(spark, sf), p, Layout(sort=SALES_SORT)))
 
 
 @query
@@ -310,7 +310,8 @@ def join_colocated(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def update_from(spark: SparkSession, sf: str) -> DataFrame:
-    return loads.update_from(fx.tgt_orders(spark, sf), fx.src_orders(spark, sf), ["order_id"],
+    """A source that lacks some of the target's orders: those stay as they are."""
+    return loads.update_from(fx.tgt_orders(spark, sf), fx.src_orders(spark, sf).where("order_id % 15 <> 4"), ["order_id"],
                              ["total_amount", "status"])
 
 
@@ -478,8 +479,9 @@ def batch_load(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A source that lacks some of the target's orders: those stay as they are."""
     return loads.upsert(fx.tgt_orders(spark, sf).withColumn("updated_at", F.lit(None).cast("timestamp_ntz")),
-                        fx.src_orders(spark, sf), ["order_id"], ORDER_COLUMNS, {"updated_at": ts(ORDERS_NOW)})
+                        fx.src_orders(spark, sf).where("order_id % 15 <> 4"), ["order_id"], ORDER_COLUMNS, {"updated_at": ts(ORDERS_NOW)})
 
 
 @query
@@ -491,10 +493,123 @@ def upsert_partitions(spark: SparkSession, sf: str) -> DataFrame:
         return df.withColumn("order_year", F.year("order_date"))
     tables.save_table(by_year(fx.tgt_orders(spark, sf)), table, layout)
     batch = by_year(fx.src_orders(spark, sf)).where("order_year = 1998")
-    tables.upsert_table(batch, table, ["order_id"], ORDER_COLUMNS, layout=layout)
+    tables.upsert_table(batch, table, ["order_id"], ORDER_COLUMNS)
+    return spark.table(table)
+
+
+def _by_year(df: DataFrame) -> DataFrame:
+    return df.withColumn("order_year", F.year("order_date"))
+
+
+@query
+def upsert_moved_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose date, and with it their partition, has changed by a year: each is in its new partition only."""
+    table = new_name("orders")
+    tables.save_table(_by_year(fx.tgt_orders(spark, sf)), table, Layout(partition_by=("order_year",)))
+    moved = fx.src_orders(spark, sf).where("order_id % 15 = 4").withColumn("order_date", F.col("order_date") + interval("1 YEAR"))
+    tables.upsert_table(_by_year(moved), table, ["order_id"], ORDER_COLUMNS)
+    return spark.table(table)
+
+
+@query
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """A table in hash buckets, upserted without saying so."""
+    table = new_name("orders")
+    tables.save_table(fx.tgt_orders(spark, sf), table, Layout(dist="key", key="customer_id", buckets=5))
+    tables.upsert_table(fx.src_orders(spark, sf).where("order_id % 15 <> 4"), table, ["order_id"], ORDER_COLUMNS)
+    return spark.table(table)
+
+
+@query
+def delete_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """A delete that empties one partition and thins out the others."""
+    table = new_name("orders")
+    tables.save_table(_by_year(fx.src_orders(spark, sf)), table, Layout(partition_by=("order_year",)))
+    tables.delete_from(spark, table, (F.col("order_year") == 1997) | (F.col("order_id") % 7 == 0))
+    return spark.table(table)
+
+
+@query
+def compact_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """A partitioned table of many small files, compacted and clustered without naming its partitions."""
+    table = new_name("orders")
+    tables.save_table(_by_year(fx.src_orders(spark, sf)).repartition(16), table, Layout(partition_by=("order_year",)))
+    upkeep.compact(spark, table, Layout(interleave=("customer_id", "total_amount")), F.col("status") == "P")
+    return spark.table(table)
+
+
+@query
+def cdc_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of orders as a feed with many versions per key: the newest counts."""
+    lines = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag")
+    known = reports.latest_version(lines.where("l_orderkey % 3 <> 0"), ["l_orderkey"], "l_linenumber", ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
+    return loads.classify_changes(lines, known, ["l_orderkey"], ["l_returnflag", "l_partkey"], ORDERS_NOW, version_col="l_shipdate",
+                                  tiebreak=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
+
+
+@query
+def proc_by_timestamp(spark: SparkSession, sf: str) -> DataFrame:
+    table = _loaded_table(spark, sf, "order_date <= TIMESTAMP_NTZ '2001-01-01 00:00:00'")
+    procedures.load_by_timestamp(fx.src_orders(spark, sf), table, "order_date", ORDERS_NOW)
     return spark.table(table)
 
 
+@query
+def proc_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    table = _loaded_table(spark, sf, "order_date < TIMESTAMP_NTZ '1995-01-03 00:00:00'")
+    procedures.load_by_id(fx.src_orders(spark, sf), table, "order_id", ORDERS_NOW)
+    return spark.table(table)
+
+
+@query
+def proc_delta(spark: SparkSession, sf: str) -> DataFrame:
+    feed, table = fx.table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value"), new_name("events")
+    tables.save_table(feed.where("event_id % 3 = 0").withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")), table)
+    procedures.load_delta(feed, table, ["user_id"], "ts", EVENTS_NOW, ["event_id"], window="24 HOURS")
+    return spark.table(table)
+
+
+@query
+def proc_batches(spark: SparkSession, sf: str) -> DataFrame:
+    table = _loaded_table(spark, sf, "order_id < 5")
+    source = fx.src_orders(spark, sf)
+    procedures.load_in_batches(source, table, "order_id", ORDERS_NOW, batch_size=max(1, source.count() // 3))
+    return spark.table(table)
+
+
+@query
+def proc_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The table after the changes are applied; the staging table holds them."""
+    source, target = _with_gone(spark, sf)
+    table, staging = new_name("orders"), new_name("staging")
+    tables.save_table(target.drop("created_at").withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")), table)
+    changes = _classified(spark, sf)
+    tables.save_table(changes.limit(0), staging)
+    procedures.load_changes(source, table, staging, ["order_id"], ["status", "total_amount"], ORDER_COLUMNS, ORDERS_NOW, detect_deletes=True)
+    noted = spark.table(staging).groupBy("order_id").agg(F.max("operation_type").alias("noted"))
+    return spark.table(table).join(noted, "order_id", "left")
+
+
+@query
+def daily_sales_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The logged daily load on a catalog table."""
+    table, log, source = new_name("sales"), new_path(spark, "run_log"), new_path(spark, "sales")
+    fx.sales(spark, sf).write.parquet(source)
+    jobs.new_run_log(spark, log)
+    old = fx.sales(spark, sf).where("sale_id % 2 = 0 AND sale_date < TIMESTAMP_NTZ '2001-07-20 00:00:00'").select(
+        "sale_id", "customer_id", "product_id", (F.col("sale_amount") + 1).cast("decimal(10,2)").alias("sale_amount"), "sale_date", "region",
+        "store_id", F.lit(None).cast("timestamp_ntz").alias("processed_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    tables.save_table(old, table)
+    jobs.daily_sales_load(spark, source, table, ORDERS_NOW, log)
+    return spark.table(table).drop("processed_at")
+
+
+def _loaded_table(spark: SparkSession, sf: str, condition: str) -> str:
+    table = new_name("orders")
+    tables.save_table(fx.src_orders(spark, sf).where(condition).withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")), table)
+    return table
+
+
 @query
 def default_fill(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.tgt_orders(spark, sf).withColumn("loaded_at", F.when(F.col("order_id") % 3 != 0, F.col("order_date")))
@@ -737,26 +852,36 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(target)
 
 
+def _in_files(rows: DataFrame, n: int) -> str:
+    """A folder of at least ``n`` files whose order is not that of time."""
+    path = new_path(rows.sparkSession, "incoming")
+    for part in range(n):
+        rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(n)) == part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query
 def stream_latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest event per user, from a stream of all events onto a table of early ones."""
-    feed = fx.table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    table, source = new_name("latest"), new_path(spark, "events")
+    """Newest event per user and hour of day, from a stream of all events onto a table of early ones; times are cut to the
+    day, so many versions tie."""
+    feed = fx.table(spark, sf, "events").select("user_id", F.hour("ts").alias("hour"), trunc_ts("day", F.col("ts")).alias("ts"),
+                                                "event_id", "event_type", "value")
+    table, keys = new_name("latest"), ["user_id", "hour"]
     early = feed.where("ts < TIMESTAMP_NTZ '2024-01-10 00:00:00'")
-    tables.save_table(reports.latest_version(early, ["user_id"], "ts", ["event_id"]), table)
-    feed.repartition(3).write.parquet(source)
-    rows = streams.read_new_files(spark, source, feed.schema, maxFilesPerTrigger="1")
-    streams.stream_latest_upsert(rows, table, ["user_id"], "ts", ["event_id"], ["event_id", "event_type", "value"],
-                                 new_path(spark, "mark"))
+    tables.save_table(reports.latest_version(early, keys, "ts", ["event_id"]), table)
+    rows = streams.read_new_files(spark, _in_files(feed, 4), feed.schema, maxFilesPerTrigger="1")
+    streams.stream_latest_upsert(rows, table, keys, "ts", ["event_id"], ["event_id", "event_type", "value"], new_path(spark, "mark"))
     return spark.table(table)
 
 
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream that carries every event twice."""
-    feed = fx.table(spark, sf, "events").select("event_id", "ts", "event_type")
-    source, target = new_path(spark, "twice"), new_path(spark, "once")
-    feed.unionByName(feed).write.parquet(source)
-    rows = streams.stream_dedup(streams.read_new_files(spark, source, feed.schema), ["event_id"], "ts")
-    streams.stream_append(rows, target, new_path(spark, "mark"))
-    return spark.read.parquet(target).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    """A stream that carries every event twice, and every fifth once more an hour later, which is kept."""
+    feed = fx.table(spark, sf, "events").select("event_id", "ts", "event_type", F.lit(0).alias("copy"))
+    later = feed.where("event_id % 5 = 0").withColumn("ts", F.col("ts") + interval("1 HOUR"))
+    every = feed.unionByName(feed.withColumn("copy", F.lit(1))).unionByName(later)
+    table = new_name("once")
+    tables.save_table(feed.drop("copy").limit(0), table)
+    rows = streams.read_new_files(spark, _in_files(every, 4), every.schema, maxFilesPerTrigger="1")
+    streams.stream_dedup(rows.drop("copy"), table, ["event_id"], "ts", new_path(spark, "mark"))
+    return spark.table(table)

@@ -1,11 +1,13 @@
 """Tables in the session catalog: create, append, and replace as a whole or by partition.
 
 Parquet tables have no row-level UPDATE, DELETE or MERGE. A change is computed as a DataFrame, written to a new folder,
-and then made current by changing the table's location in the catalog, so readers see the old rows or the new ones.
+and then made current by changing locations in the catalog: of a whole table in one step, of partitions some hundred at a
+time. Every write follows the partitions and buckets that the catalog has for the table.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 from urllib.parse import quote, unquote
 
@@ -37,44 +39,70 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table)
 
 
+def stored_layout(spark: SparkSession, table: str) -> Layout:
+    """How the table is stored by the catalog: its partition columns, or its bucket column and number of buckets."""
+    columns = spark.catalog.listColumns(table)
+    parts = tuple(c.name for c in columns if c.isPartition)
+    buckets = [c.name for c in columns if c.isBucket]
+    if not buckets:
+        return Layout(partition_by=parts)
+    if parts or len(buckets) > 1:
+        raise ValueError(f"{table} is bucketed in a way that a layout cannot say")
+    number = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Num Buckets'").first()["data_type"]
+    return Layout(dist="key", key=buckets[0], buckets=int(number))
+
+
+def obeyed(spark: SparkSession, table: str, layout: Layout) -> Layout:
+    """``layout`` as it can be written to ``table``: partitions and buckets are the table's; order, encodings and codec are
+    the caller's. A layout that says otherwise is an error, before anything is written."""
+    stored = stored_layout(spark, table)
+    if layout.partition_by and layout.partition_by != stored.partition_by:
+        raise ValueError(f"{table} is partitioned by {stored.partition_by}, not by {layout.partition_by}")
+    if layout.dist == "key" and (layout.key, layout.buckets or stored.buckets) != (stored.key, stored.buckets):
+        raise ValueError(f"{table} has {stored.buckets} buckets of {stored.key}, not {layout.buckets} of {layout.key}")
+    if stored.dist == "key":
+        if layout.interleave or layout.dist in ("even", "all"):
+            raise ValueError(f"{table} is bucketed by {stored.key}")
+        return replace(layout, dist="key", key=stored.key, buckets=stored.buckets)
+    return replace(layout, partition_by=stored.partition_by)
+
+
 def publish(df: DataFrame, table: str, layout: Layout = Layout()) -> str:
     """Make ``df`` the new content of ``table`` and return the folder it replaced, which is left as it is.
 
-    ``df`` may read the table. ``layout`` must bucket as the table does.
+    ``df`` may read the table. Partitions and buckets follow the table; ``layout`` adds order, encodings and codec.
     """
     spark = df.sparkSession
+    layout, old = obeyed(spark, table, layout), location(spark, table)
     if layout.partition_by:
-        raise ValueError("a partitioned table is replaced partition by partition")
-    old, new, holder = location(spark, table), new_path(spark, table.split(".")[-1]), new_name("incoming")
-    save_table(df, holder, layout, new)
+        replace_partitions(spark.table(table), df, table, layout)
+        return old
+    new, holder = new_path(spark, table.split(".")[-1]), new_name("incoming")
+    save_table(df.select(*spark.table(table).columns), holder, layout, new)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     spark.catalog.refreshTable(table)
     spark.sql(f"DROP TABLE {holder}")
     return old
 
 
-# Up to this many partitions are named one by one; beyond it, by the values of each column.
-NAMED_PARTITIONS = 200
-
-
 def in_partitions(df: DataFrame, columns: list[str]) -> Column:
-    """A predicate that holds in the partitions ``df`` has rows in, and prunes directories. For very many partitions of
-    several columns it may hold in others too.
+    """A predicate that holds exactly in the partitions ``df`` has rows in, and prunes directories.
 
-    Only partition values travel through the driver: as many as the batch touches directories.
+    Only partition values travel through the driver: as many as the batch touches directories, which the catalog's
+    statements need there in any case.
     """
-    values = df.select(*columns).distinct().collect()
-
-    def one_of(c: str) -> Column:
-        found = {v[c] for v in values}
-        known = F.col(c).isin([v for v in found if v is not None])
-        return known | F.col(c).isNull() if None in found else known
-    if not values:
-        return F.lit(False)
-    if len(columns) == 1 or len(values) > NAMED_PARTITIONS:
-        return reduce(lambda a, b: a & b, [one_of(c) for c in columns])
-    each = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in columns]) for v in values]
-    return reduce(lambda a, b: a | b, each)
+    def within(values: list[tuple], names: list[str]) -> Column:
+        """Grouped by the first column, so that the predicate stays small for many partitions."""
+        first, rest = F.col(names[0]), names[1:]
+        below: dict[object, list[tuple]] = {}
+        for v in values:
+            below.setdefault(v[0], []).append(v[1:])
+        if not rest:
+            known = first.isin([v for v in below if v is not None])
+            return known | first.isNull() if None in below else known
+        return reduce(lambda a, b: a | b, [first.eqNullSafe(F.lit(v)) & within(more, rest) for v, more in below.items()])
+    found = [tuple(r) for r in df.select(*columns).distinct().collect()]
+    return within(found, columns) if found else F.lit(False)
 
 
 def _spec(folder: str, depth: int) -> str:
@@ -87,46 +115,75 @@ def _spec(folder: str, depth: int) -> str:
     return ", ".join(parts)
 
 
-def _point(spark: SparkSession, table: str, spec: str, folder: str) -> None:
-    place = folder.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
-    spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+#: Partitions that one catalog statement names.
+STATEMENT_PARTITIONS = 200
+
+
+def _point(spark: SparkSession, table: str, places: list[tuple[str, str]]) -> None:
+    """Point partitions (spec, folder) at their folders: two catalog statements per ``STATEMENT_PARTITIONS``. The folders that
+    were current before stay on disk."""
+    quoted = [(spec, folder.replace("\\", "\\\\").replace("'", "\\'")) for spec, folder in places]
+    for k in range(0, len(quoted), STATEMENT_PARTITIONS):
+        chunk = quoted[k:k + STATEMENT_PARTITIONS]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({spec})" for spec, _ in chunk))
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS "
+                  + " ".join(f"PARTITION ({spec}) LOCATION '{folder}'" for spec, folder in chunk))
 
 
-def overwrite_partitions(df: DataFrame, table: str, partition_by: tuple[str, ...], layout: Layout = Layout()) -> None:
-    """Replace exactly the partitions ``df`` has rows in.
+def overwrite_partitions(df: DataFrame, table: str, layout: Layout = Layout()) -> list[tuple[str, str]]:
+    """Replace exactly the partitions ``df`` has rows in, and return them as (spec, folder).
 
-    The new files go to a folder of their own, so ``df`` may read the table and a failed write changes nothing; then the
-    catalog is pointed at it, partition by partition.
+    The new files go to a folder of their own, so ``df`` may read the table and a failed write changes nothing. Then the
+    catalog is pointed at it, some hundred partitions per statement: a failure between two statements leaves some
+    partitions old and some new, and running the same change again completes it.
     """
+    spark, layout = df.sparkSession, obeyed(df.sparkSession, table, layout)
+    places = _written_partitions(df, layout)
+    _point(spark, table, places)
+    spark.catalog.refreshTable(table)
+    return places
+
+
+def _written_partitions(df: DataFrame, layout: Layout) -> list[tuple[str, str]]:
     spark, new = df.sparkSession, new_path(df.sparkSession, "partitions")
-    shaped = Layout(partition_by=partition_by, sort=layout.sort, encodings=layout.encodings, codec=layout.codec)
-    writer(df, shaped).save(new)
+    writer(df, layout).save(new)
     # A listing, reduced on the executors to one name per partition written.
     folders = file_sizes(spark, new).select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
-    for row in folders.collect():
-        if "=" in row["folder"].rsplit("/", 1)[-1]:
-            _point(spark, table, _spec(row["folder"], len(partition_by)), row["folder"])
-    spark.catalog.refreshTable(table)
+    return [(_spec(r["folder"], len(layout.partition_by)), r["folder"]) for r in folders.collect()
+            if "=" in r["folder"].rsplit("/", 1)[-1]]
 
 
 def upsert_table(source: DataFrame, table: str, keys: list[str], update_cols: list[str],
-                 touch: dict[str, Column] | None = None, newer: str | None = None, layout: Layout = Layout()) -> None:
-    """Upsert into a table. In a partitioned one only the partitions the batch has rows in are read and rewritten,
-    which asks that a key never moves to another partition."""
-    spark = source.sparkSession
-    target = spark.table(table)
-    if layout.partition_by:
-        touched = target.where(in_partitions(source, list(layout.partition_by)))
-        result = upsert(touched, source, keys, update_cols, touch, newer)
-        overwrite_partitions(result, table, layout.partition_by, layout)
-    else:
-        publish(upsert(target, source, keys, update_cols, touch, newer), table, layout)
+                 touch: dict[str, Column] | None = None, newer: str | list[str] | None = None, layout: Layout = Layout(),
+                 check: bool = True) -> None:
+    """Upsert into a table. In a partitioned one only partitions are read and rewritten that the batch has rows in or that
+    hold one of its keys; a key whose partition differs from its old one moves there."""
+    spark, target = source.sparkSession, source.sparkSession.table(table)
+    layout = obeyed(spark, table, layout)
+    parts = list(layout.partition_by)
+    if not parts:
+        publish(upsert(target, source, keys, update_cols, touch, newer, check=check), table, layout)
+        return
+    changed = [*update_cols, *[p for p in parts if p not in update_cols and p not in keys]]
+    touched = target.where(in_partitions(held_partitions(target, source, keys, parts), parts))
+    result = upsert(touched, source, keys, changed, touch, newer, check=check)
+    replace_partitions(touched, result, table, layout)
+
+
+def held_partitions(target: DataFrame, source: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
+    """The partitions that the source has rows in, and those where the target holds its keys; only key and partition
+    columns are read. If the partition columns are keys, a key cannot have moved."""
+    own = source.select(*[F.col(p).cast(target.schema[p].dataType).alias(p) for p in parts])
+    if set(parts) <= set(keys):
+        return own
+    wanted = source.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
+    return own.unionByName(target.select(*dict.fromkeys([*keys, *parts])).join(wanted, same, "left_semi").select(*parts))
 
 
 def delete_from(spark: SparkSession, table: str, predicate: Column, layout: Layout = Layout()) -> None:
     """Delete rows. In a partitioned table only partitions that hold such rows are rewritten."""
-    rows = spark.table(table)
+    rows, layout = spark.table(table), obeyed(spark, table, layout)
     if layout.partition_by:
         touched = rows.where(in_partitions(rows.where(predicate), list(layout.partition_by)))
         replace_partitions(touched, delete_where(touched, predicate), table, layout)
@@ -134,16 +191,21 @@ def delete_from(spark: SparkSession, table: str, predicate: Column, layout: Layo
         publish(delete_where(rows, predicate), table, layout)
 
 
-def replace_partitions(before: DataFrame, after: DataFrame, table: str, layout: Layout) -> None:
-    """Write ``after`` over the partitions of ``before``; a partition that ends up empty is pointed at an empty folder."""
-    spark, parts = before.sparkSession, list(layout.partition_by)
-    had, has = before.select(*parts).distinct(), after.select(*parts).distinct()
-    same = reduce(lambda a, b: a & b, [had[c].eqNullSafe(has[c]) for c in parts])
-    emptied = had.join(has, same, "left_anti").select(*[F.col(c).cast("string").alias(c) for c in parts]).collect()
-    overwrite_partitions(after, table, layout.partition_by, layout)
-    for row in emptied:
-        nothing = new_path(spark, "empty")
-        after.drop(*parts).where(F.lit(False)).write.parquet(nothing)
-        steps = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else quote(row[c], safe=' ')}" for c in parts]
-        _point(spark, table, _spec("/".join(steps), len(parts)), nothing)
+def replace_partitions(before: DataFrame, after: DataFrame, table: str, layout: Layout = Layout()) -> None:
+    """Write ``after`` over the partitions of ``before`` and its own; a partition that ends up empty is pointed at an empty
+    folder. ``before`` names them as they are in the table; ``after`` may read it."""
+    spark = before.sparkSession
+    layout = obeyed(spark, table, layout)
+    parts = list(layout.partition_by)
+    had = [tuple(r) for r in before.select(*[F.col(c).cast("string") for c in parts]).distinct().collect()]
+    places = _written_partitions(after.select(*spark.table(table).columns), layout)
+    written = {spec for spec, _ in places}
+    for values in had:
+        steps = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else quote(v, safe=' ')}" for c, v in zip(parts, values)]
+        spec = _spec("/".join(steps), len(parts))
+        if spec not in written:
+            nothing = new_path(spark, "empty")
+            after.select(*[c for c in spark.table(table).columns if c not in parts]).where(F.lit(False)).write.parquet(nothing)
+            places.append((spec, nothing))
+    _point(spark, table, places)
     spark.catalog.refreshTable(table)

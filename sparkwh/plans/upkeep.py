@@ -11,7 +11,7 @@ from ..operators.loads import delete_where
 from ..operators.upkeep import MIN_DELETED, analyze_table
 from ..sources.files import file_sizes
 from .layout import Layout
-from .tables import location, publish, replace_partitions
+from .tables import location, obeyed, publish
 
 TARGET_FILE_MB = 256
 
@@ -27,17 +27,15 @@ def table_bytes(spark: SparkSession, table: str) -> tuple[int, int]:
 
 def compact(spark: SparkSession, table: str, layout: Layout = Layout(), deleted: Column | None = None,
             target_file_mb: int = TARGET_FILE_MB) -> None:
-    """Rewrite a table without its deleted rows, in its sort order, as files of about the target size."""
-    rows = spark.table(table)
+    """Rewrite a table without its deleted rows, in its sort order, as files of about the target size. Partitions and buckets
+    stay as they are; inside a partition, too, files reach the target size."""
+    rows, layout = spark.table(table), obeyed(spark, table, layout)
     kept = rows if deleted is None else delete_where(rows, deleted)
-    if layout.partition_by:
-        replace_partitions(rows, kept, table, layout)
-        return
     if layout.dist != "key":
         size, _ = table_bytes(spark, table)
         files = max(1, ceil(size / (target_file_mb * 1024 * 1024)))
-        dist = "even" if layout.dist == "auto" and not (layout.sort or layout.interleave) else layout.dist
-        layout = replace(layout, files=files, dist=dist)
+        plain = layout.dist == "auto" and not (layout.sort or layout.interleave or layout.partition_by)
+        layout = replace(layout, files=files, dist="even" if plain else layout.dist)
     publish(kept, table, layout)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def builder(app_name: str = "sparkwh", data_bytes: int | None = None, **extra: s
     """
     out = SparkSession.builder.appName(app_name)
     sized = {} if data_bytes is None else {
-        "spark.sql.shuffle.partitions": str(min(100_000, max(200, data_bytes // TASK_BYTES)))}
+        "spark.sql.shuffle.partitions": str(max(200, data_bytes // TASK_BYTES))}
     for key, value in {**SETTINGS, **sized, **extra}.items():
         out = out.config(key, value)
     return out
@@ -52,7 +53,7 @@ def shared_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     key = app_id(spark)
     if key not in _local_bases:

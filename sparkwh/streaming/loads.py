@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from functools import reduce
 
-from ..operators.loads import upsert
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from ..functions.scalars import seconds
 from ..operators.reports import latest_version
 from ..plans.layout import Layout
-from ..plans.tables import in_partitions, overwrite_partitions, publish
+from ..plans.tables import append, upsert_table
 from ..session import stage
 
 
@@ -21,34 +24,67 @@ def stream_append(rows: DataFrame, target: str, checkpoint: str) -> None:
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())
 
 
+def _run(rows: DataFrame, apply: Callable[[DataFrame, int], None], table: str, checkpoint: str) -> None:
+    """Run every micro-batch that is due. Micro-batches have a session of their own, which knows nothing of what the caller's
+    session does to the table, nor the other way round: each is told."""
+    def fresh(batch: DataFrame, batch_id: int) -> None:
+        batch.sparkSession.catalog.refreshTable(table)
+        apply(batch, batch_id)
+    (rows.writeStream.foreachBatch(fresh).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    rows.sparkSession.catalog.refreshTable(table)
+
+
 def stream_latest_upsert(rows: DataFrame, table: str, keys: list[str], version_col: str, tiebreak: list[str],
                          update_cols: list[str], checkpoint: str, layout: Layout = Layout()) -> None:
     """Upsert the newest version per key of each micro-batch, then stop when nothing is left.
 
-    A row already at that version or later stays, so batches may come late or twice. Each micro-batch rewrites what it
-    touches: few large batches, or a partitioned table, keep that small.
+    A row already at that version or later stays, versions that tie being told apart by ``tiebreak`` as in the batch rule,
+    so batches may come late, twice or in any order. Each micro-batch rewrites what it touches: few large batches, or a
+    partitioned table, keep that small.
     """
-    spark = rows.sparkSession
-
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest = stage(latest_version(batch, keys, version_col, tiebreak), f"batch-{batch_id}")
-        target = spark.table(table)
-        parts = layout.partition_by
-        base = target.where(in_partitions(newest, list(parts))) if parts else target
-        result = upsert(base, newest, keys, update_cols, newer=version_col, check=False)
-        if parts:
-            overwrite_partitions(result, table, parts, layout)
-        else:
-            publish(result, table, layout)
-
-    (rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+        upsert_table(newest, table, keys, update_cols, newer=[version_col, *tiebreak], layout=layout, check=False)
+
+    _run(rows, apply, table, checkpoint)
+
+
+def _known(keys: list[str], ts_col: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, ts_col]])
 
 
-def stream_dedup(rows: DataFrame, keys: list[str], ts_col: str, tolerance: str = "5 minutes") -> DataFrame:
-    """Drop a repeated key that arrives within the tolerance; state for a key is let go after that.
+def first_of_runs(rows: DataFrame, keys: list[str], ts_col: str, tolerance: int) -> DataFrame:
+    """Rows without an earlier row of their key within ``tolerance`` seconds; of rows with equal times one stays."""
+    before = F.lag(ts_col).over(Window.partitionBy(*keys).orderBy(ts_col))
+    return rows.withColumn("_before", before).where(
+        F.col("_before").isNull() | (F.col("_before") < F.col(ts_col) - seconds(F.lit(tolerance)))).drop("_before")
 
-    The batch rule compares with the stored table; here only rows seen within the tolerance are remembered.
+
+def missing_around(rows: DataFrame, target: DataFrame, keys: list[str], ts_col: str, tolerance: int) -> DataFrame:
+    """Rows for which the target has no row of the same key within ``tolerance`` seconds before or after.
+
+    Times are cut into steps of the tolerance. The target shrinks to the first and last time of each key and step before it
+    is shuffled, and a row meets at most the three steps around its own, so a key with very many rows stays cheap.
+    """
+    at, span = F.col(ts_col), seconds(F.lit(tolerance))
+    step = F.floor((F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86_400
+                    + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)) / tolerance)
+    there = target.where(_known(keys, ts_col)).groupBy(*keys, step.alias("_step")).agg(F.min(ts_col).alias("_first"), F.max(ts_col).alias("_last"))
+    near = (rows.select(*keys, ts_col, F.explode(F.sequence(step - 1, step + 1)).alias("_step")).join(there, [*keys, "_step"])
+            .where((F.col("_last") >= at - span) & (F.col("_first") <= at + span)).select(*keys, ts_col).distinct())
+    return rows.join(near, [*keys, ts_col], "left_anti")
+
+
+def stream_dedup(rows: DataFrame, table: str, keys: list[str], ts_col: str, checkpoint: str, tolerance: int = 300) -> None:
+    """Append rows whose key has none within ``tolerance`` seconds, in the table or earlier in the micro-batch, then stop.
+
+    Comparing with the table, not with state that is let go, keeps late rows: they are dropped only if they repeat a row. A
+    batch that is repeated after a failure finds its own rows and adds nothing. Rows with a NULL in key or time repeat nothing.
     """
-    zoned = rows.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    return zoned.withWatermark(ts_col, tolerance).dropDuplicatesWithinWatermark(keys)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        known = first_of_runs(batch.where(_known(keys, ts_col)), keys, ts_col, tolerance)
+        fresh = missing_around(known, batch.sparkSession.table(table), keys, ts_col, tolerance)
+        append(stage(fresh.unionByName(batch.where(~_known(keys, ts_col))), f"batch-{batch_id}"), table)
+
+    _run(rows, apply, table, checkpoint)

@@ -153,18 +153,37 @@ def test_upsert_newer_keeps_later_versions(spark):
     assert {r["id"]: (r["status"], r["at"].day) for r in got.collect()} == {1: ("x", 5), 2: ("y", 3), 3: ("y", 3)}
 
 
-def test_both_sizes_of_source_give_the_same(spark, monkeypatch):
-    from sparkwh.operators import joins
-    target = make(spark, *[(i, None, "1", "x") for i in range(0, 60, 2)])
+def test_both_ways_to_join_give_the_same(spark):
+    target = make(spark, *[(i, None, "1", "x") for i in range(0, 60, 2)], (None, None, "7", "kept"))
     source = make(spark, *[(i, None, "2", None) for i in range(40)], (None, None, "3", "n"))
 
-    def everything():
-        return [rows(loads.upsert(target, source, ["id"], COLS)), rows(missing(source, target, ["id"])),
-                rows(existing(source, target, ["id"])),
-                rows(loads.classify_changes(source, target, ["id"], ["status"], "2024-01-01", created_col="at"))]
-    small = everything()
-    monkeypatch.setattr(joins, "is_small", lambda *a: False)
-    assert everything() == small
+    def everything(small):
+        return [rows(loads.upsert(target, source, ["id"], COLS, small=small)), rows(missing(source, target, ["id"], small)),
+                rows(existing(source, target, ["id"], small)),
+                rows(loads.classify_changes(source, target, ["id"], ["status"], "2024-01-01", created_col="at", small=small))]
+    assert everything(True) == everything(False)
+
+
+def test_upsert_shuffles_each_side_once(spark, plan_of, no_broadcast):
+    target, source = (spark.range(100).selectExpr("id", "id AS v") for _ in range(2))
+    assert plan_of(loads.upsert(target, source, ["id"], ["v"])).count("Exchange hashpartitioning") == 2
+    changes = source.withColumn("operation_type", F.lit("UPDATE"))
+    assert plan_of(loads.apply_changes(target, changes, ["id"], ["v"])).count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_repeated_keys_are_an_error(spark, small):
+    target = make(spark, (1, None, "1", "x"))
+    for twice in ((1, 1), (3, 3)):
+        source = make(spark, *[(k, None, "2", "y") for k in twice])
+        with pytest.raises(Exception, match="more than one source row"):
+            loads.upsert(target, source, ["id"], COLS, small=small).collect()
+        with pytest.raises(Exception, match="more than one source row"):
+            loads.classify_changes(source, target, ["id"], ["status"], "2024-01-01", created_col="at", small=small).collect()
+        with pytest.raises(Exception, match="more than one source row"):
+            loads.apply_changes(target, source.withColumn("operation_type", F.lit("INSERT")), ["id"], COLS).collect()
+    with pytest.raises(Exception, match="more than one source row"):
+        loads.update_from(target, make(spark, (1, None, "2", "y"), (1, None, "3", "z")), ["id"], COLS).collect()
 
 
 KEYS = st.lists(st.integers(-3, 12), unique=True, max_size=10)

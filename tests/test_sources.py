@@ -199,20 +199,38 @@ def test_stream_upsert_ignores_late_and_repeated_versions(spark):
     assert rows(spark.table(table)) == after
 
 
-def test_stream_dedup_forgets_after_the_tolerance(spark):
-    source, target, mark = (new_path(spark, n) for n in ("in", "out", "mark"))
+def test_stream_upsert_breaks_ties_across_batches(spark):
+    schema = "k INT, v INT, s STRING"
+    for order in (("a", "b"), ("b", "a")):
+        source, table, mark = new_path(spark, "in"), new_name("t"), new_path(spark, "mark")
+        tables.save_table(spark.createDataFrame([], schema), table)
+        for s in order:
+            spark.createDataFrame([(1, 7, s)], schema).coalesce(1).write.mode("append").parquet(source)
+            streams.stream_latest_upsert(streams.read_new_files(spark, source, schema), table, ["k"], "v", ["s"], ["s"], mark)
+        assert rows(spark.table(table)) == [(1, 7, "b")]
+
+
+def test_stream_dedup_loses_no_row(spark):
+    source, table, mark = new_path(spark, "in"), new_name("t"), new_path(spark, "mark")
     schema = "k INT, at TIMESTAMP_NTZ"
-    for at in ("10:00", "10:02", "11:00", "11:30"):
-        spark.sql(f"SELECT 1 AS k, TIMESTAMP_NTZ '2024-01-01 {at}:00' AS at").coalesce(1).write.mode("append").parquet(source)
-        got = streams.stream_dedup(streams.read_new_files(spark, source, schema), ["k"], "at", "5 minutes")
-        streams.stream_append(got, target, mark)
-    kept = {r["at"].strftime("%H:%M") for r in spark.read.parquet(target).collect()}
-    assert "10:00" in kept and "10:02" not in kept and "11:30" in kept
+    tables.save_table(spark.createDataFrame([], schema), table)
+
+    def arrive(checkpoint, *pairs):
+        text = ", ".join(f"({k}, TIMESTAMP_NTZ '2024-01-01 {at}:00')" for k, at in pairs)
+        spark.sql(f"SELECT CAST(col1 AS INT) AS k, col2 AS at FROM VALUES {text}").coalesce(1).write.mode("append").parquet(source)
+        streams.stream_dedup(streams.read_new_files(spark, source, schema, maxFilesPerTrigger="1"), table, ["k"], "at", checkpoint)
+    for pairs in ([(1, "10:00")], [(1, "10:02"), (3, "12:00"), (3, "12:00")], [(1, "11:00")], [(1, "11:30")], [(2, "09:00"), (1, "09:00")]):
+        arrive(mark, *pairs)
+    kept = [(1, "09:00"), (1, "10:00"), (1, "11:00"), (1, "11:30"), (2, "09:00"), (3, "12:00")]
+    seen = lambda: sorted((r["k"], r["at"].strftime("%H:%M")) for r in spark.table(table).collect())
+    assert seen() == kept
+    arrive(new_path(spark, "mark"), (2, "09:01"))  # a lost checkpoint repeats every batch
+    assert seen() == kept
 
 
 def test_builder_settings():
     assert session.SETTINGS["spark.sql.adaptive.enabled"] == "true"
     assert isinstance(session.builder("x"), SparkSession.Builder)
     sized = session.builder("x", data_bytes=100 << 40)
-    assert sized._options["spark.sql.shuffle.partitions"] == "100000"
+    assert sized._options["spark.sql.shuffle.partitions"] == str((100 << 40) // session.TASK_BYTES)
     sized._options.pop("spark.sql.shuffle.partitions")

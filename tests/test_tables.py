@@ -10,7 +10,7 @@ from sparkwh.functions.scalars import ts
 from sparkwh.operators import joins, loads
 from sparkwh.operators.upkeep import analyze_table, column_statistics, key_skew, zone_overlap, zone_ranges
 from sparkwh.plans import fixtures as fx
-from sparkwh.plans import jobs, tables, upkeep
+from sparkwh.plans import jobs, layout, tables, upkeep
 from sparkwh.plans.layout import ENCODING_NAMES, Layout, arrange, write_files
 from sparkwh.session import new_name, new_path, stage
 from sparkwh.sources import footers
@@ -105,7 +105,7 @@ def test_partition_values_of_every_kind(spark):
     table = new_name("t")
     tables.save_table(df, table, layout)
     changed = df.withColumn("id", F.col("id") + 10)
-    tables.overwrite_partitions(changed, table, ("p", "q"))
+    tables.overwrite_partitions(changed, table)
     assert rows(spark.table(table).select("id", "p", "q")) == rows(changed)
     tables.delete_from(spark, table, F.col("id") % 2 == 1, layout)
     assert rows(spark.table(table).select("id")) == [(12,), (14,)]
@@ -126,9 +126,9 @@ def test_partition_predicate_prunes(spark, plan_of):
 def test_small_batch_does_not_shuffle_the_target(spark, plan_of, no_broadcast):
     table = new_name("t")
     tables.save_table(numbers(spark), table)
-    text = plan_of(loads.update_from(spark.table(table), numbers(spark, 5), ["id"], ["v"]))
+    text = plan_of(loads.update_from(spark.table(table), numbers(spark, 5), ["id"], ["v"], small=True, check=False))
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
-    found = joins.matching_keys(spark.table(table), numbers(spark, 5), ["id"])
+    found = joins.matching_keys(spark.table(table), numbers(spark, 5), ["id"], small=True)
     text = plan_of(found)
     assert "LeftSemi" in text and "BroadcastHashJoin" in text and "ReadSchema: struct<id:bigint>" in text
 
@@ -145,13 +145,86 @@ def test_colocated_join_with_a_hot_key(spark, plan_of, no_broadcast):
     for how in ("inner", "left"):
         got = joins.colocated_join(spark, left, right, "key", how, hot_share=0.2)
         assert rows(got.select("key", "n", "d")) == rows(facts.join(dims, "key", how).select("key", "n", "d"))
-        assert "_salt" in plan_of(got)
+        assert "explode" in plan_of(got)
     plain = joins.colocated_join(spark, left, right, "key", hot_share=0.9)
     assert "Exchange" not in plan_of(plain)
     with pytest.raises(ValueError):
         joins.colocated_join(spark, left, right, "key", "full")
 
 
+def test_colocated_join_with_keys_hot_on_either_side(spark):
+    k = F.col("id")
+    left_rows = spark.range(900).select(F.when(k % 3 == 0, 1).when(k % 3 == 1, 2).otherwise(k).alias("key"), k.alias("n"))
+    right_rows = spark.range(60).select(F.when(k % 2 == 0, 3).when(k % 5 == 0, 1).otherwise(k).alias("key"), k.alias("d"))
+    layout = Layout(dist="key", key="key", buckets=3)
+    left, right = new_name("l"), new_name("r")
+    tables.save_table(left_rows, left, layout), tables.save_table(right_rows, right, layout)
+    for how in ("inner", "left"):
+        got = joins.colocated_join(spark, left, right, "key", how, hot_share=0.08, salts=6)
+        assert rows(got.select("key", "n", "d")) == rows(left_rows.join(right_rows, "key", how).select("key", "n", "d"))
+
+
+def test_writes_follow_the_stored_layout(spark):
+    """No write needs to be told the partitions or buckets; a layout that contradicts them is refused before writing."""
+    table = new_name("t")
+    tables.save_table(numbers(spark), table, Layout(partition_by=("part",)))
+    total = spark.table(table).count()
+    tables.delete_from(spark, table, F.col("id") < 10)
+    assert spark.table(table).count() == total - 10
+    tables.publish(spark.table(table).where("part <> 1"), table)
+    assert spark.table(table).where("part = 1").count() == 0
+    before = spark.table(table).count()
+    with pytest.raises(ValueError):
+        tables.publish(spark.table(table), table, Layout(partition_by=("v",)))
+    with pytest.raises(ValueError):
+        tables.publish(spark.table(table), table, Layout(dist="key", key="id", buckets=2))
+    assert spark.table(table).count() == before
+    bucketed = new_name("b")
+    tables.save_table(numbers(spark), bucketed, Layout(dist="key", key="id", buckets=3))
+    tables.delete_from(spark, bucketed, F.col("id") < 10)
+    assert spark.table(bucketed).count() == total - 10 and tables.stored_layout(spark, bucketed).buckets == 3
+    with pytest.raises(ValueError):
+        tables.publish(spark.table(bucketed), bucketed, Layout(interleave=("id",)))
+
+
+def test_untouched_partitions_are_not_rewritten(spark):
+    table = new_name("t")
+    tables.save_table(numbers(spark), table, Layout(partition_by=("part",)))
+    files = lambda: {r[0]: r[1] for r in spark.table(table).groupBy("part").agg(F.min("_metadata.file_path")).collect()}
+    first = files()
+    batch = spark.table(table).where("part = 2").limit(1).withColumn("part", F.lit(3))
+    tables.upsert_table(batch, table, ["id"], ["v"])
+    changed = {p for p, path in files().items() if path != first[p]}
+    assert changed == {2, 3} and spark.table(table).count() == numbers(spark).count()
+
+
+def test_partitioned_compaction_keeps_the_order_and_the_file_size(spark):
+    table = new_name("t")
+    tables.save_table(numbers(spark).repartition(12), table, Layout(partition_by=("part",)))
+    upkeep.compact(spark, table, Layout(interleave=("id", "v")))
+    per = spark.table(table).groupBy("part").agg(F.count_distinct("_metadata.file_path").alias("files")).collect()
+    assert all(r["files"] == 1 for r in per) and spark.table(table).count() == numbers(spark).count()
+
+
+def test_files_follow_the_size_of_the_data(spark):
+    path, small = new_path(spark, "many"), new_path(spark, "few")
+    spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad")).write.parquet(path)
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad")).write.parquet(small)
+    many, few = (layout.pieces_of(spark.read.parquet(p), 100_000) for p in (path, small))
+    assert 8 <= many / few <= 12
+    assert layout.pieces_of(spark.read.parquet(path).join(spark.read.parquet(small), "id"), 100_000) <= many + few + 1
+
+
+def test_one_file_layout_obeys_or_refuses(spark, monkeypatch):
+    path = new_path(spark, "one")
+    spark.range(1000).write.parquet(path)
+    write_files(spark.read.parquet(path), path + "-all", Layout(dist="all"))
+    assert spark.read.parquet(path + "-all").select("_metadata.file_path").distinct().count() == 1
+    monkeypatch.setattr(layout, "ALL_BYTES", 10)
+    with pytest.raises(ValueError):
+        write_files(spark.read.parquet(path), path + "-more", Layout(dist="all"))
+
+
 def test_hot_key_is_split_over_files_of_its_bucket(spark):
     """Writing by key does not put a third of the rows through one task once they exceed a task's size."""
     held = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
@@ -170,12 +243,11 @@ def test_hot_key_is_split_over_files_of_its_bucket(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", held)
 
 
-def test_broadcast_dim_falls_back_to_shuffle(spark, plan_of, no_broadcast):
+def test_dimension_is_broadcast_only_if_vouched_for(spark, plan_of, no_broadcast):
     fact, dim = numbers(spark), numbers(spark, 50).select("id", F.lit("x").alias("d"))
-    assert "BroadcastHashJoin" in plan_of(joins.broadcast_dim(fact, dim, ["id"]))
-    large = joins.broadcast_dim(fact, dim, ["id"], max_rows=49)
+    assert "BroadcastHashJoin" in plan_of(joins.broadcast_dim(fact, dim, ["id"], small=True))
+    large = joins.broadcast_dim(fact, dim, ["id"])
     assert "BroadcastHashJoin" not in plan_of(large) and large.count() == 50
-    assert not joins.is_small(dim, max_bytes=100)
 
 
 def test_compound_sort_reaches_few_files(spark):
