@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_SAMPLE_ROWS = 20_000
+from .numbering import with_running_total
 
 
 def bucket_of(col: Column, bounds: list) -> Column:
@@ -30,28 +32,26 @@ def interleave_code(columns: list[tuple[Column, list]], bits: int) -> Column:
     return code
 
 
-def _picks(column: str, shares: list[float]) -> Column:
-    """The elements at the given shares of a sorted array column."""
-    last = F.size(column) - 1
-    places = [(F.lit(s) * last).cast("int") + 1 for s in shares]
-    return F.when(last >= 0, F.array(*[F.element_at(column, p) for p in places]))
-
+def _text_bounds(df: DataFrame, column: str, shares: list[float]) -> list:
+    """The values at the given shares of the sorted rows, from counts per distinct value and their running total: only these
+    values come back, and a value that fills the table is one row."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = with_running_total(counts, ["_value"], "_n", "_before")
+    last = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)) - 1).scalar()
+    at = [F.floor(F.lit(s) * F.col("_last")) for s in shares]
+    hit = reduce(lambda a, b: a | b, [(w >= F.col("_before")) & (w < F.col("_before") + F.col("_n")) for w in at])
+    return [r[0] for r in placed.withColumn("_last", last).where(hit).select("_value").collect()]
 
-def quantile_bounds(df: DataFrame, columns: list[str], bits: int, seed: int = 7) -> list[list]:
-    """Approximate bucket bounds per column: one aggregate over the table, a few values back to the driver.
 
-    The bounds only decide where rows are stored, never which rows there are, so a sketch (and for text, which the
-    sketch does not take, a bounded sample) is enough.
-    """
+def quantile_bounds(df: DataFrame, columns: list[str], bits: int) -> list[list]:
+    """Bucket bounds per column; a few values come back to the driver. The bounds only decide where rows are stored, never
+    which rows there are, so for numbers and times a sketch is enough; text, which the sketch does not take, is counted."""
     parts = 1 << bits
     shares = [i / parts for i in range(1, parts)]
     text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     other = [c for c in columns if c not in text]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.percentile_approx(c, shares, 1000).alias(c) for c in other]).first()
-    found: dict[str, list] = {c: row[c] or [] for c in other}
-    if text:
-        sample = df.select(*text).sample(fraction=min(1.0, _SAMPLE_ROWS / max(row["_rows"], 1)), seed=seed)
-        ordered = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in text])
-        row = ordered.select(*[_picks(c, shares).alias(c) for c in text]).first()
-        found.update({c: row[c] or [] for c in text})
+    found: dict[str, list] = {c: _text_bounds(df, c, shares) for c in text}
+    if other:
+        row = df.agg(*[F.percentile_approx(c, shares, 1000).alias(c) for c in other]).first()
+        found.update({c: row[c] or [] for c in other})
     return [sorted(set(found[c])) for c in columns]

@@ -39,6 +39,16 @@ def any_like(df: DataFrame, col: str, patterns: list[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.col(col).like(p) for p in patterns]))
 
 
+def none_like(df: DataFrame, col: str, patterns: list[str]) -> DataFrame:
+    """Rows whose value is known and fits none of the patterns."""
+    return df.where(reduce(lambda a, b: a & b, [~F.col(col).like(p) for p in patterns]))
+
+
+def one_of(df: DataFrame, col: str, values: list) -> DataFrame:
+    """Rows whose value is in a given list; NULL is in none."""
+    return df.where(F.col(col).isin(list(values)))
+
+
 def differs(a: str, b: str, cols: list[str], null_safe: bool = True) -> Column:
     """True where any of ``cols`` differs between the two sides of a join aliased ``a`` and ``b``.
 

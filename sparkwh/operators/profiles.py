@@ -105,10 +105,10 @@ def _suggestion(kind: Column) -> Column:
     runs = F.col("run_count") / F.col("row_count")
     distinct = F.col("n_distinct") / F.col("row_count")
     return (F.when(kind == "boolean", "RUNLENGTH")
+            .when((kind == "text") & (F.col("mean_length") > LONG_TEXT), "ZSTD")  # whatever its cardinality
             .when(runs < RUN_SHARE, "RUNLENGTH")
             .when((kind == "ordered") & (F.col("rising_share") >= SORTED_SHARE), "DELTA")
             .when((kind == "text") & (distinct < DICT_SHARE), "BYTEDICT")
-            .when((kind == "text") & (F.col("mean_length") > LONG_TEXT), "ZSTD")
             .otherwise("TEXT255"))
 
 

@@ -53,18 +53,12 @@ def maintenance_statements(log: DataFrame, as_of: str, span: str, strict: bool =
     return log.where(chosen).orderBy(F.col("start_time").desc(), F.col("query_id"))
 
 
-# A group of up to this many queries is small enough to be sorted by one task.
-GROUP_ROWS = 1_000_000
-
-
-def class_percentile(log: DataFrame, unit: str, p: float, as_of: str, span: str, approx: bool = False,
-                     group_rows: int = GROUP_ROWS) -> DataFrame:
+def class_percentile(log: DataFrame, unit: str, p: float, as_of: str, span: str, approx: bool = False) -> DataFrame:
     """Count, mean and percentile of run time per period and class. The percentile interpolates between two ranks.
 
-    Groups are counted first. Only if none has more than ``group_rows`` rows does Spark's own exact percentile, which
-    gathers a group in one task, do the work. Otherwise ranks come from one global order of the distinct (group, value)
-    pairs with their counts: a group with a third of all queries is spread over many tasks, and each group then only
-    picks two values.
+    Ranks come from one global order of the distinct (group, value) pairs with their counts, at any group size: a group with a
+    third of all queries is spread over many tasks, and each group then only picks two values. ``approx`` asks for Spark's
+    sketch instead.
     """
     hour = trunc_ts(unit, F.col("start_time")).alias(unit)
     chosen = recent(log, "start_time", as_of, span).select(hour, "service_class", "total_time")
@@ -72,13 +66,8 @@ def class_percentile(log: DataFrame, unit: str, p: float, as_of: str, span: str,
     average = mean(F.sum("total_time"), F.count("total_time")).alias("avg_execution_time")
     name = f"p{round(p * 100)}_execution_time"
     if approx:
-        builtin = F.percentile_approx("total_time", p).cast("double")
-    else:
-        largest = chosen.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-        builtin = F.percentile("total_time", F.lit(p)) if largest <= group_rows else None
-    if builtin is not None:
-        return (chosen.groupBy(*group).agg(F.count(F.lit(1)).alias("query_count"), average, builtin.alias(name))
-                .orderBy(*group))
+        return (chosen.groupBy(*group).agg(F.count(F.lit(1)).alias("query_count"), average,
+                                           F.percentile_approx("total_time", p).cast("double").alias(name)).orderBy(*group))
     counts = chosen.groupBy(*group, "total_time").agg(F.count(F.lit(1)).alias("_n"))
     placed = with_running_total(counts, [*[F.col(c) for c in group], F.col("total_time").asc_nulls_first()], "_n",
                                 "_before")

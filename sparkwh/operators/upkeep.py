@@ -81,10 +81,11 @@ def key_skew(df: DataFrame, key: str, n: int, bucket: Column | None = None) -> D
     return buckets.withColumn("skew", F.round(F.col("row_count") / F.avg("row_count").over(everything), 4))
 
 
-def zone_ranges(df: DataFrame, col: str) -> DataFrame:
-    """Smallest and largest value per file, by reading the column. ``sources.footers.column_ranges`` gives the same from
-    the footers of Parquet files."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+def zone_ranges(df: DataFrame, col: str, zone: Column | None = None) -> DataFrame:
+    """Smallest and largest value per file, or per ``zone``, by reading the column. ``sources.footers.column_ranges`` gives the
+    same per file from the footers of Parquet files."""
+    place = F.col("_metadata.file_path") if zone is None else zone
+    return df.groupBy(place.alias("file_path")).agg(
         F.count(F.lit(1)).alias("row_count"), F.min(col).alias("min_value"), F.max(col).alias("max_value"),
         F.lit(True).alias("known"))
 

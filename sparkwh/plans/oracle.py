@@ -74,7 +74,8 @@ FIXTURES = {
 NEEDS = {"tgt_orders": ["src_orders"], "sales_text": ["sales"], "sales_month": ["sales"], "warehouse_sales": ["sales"],
          "counts": ["sales", "facts", "src_orders", "tgt_orders"]}
 
-REPORTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+REPORTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark",
+            "labels", "conversations")
 ORDER = "order_id, customer_id, order_date, total_amount, status, created_at"
 
 
@@ -147,10 +148,9 @@ def _encoding() -> str:
             FROM (SELECT {c}, lag({c}) OVER (ORDER BY sale_id) AS p, row_number() OVER (ORDER BY sale_id) AS n
                   FROM sales)""")
     return using("sales", f"""SELECT column_name, row_count, run_count, rising_share, mean_length, n_distinct,
-        CASE WHEN kind = 'boolean' OR run_count < 0.1 * row_count THEN 'RUNLENGTH'
-             WHEN kind = 'ordered' AND rising_share >= 0.9 THEN 'DELTA'
-             WHEN kind = 'text' AND n_distinct < 0.1 * row_count THEN 'BYTEDICT'
-             WHEN kind = 'text' AND mean_length > 255 THEN 'ZSTD' ELSE 'TEXT255' END AS suggested_encoding
+        CASE WHEN kind = 'boolean' THEN 'RUNLENGTH' WHEN kind = 'text' AND mean_length > 255 THEN 'ZSTD'
+             WHEN run_count < 0.1 * row_count THEN 'RUNLENGTH' WHEN kind = 'ordered' AND rising_share >= 0.9 THEN 'DELTA'
+             WHEN kind = 'text' AND n_distinct < 0.1 * row_count THEN 'BYTEDICT' ELSE 'TEXT255' END AS suggested_encoding
         FROM ({' UNION ALL '.join(parts)})""")
 
 
@@ -222,8 +222,34 @@ ORACLE = {
         CASE h(3, 4) WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'D' END AS category,
         CASE h(4, 2) WHEN 0 THEN 'SYS1' ELSE 'SYS2' END AS source_system""", "events", "event_id"),
     "compression_counts": " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, column_name, value_count FROM (SELECT count(*) AS value_count FROM {t}) CROSS JOIN "
-        f"(SELECT column_name FROM (DESCRIBE {t}))" for t in REPORTED),
+        f"SELECT '{t}' AS table_name, column_name, value_count, true AS codec_known, true AS has_bytes "
+        f"FROM (SELECT count(*) AS value_count FROM {t}) CROSS JOIN "
+        f"(SELECT column_name FROM (DESCRIBE {t}))" for t in REPORTED) + """
+        UNION ALL SELECT 'embeddings', 'vec_id', count(*), true, true FROM embeddings
+        UNION ALL SELECT 'embeddings', 'label', count(*), true, true FROM embeddings
+        UNION ALL SELECT 'embeddings', 'embedding.list.element', CAST(sum(len(embedding)) AS BIGINT), true, true FROM embeddings""",
+    "filter_patterns": using("query_log", """SELECT query_id, query, service_class FROM query_log
+        WHERE query NOT LIKE 'VACUUM%' AND query NOT LIKE 'ANALYZE%' AND query NOT LIKE 'DELETE%'
+          AND service_class IN ('view', 'click', 'purchase')"""),
+    "reencode_table": _ALL_SALES,
+    "maintain_schema": using("sales facts", """
+        SELECT table_name, deleted AS deleted_before, total AS total_before,
+               CASE WHEN deleted > 0.15 * total THEN 0 ELSE deleted END AS deleted_after,
+               CASE WHEN deleted > 0.15 * total THEN total - deleted ELSE total END AS total_after, deleted > 0.15 * total AS compacted
+        FROM (SELECT 'sales' AS table_name, count(*) FILTER (WHERE NOT is_active) AS deleted, count(*) AS total FROM sales
+              UNION ALL SELECT 'facts', count(*) FILTER (WHERE metric_value < 100), count(*) FROM facts)"""),
+    "load_query_log": """
+        SELECT event_id AS query_id, event_type AS query, concat('pool', event_id % 3) AS service_class,
+               CAST(date_trunc('second', ts) AS TIMESTAMP) AS start_time,
+               CAST(date_trunc('second', ts) + to_milliseconds(event_id % 5000) AS TIMESTAMP) AS end_time, event_id % 5000 AS total_time,
+               user_id AS rows, event_id * 17 AS bytes, event_id * 7 % 1000 AS workmem,
+               CAST(ceil(event_id % 3 * 1500000 / 1048576.0) AS BIGINT) AS temp_blocks, false AS is_rrscan FROM events""",
+    "approximate_profile": """SELECT unnest(['customer_id', 'region', 'store_id', 'sale_date', 'is_active']) AS column_name,
+        0.0::DOUBLE AS null_fraction, true AS distinct_close, true AS top_share_close""",
+    "zone_overlap": using("sales", """
+        SELECT count(*) AS file_count, count(*) FILTER (WHERE hi >= TIMESTAMP '1998-01-01' AND lo <= TIMESTAMP '1998-01-31') AS files_hit,
+               CAST(sum(n) AS BIGINT) AS row_count, true AS footers_agree
+        FROM (SELECT min(sale_date) AS lo, max(sale_date) AS hi, count(*) AS n FROM sales GROUP BY sale_id // 1000)"""),
     # Sinks and layout
     "append_load": using("src_orders tgt_orders", f"""SELECT {ORDER} FROM tgt_orders
         UNION ALL SELECT {ORDER} FROM src_orders WHERE order_id NOT IN (SELECT order_id FROM tgt_orders)"""),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import ts
 from ..operators import loads
+from ..operators.filters import none_like
 from ..operators.upkeep import MAX_DELETED_SHARE, MIN_DELETED, analyze_table
 from ..session import new_path, stage
 from . import jobs
@@ -99,3 +100,17 @@ def maintain_by_share(spark: SparkSession, tables: dict[str, Column], layouts: d
                       share: float = MAX_DELETED_SHARE) -> DataFrame:
     """Compact and analyze the tables with a larger share of deleted rows than that; a report."""
     return selective_compact(spark, tables, layouts, ratio=share)
+
+
+def maintain_schema(spark: SparkSession, database: str, deleted: dict[str, Column], exclude: list[str] | None = None,
+                    share: float = MAX_DELETED_SHARE) -> DataFrame:
+    """Compact and analyze the tables of a database with a larger share of deleted rows than that; a report.
+
+    The tables are found in the catalog; names that fit a LIKE pattern of ``exclude`` are left out. ``deleted`` gives a table's
+    "is deleted" predicate; tables without one hold no deleted rows and are only counted.
+    """
+    names = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables(database) if t.tableType != "VIEW"], "name string")
+    chosen = none_like(names, "name", exclude) if exclude else names
+    tables = {f"{database}.{r['name']}": deleted.get(r["name"], F.lit(False)) for r in chosen.orderBy("name").collect()}
+    report = selective_compact(spark, tables, ratio=share)
+    return report.withColumn("table_name", F.substring_index("table_name", ".", -1))

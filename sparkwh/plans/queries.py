@@ -12,7 +12,7 @@ from ..functions.scalars import interval, parse_ts, round_cast, trunc_ts, ts
 from ..operators import filters, joins, loads, profiles, querylog, reports
 from ..operators import upkeep as keep
 from ..session import new_name, new_path, stage
-from ..sources import files, footers, synthetic
+from ..sources import eventlog, files, footers, synthetic
 from ..streaming import loads as streams
 from . import fixtures as fx
 from . import jobs, procedures, tables, upkeep
@@ -122,7 +122,8 @@ def generate_facts(spark: SparkSession, sf: str) -> DataFrame:
     return synthetic.generate_facts(ids, 1, EVENTS_NOW)
 
 
-REPORTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+REPORTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+            "benchmark", "labels", "conversations")
 
 
 @query
@@ -133,8 +134,10 @@ def compression_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def compression_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The part of that report which SQL can tell: values per column."""
-    return compression_report(spark, sf).select("table_name", "column_name", "value_count")
+    """The part of that report which SQL can tell: values per column, all of a known codec."""
+    known = F.col("codec").isin("SNAPPY", "GZIP", "ZSTD", "LZ4", "LZ4_RAW", "BROTLI", "UNCOMPRESSED")
+    return compression_report(spark, sf).select("table_name", "column_name", "value_count", known.alias("codec_known"),
+                                                (F.col("compressed_bytes") > 0).alias("has_bytes"))
 
 
 # --- Sinks and layout ------------------------------------------------------------------------------------------------
@@ -718,7 +721,13 @@ def most_common_values(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def approximate_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.approximate_profile(fx.sales(spark, sf), PROFILED, 5)
+    """The sketches' figures next to the exact ones: distinct counts within 10 %, common values with their exact shares."""
+    rows = fx.sales(spark, sf)
+    exact = profiles.column_profile(rows, PROFILED, None, 5).select("column_name", F.col("n_distinct").alias("n"), F.col("most_common_freqs").alias("f"))
+    few = F.col("n") <= 100  # where the sketch holds every value
+    return profiles.approximate_profile(rows, PROFILED, 5).join(exact, "column_name").select(
+        "column_name", "null_fraction", (F.abs(F.col("n_distinct") - F.col("n")) <= 0.1 * F.col("n") + 1).alias("distinct_close"),
+        (~few | (F.col("most_common_freqs")[0] == F.col("f")[0])).alias("top_share_close"))
 
 
 @query
@@ -734,12 +743,63 @@ def key_skew(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zone_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """Files a month's filter opens in the sorted table: by reading the column, and by the footers."""
+    """Zones of a thousand sales that a month's filter opens, and whether the sorted files have the same ranges by their
+    column and by their footers."""
     lo, hi = ts(MONTH[0]), ts(MONTH[1])
-    read = keep.zone_overlap(keep.zone_ranges(layout_compound_sort(spark, sf), "sale_date"), lo, hi)
-    footer = footers.column_ranges(spark, _sorted(spark, sf), "sale_date", "timestamp_ntz")
-    return read.withColumn("source", F.lit("column")).unionByName(
-        keep.zone_overlap(footer, lo, hi).withColumn("source", F.lit("footer")))
+    zones = keep.zone_overlap(keep.zone_ranges(fx.sales(spark, sf), "sale_date", F.expr("sale_id div 1000")), lo, hi)
+    read = keep.zone_ranges(layout_compound_sort(spark, sf), "sale_date").drop("file_path")
+    footer = footers.column_ranges(spark, _sorted(spark, sf), "sale_date", "timestamp_ntz").select(*read.columns)
+    differ = read.exceptAll(footer).unionByName(footer.exceptAll(read))
+    return zones.crossJoin(differ.agg((F.count(F.lit(1)) == 0).alias("footers_agree")))
+
+
+@query
+def filter_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries of some classes that are neither upkeep nor deletes."""
+    chosen = filters.none_like(fx.query_log(spark, sf), "query", ["VACUUM%", "ANALYZE%", "DELETE%"])
+    return filters.one_of(chosen, "service_class", ["view", "click", "purchase"]).select("query_id", "query", "service_class")
+
+
+@query
+def reencode_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written again in other encodings and another codec: the same rows."""
+    table = new_name("sales")
+    tables.save_table(fx.sales(spark, sf), table, Layout(codec="snappy"))
+    tables.reencode(spark, table, {"sale_id": "delta", "region": "dict", "category": "dict"}, "zstd")
+    return spark.table(table)
+
+
+@query
+def maintain_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Upkeep of all tables of a database but those whose name is left out by a pattern."""
+    database = new_name("upkeep")
+    files.create_database(spark, database, new_path(spark, "upkeep"))
+    deleted = {}
+    for name in ("sales", "facts", "orders"):
+        rows, deleted[name] = _upkeep_tables(spark, sf)[name]
+        tables.save_table(rows, f"{database}.{name}")
+    report = procedures.maintain_schema(spark, database, deleted, exclude=["ord%", "pg_%"], share=0.15)
+    return report.select("table_name", "deleted_before", "total_before", "deleted_after", "total_after", "compacted")
+
+
+@query
+def load_query_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The query log of event-log lines rendered from the events: a start, an end, a job and a task of every query."""
+    row, path = fx.table(spark, sf, "events"), new_path(spark, "eventlog")
+    sql = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
+    at = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000 + (
+        F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) * 1000
+    number = F.col("event_id")
+    lines = [
+        F.struct(F.lit(sql + "Start").alias("Event"), number.alias("executionId"), F.col("event_type").alias("description"), at.alias("time")),
+        F.struct(F.lit(sql + "End").alias("Event"), number.alias("executionId"), (at + number % 5000).alias("time")),
+        F.struct(F.lit("SparkListenerJobStart").alias("Event"), number.alias("Job ID"), F.array(number).alias("Stage IDs"), F.struct(
+            number.cast("string").alias("spark.sql.execution.id"), F.concat(F.lit("pool"), (number % 3).cast("string")).alias("spark.scheduler.pool")).alias("Properties")),
+        F.struct(F.lit("SparkListenerTaskEnd").alias("Event"), number.alias("Stage ID"), F.struct(
+            (number * 7 % 1000).alias("Peak Execution Memory"), (number % 3 * 1_500_000).alias("Disk Bytes Spilled"),
+            F.struct((number * 17).alias("Bytes Read"), F.col("user_id").alias("Records Read")).alias("Input Metrics")).alias("Task Metrics"))]
+    row.select(F.explode(F.array(*[F.to_json(x) for x in lines])).alias("value")).coalesce(1).write.text(path)
+    return eventlog.load_query_log(spark, path).drop("app")
 
 
 # --- Query log -------------------------------------------------------------------------------------------------------
@@ -772,8 +832,8 @@ def log_hourly_p95(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def log_daily_median(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole log by day and class, by way of the global order that large groups need."""
-    return querylog.class_percentile(fx.query_log(spark, sf), "day", 0.5, EVENTS_NOW, "60 DAYS", group_rows=0).withColumn(
+    """The whole log by day and class."""
+    return querylog.class_percentile(fx.query_log(spark, sf), "day", 0.5, EVENTS_NOW, "60 DAYS").withColumn(
         "p50_execution_time", F.round("p50_execution_time", 4))
 
 

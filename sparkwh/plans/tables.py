@@ -85,6 +85,11 @@ def publish(df: DataFrame, table: str, layout: Layout = Layout()) -> str:
     return old
 
 
+def reencode(spark: SparkSession, table: str, encodings: dict[str, str], codec: str = "zstd") -> None:
+    """Write the table again with other column encodings and codec; rows, partitions and buckets stay."""
+    publish(spark.table(table), table, Layout(encodings=encodings, codec=codec))
+
+
 def in_partitions(df: DataFrame, columns: list[str]) -> Column:
     """A predicate that holds exactly in the partitions ``df`` has rows in, and prunes directories.
 

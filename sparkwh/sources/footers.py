@@ -12,6 +12,21 @@ _CHUNKS = ("path STRING, row_group INT, column_name STRING, codec STRING, encodi
            "value_count BIGINT, compressed_bytes BIGINT, uncompressed_bytes BIGINT")
 
 
+# How each URL scheme is called where footers are read.
+_READER_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+
+def _footer_paths(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """The files below ``path``, named as the footer reader knows them; an error here, not in a task, if it cannot read them."""
+    scheme = path.partition(":/")[0] if ":/" in path else "file"
+    if scheme not in _READER_SCHEMES:
+        raise ValueError(f"footers cannot be read from {scheme}:")
+    found = file_sizes(spark, path, glob).select("path")
+    if _READER_SCHEMES[scheme] == scheme:
+        return found
+    return found.select(F.regexp_replace("path", f"^{scheme}:", f"{_READER_SCHEMES[scheme]}:").alias("path"))
+
+
 def _footer_reader(names: list[str]):
     """The task's function, built here so that it travels to executors by value: they need pyarrow, not this package."""
 
@@ -73,13 +88,13 @@ def column_ranges(spark: SparkSession, path: str, column: str, data_type: str, g
     ``known`` is false where a file keeps no statistics for the column, so that no filter can skip it.
     """
     schema = "file_path STRING, row_count BIGINT, min_value STRING, max_value STRING, known BOOLEAN"
-    ranges = file_sizes(spark, path, glob).select("path").mapInPandas(_range_reader(column), schema)
+    ranges = _footer_paths(spark, path, glob).mapInPandas(_range_reader(column), schema)
     return ranges.withColumns({c: F.col(c).cast(data_type) for c in ("min_value", "max_value")})
 
 
 def column_chunks(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """One row per column chunk. Each executor opens the footers of its share of the files."""
-    return file_sizes(spark, path, glob).select("path").mapInPandas(
+    return _footer_paths(spark, path, glob).mapInPandas(
         _footer_reader([field.split(" ")[0] for field in _CHUNKS.split(", ")]), _CHUNKS)
 
 
