@@ -36,6 +36,11 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     return _written[key]
 
 
+def forget() -> None:
+    """Write derived data sets anew from here on."""
+    _written.clear()
+
+
 def src_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
