@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.numbering import with_position, with_previous
+from ..functions.numbering import with_position, with_previous, with_running_total
 from ..session import stage
 
 # Limits of the encoding rules.
@@ -38,11 +38,11 @@ def most_common_values(df: DataFrame, columns: list[str], k: int = 10) -> DataFr
 
 
 def _correlations(df: DataFrame, columns: list[str], place: str) -> DataFrame:
-    """Correlation of each column's rank with the row order.
+    """Correlation of each column's rank with the row order; equal values share the mean of their ranks.
 
-    All columns are ranked in one global order of (column, value, place): a value sits in the slot of its own type, so it
-    sorts as that type. Equal values rank in row order, so each rank is one row and a value that fills the table is
-    still split over many tasks. The ranks of a column start somewhere in the middle, which a correlation ignores.
+    Rows shrink to one per column and distinct value, with the sums that a correlation needs, before anything is sorted.
+    The distinct values of all columns are ranked in one global order of (column, value): a value sits in the slot of its own
+    type, so it sorts as that type. The ranks of a column start somewhere in the middle, which a correlation ignores.
     """
     types = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
     slots = [f"_v{i}" for i in range(len(types))]
@@ -52,10 +52,16 @@ def _correlations(df: DataFrame, columns: list[str], place: str) -> DataFrame:
         values = [(F.col(c) if t == own else F.lit(None).cast(t)).alias(s) for s, t in zip(slots, types)]
         return F.struct(F.lit(c).alias("column_name"), *values)
     known = reduce(lambda a, b: a | b, [F.col(s).isNotNull() for s in slots])
-    long = df.select(place, F.inline(F.array(*[entry(c) for c in columns]))).where(known)
-    ranked = with_position(long, ["column_name", *slots, place], "_rank")
+    at = F.col("_at")
+    counts = (df.select(F.col(place).cast("double").alias("_at"), F.inline(F.array(*[entry(c) for c in columns]))).where(known)
+              .groupBy("column_name", *slots).agg(F.count(F.lit(1)).alias("_n"), F.sum(at).alias("_x"), F.sum(at * at).alias("_xx")))
+    ranked = with_running_total(counts, ["column_name", *slots], "_n", "_before")
+    rank = F.col("_before") + (F.col("_n") + 1) / 2
+    n, x, y = F.sum("_n"), F.sum("_x"), F.sum(F.col("_n") * rank)
+    cov = F.sum(F.col("_x") * rank) / n - x / n * (y / n)
+    var_x, var_y = F.sum("_xx") / n - x / n * (x / n), F.sum(F.col("_n") * rank * rank) / n - y / n * (y / n)
     return ranked.groupBy("column_name").agg(
-        F.round(F.corr(F.col(place).cast("double"), F.col("_rank").cast("double")), 6).alias("correlation"))
+        F.round(cov / F.sqrt(F.nullif(var_x * var_y, F.lit(0.0))), 6).alias("correlation"))
 
 
 def column_profile(df: DataFrame, columns: list[str], order_by: list[str] | None = None, k: int = 10) -> DataFrame:

@@ -76,6 +76,7 @@ NEEDS = {"tgt_orders": ["src_orders"], "sales_text": ["sales"], "sales_month": [
 
 REPORTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark",
             "labels", "conversations")
+PROFILED = ("sale_id", "product_id", "customer_id", "sale_amount", "sale_date", "region", "store_id", "category", "is_active")
 ORDER = "order_id, customer_id, order_date, total_amount, status, created_at"
 
 
@@ -116,10 +117,9 @@ def _generated(column_sql: str, table: str, key: str) -> str:
 
 
 def _value_counts() -> str:
-    columns = ["customer_id", "region", "store_id", "sale_date", "is_active"]
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS value_count FROM sales GROUP BY {c}"
-        for c in columns)
+        for c in PROFILED)
 
 
 def _ranked(k: int) -> str:
@@ -128,16 +128,17 @@ def _ranked(k: int) -> str:
 
 
 def _correlations() -> str:
-    columns = ["customer_id", "region", "store_id", "sale_date", "is_active"]
+    """Equal values share the mean of their ranks."""
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, round(corr(CAST(p AS DOUBLE), CAST(r AS DOUBLE)), 6) AS correlation FROM
-            (SELECT row_number() OVER (ORDER BY sale_id) AS p, row_number() OVER (ORDER BY {c}, sale_id) AS r
-             FROM sales)""" for c in columns)
+        f"""SELECT '{c}' AS column_name, round(corr(CAST(p AS DOUBLE), r), 6) AS correlation FROM
+            (SELECT row_number() OVER (ORDER BY sale_id) AS p,
+                    rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r
+             FROM sales)""" for c in PROFILED)
 
 
 def _encoding() -> str:
-    kinds = {"customer_id": "text", "region": "text", "store_id": "ordered", "sale_date": "ordered",
-             "is_active": "boolean", "sale_id": "ordered"}
+    kinds = {"customer_id": "text", "region": "text", "store_id": "ordered", "sale_date": "ordered", "is_active": "boolean",
+             "sale_id": "ordered", "product_id": "text", "sale_amount": "ordered", "category": "text"}
     parts = []
     for c, kind in kinds.items():
         rising = (f"round(CAST(count(*) FILTER (WHERE {c} >= p) AS DOUBLE) / nullif(count({c} >= p), 0), 6)"
@@ -244,7 +245,8 @@ ORACLE = {
                CAST(date_trunc('second', ts) + to_milliseconds(event_id % 5000) AS TIMESTAMP) AS end_time, event_id % 5000 AS total_time,
                user_id AS rows, event_id * 17 AS bytes, event_id * 7 % 1000 AS workmem,
                CAST(ceil(event_id % 3 * 1500000 / 1048576.0) AS BIGINT) AS temp_blocks, false AS is_rrscan FROM events""",
-    "approximate_profile": """SELECT unnest(['customer_id', 'region', 'store_id', 'sale_date', 'is_active']) AS column_name,
+    "approximate_profile": """SELECT unnest(['sale_id', 'product_id', 'customer_id', 'sale_amount', 'sale_date', 'region', 'store_id', 'category', 'is_active'])
+        AS column_name,
         0.0::DOUBLE AS null_fraction, true AS distinct_close, true AS top_share_close""",
     "zone_overlap": using("sales", """
         SELECT count(*) AS file_count, count(*) FILTER (WHERE hi >= TIMESTAMP '1998-01-01' AND lo <= TIMESTAMP '1998-01-31') AS files_hit,
