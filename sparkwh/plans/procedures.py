@@ -109,7 +109,8 @@ def maintain_schema(spark: SparkSession, database: str, deleted: dict[str, Colum
     The tables are found in the catalog; names that fit a LIKE pattern of ``exclude`` are left out. ``deleted`` gives a table's
     "is deleted" predicate; tables without one hold no deleted rows and are only counted.
     """
-    names = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables(database) if t.tableType != "VIEW"], "name string")
+    names = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables(database)
+                                   if not t.isTemporary and t.tableType != "VIEW"], "name string")
     chosen = none_like(names, "name", exclude) if exclude else names
     tables = {f"{database}.{r['name']}": deleted.get(r["name"], F.lit(False)) for r in chosen.orderBy("name").collect()}
     report = selective_compact(spark, tables, ratio=share)
