@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkwh.llm import decontamination, exact_dedup, language, near_dedup, packing
+from sparkwh.llm.batches import small_batches
 from sparkwh.llm.filters import without
 from sparkwh.llm.queries import vocabulary_path
 from sparkwh.session import stage
@@ -19,29 +20,34 @@ NEAR = near_dedup.NearParameters(shingle=5)
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language (NULL, no letters). If nothing has a label to learn from, nothing is dropped."""
+    small_batches(spark)
     model = language.fit(docs)
     return language.keep_identified(docs, model) if model.languages else docs
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every group of texts that are equal but for white space. Rows without a ``doc_id`` go."""
+    small_batches(spark)
     return exact_dedup.keep_one(docs, exact_dedup.exact_groups(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest ``doc_id`` of every component; rows that share a ``doc_id`` stay if one of them does."""
+    small_batches(spark)
     groups = near_dedup.near_groups(docs, NEAR).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     return without(docs, stage(groups.where("not kept and doc_id is not null").select("doc_id"), "near_copies"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of a benchmark item."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontamination.overlaps(docs, benchmark).select("doc_id").distinct()
     return without(docs, stage(leaks, "leaks"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, vocabulary_path())
 
 

@@ -7,13 +7,18 @@ one text, if that is longer), not by the number of rows.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import SparkSession, functions as F
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2_000
+_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
+_LIBC = _LIBC if hasattr(_LIBC, "malloc_trim") else None
 SPACES = b" \t\n\v\f\r"
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
@@ -180,6 +185,28 @@ def grouped(batches, keys: int):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def tidy(work):
+    """``work`` over a task's batches, then memory that Python, numpy and Arrow hold without need goes back to the system:
+    workers live on from stage to stage, and an executor's memory limit counts what they keep."""
+    def run(batches):
+        yield from work(batches)
+        give_back()
+    return run
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let Spark hand at most ``rows`` rows at a time to Python from now on, if the session allows more: documents are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark longs with the same bits."""
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
@@ -188,7 +215,3 @@ def signed(x: np.ndarray) -> np.ndarray:
 def crc_fold(doc_id) -> F.Column:
     """The remainder that decides the fold of a document: crc32 of the decimal doc_id, modulo 4. NULL: no fold."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
-
-
-def column_or_null(df: DataFrame, name: str, kind: str) -> F.Column:
-    return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbering import range_sorted
 from ..session import stage
-from .batches import grouped
+from .batches import grouped, tidy
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = ("", "system", "user", "assistant")
@@ -190,12 +190,12 @@ def repaired(conversations: DataFrame, costs: RepairCosts = RepairCosts()) -> Da
             cut.withColumn("part", part.cast("long")).select(*turns.columns, "part")), "turns")
     key, order = ["conv", "chunk", "part"], ["turn", "code", "role", "text"]
     tables = (placed.select(*key, "code", *[c for c in order if c != "code"]).repartition(*key).sortWithinPartitions(*key, *order)
-              .select(*key, "code").mapInArrow(_tables(costs), "conv long, chunk long, part long, best array<long>"))
+              .select(*key, "code").mapInArrow(tidy(_tables(costs)), "conv long, chunk long, part long, best array<long>"))
     chained = stage(tables.repartition("conv").sortWithinPartitions(*key)
-                    .mapInArrow(_chain, "conv long, chunk long, part long, begin int, end int, last boolean"), "chained")
+                    .mapInArrow(tidy(_chain), "conv long, chunk long, part long, begin int, end int, last boolean"), "chained")
     solved = (placed.join(chained, key).repartition(*key).sortWithinPartitions(*key, *order)
               .select(*key, "turn", "role", "code", "text", "begin", "end", "last")
-              .mapInArrow(_rendered(costs), "conv long, turn long, role string, new_role string, action string, cost long, "
+              .mapInArrow(tidy(_rendered(costs)), "conv long, turn long, role string, new_role string, action string, cost long, "
                                             "new_turns long, rendered string"))
     return solved.select(F.when(F.col("conv") != _NONE, F.col("conv")).alias("conv_id"), "turn", "role", "new_role", "action", "cost",
                          "new_turns", "rendered")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .batches import ALPHANUMERIC, mix, signed, slices, text_bytes, words
+from .batches import ALPHANUMERIC, mix, signed, slices, text_bytes, tidy, words
 from .filters import key_filter, may_hold
 
 
@@ -141,18 +141,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, p: LeakParameters = LeakPara
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where(
         "id is not null and text is not null").distinct()
     schema = "id long, key long, at long"
-    known = stage(items.mapInArrow(_seed_rows(p, None, p.shortest_item), schema), "item_seeds")
+    known = stage(items.mapInArrow(tidy(_seed_rows(p, None, p.shortest_item)), schema), "item_seeds")
     table = key_filter(known.select("key"))
-    hits = texts.mapInArrow(_seed_rows(p, table), schema)
+    hits = texts.mapInArrow(tidy(_seed_rows(p, table)), schema)
     aligned = stage(hits.select(F.col("id").alias("doc_id"), "key", F.col("at").alias("doc_at"))
                     .join(known.select(F.col("id").alias("item_id"), "key", "at"), "key")
                     .select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("shift")).distinct(), "aligned")
     there = key_filter(aligned.select(F.col("doc_id").alias("key")))
-    near = texts.mapInArrow(_kept_rows(there), "id long, text string").distinct()
+    near = texts.mapInArrow(tidy(_kept_rows(there)), "id long, text string").distinct()
     pairs = (aligned.join(items.select(F.col("id").alias("item_id"), F.col("text").alias("item")), "item_id")
              .join(near.withColumnRenamed("id", "doc_id"), "doc_id")
              .select("doc_id", "item_id", "shift", "text", "item"))
-    found = pairs.mapInArrow(_verified(p), "doc_id long, item_id long, start long, overlap_words long, agreeing_words long, item_words long")
+    found = pairs.mapInArrow(tidy(_verified(p)), "doc_id long, item_id long, start long, overlap_words long, agreeing_words long, item_words long")
     best = F.struct(F.col("overlap_words"), F.col("agreeing_words"), (-F.col("start")).alias("start"), "item_words")
     return (found.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
             .select("doc_id", "item_id", (-F.col("best.start")).alias("start"), "best.overlap_words", "best.agreeing_words", "best.item_words"))

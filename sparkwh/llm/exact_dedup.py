@@ -20,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .batches import SPACES
+from .batches import SPACES, tidy
 from .filters import split
 
-MAP_TRIE_BYTES = 32 << 20
-OWNER_TRIE_BYTES = 128 << 20
+MAP_TRIE_BYTES = 8 << 20
+OWNER_TRIE_BYTES = 64 << 20
 _SHA, _POINTS = "__text_sha256", "__n_points"
 
 
@@ -167,6 +167,11 @@ _OWNED = [("owner", pa.int64()), ("keep_id", pa.int64()), ("keep_row", pa.int64(
 _OWNED_SQL = "owner long, keep_id long, keep_row long, group_size long"
 
 
+def _values(column: pa.Array):
+    """The values of a column one by one, so that texts are not all copied at a time."""
+    return (x.as_py() for x in column)
+
+
 def _map_side(trie_bytes: int):
     """One row per document with its local owner (the first row of the chunk with that text); owners carry the text."""
     def merge(old, new):
@@ -187,7 +192,7 @@ def _map_side(trie_bytes: int):
     def run(batches):
         trie, rows = PatriciaTrie(merge, 1 << 62), []
         for batch in batches:
-            for number, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for number, doc_id, text in zip(*map(_values, batch.columns)):
                 text = text or ""
                 key = text.encode().translate(None, SPACES)
                 owner = trie.insert(key, (number, 1, (len(text), doc_id, number)))[0]
@@ -208,7 +213,7 @@ def _owner_side(trie_bytes: int):
     def run(batches):
         trie = PatriciaTrie(merge, trie_bytes)
         for batch in batches:
-            for owner, norm, n, points, best_id, best_row in zip(*(c.to_pylist() for c in batch.columns)):
+            for owner, norm, n, points, best_id, best_row in zip(*map(_values, batch.columns)):
                 trie.insert(norm, ([owner], n, (points, best_id, best_row)))
         out = []
         for _, (owners, n, best) in trie.items():
@@ -229,11 +234,11 @@ def exact_groups(docs: DataFrame, map_trie_bytes: int = MAP_TRIE_BYTES,
     repeated rows exactly one. NULL and blank texts are one group, of the empty text. An empty table gives no rows.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    mapped = stage(rows.mapInArrow(_map_side(map_trie_bytes), _MAPPED_SQL), "local_owners")
+    mapped = stage(rows.mapInArrow(tidy(_map_side(map_trie_bytes)), _MAPPED_SQL), "local_owners")
     owned = (mapped.where("norm is not null").select("owner", "norm", "n", "points", "best_id", "best_row", "n_bytes", "content_hash")
              .repartition("n_bytes", "content_hash")
              .select("owner", "norm", "n", "points", "best_id", "best_row")
-             .mapInArrow(_owner_side(owner_trie_bytes), _OWNED_SQL))
+             .mapInArrow(tidy(_owner_side(owner_trie_bytes)), _OWNED_SQL))
     return (mapped.select("row", "doc_id", "owner", "text_sha256", "own_points").join(owned, "owner")
             .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256",
                     F.col("own_points").alias("n_points")))

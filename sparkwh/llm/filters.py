@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from .batches import tidy
+
 
 FILTER_BITS = 1 << 26  # 8 MB, whatever the number of keys
 
@@ -47,7 +49,7 @@ def split(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield batch.filter(pa.array(held == wanted))
         return run
 
-    return docs.mapInArrow(rows(False), docs.schema), docs.mapInArrow(rows(True), docs.schema)
+    return docs.mapInArrow(tidy(rows(False)), docs.schema), docs.mapInArrow(tidy(rows(True)), docs.schema)
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import crc_fold, slices, text_bytes
+from .batches import crc_fold, slices, text_bytes, tidy
 
 BUCKETS = 4096
 SAMPLE_ROWS = 2_400
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS,
                     pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary())], names=["lang", "draw", "x"])
 
     drawn = usable.select("lang", draw.alias("draw"), F.col("text").cast("string").alias("text")).where(F.col("draw") < bound[F.col("lang")])
-    rows = drawn.mapInArrow(features, "lang string, draw long, x binary").collect()
+    rows = drawn.mapInArrow(tidy(features), "lang string, draw long, x binary").collect()
     languages, x, labels, taken = sorted(counts), [], [], dict.fromkeys(counts, 0)
     for r in sorted(rows, key=lambda r: (r["draw"], r["x"])):
         if taken[r["lang"]] < each:
@@ -187,7 +187,7 @@ def predict(docs: DataFrame, model: CodeModel) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(crc_fold("doc_id") == HELD_OUT, F.lit(False)).alias("held_out"),
                        F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
 def keep_identified(docs: DataFrame, model: CodeModel) -> DataFrame:
@@ -199,7 +199,7 @@ def keep_identified(docs: DataFrame, model: CodeModel) -> DataFrame:
             names = _decoded(shared.value, batch.column(at))[0]
             yield batch.filter(pa.array([n != UNDETERMINED for n in names], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

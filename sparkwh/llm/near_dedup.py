@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
-from .batches import grouped, mix, shingle_sets, signed, slices, text_bytes, words
+from .batches import grouped, mix, shingle_sets, signed, slices, text_bytes, tidy, words
 from .components import connected
 
 
@@ -241,7 +241,7 @@ def _exact_components(docs: DataFrame, clusters: DataFrame, p: NearParameters) -
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     inside = placed.join(texts, "rep").select("cluster", "block", "rep", "text")
     edges = stage(inside.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "rep")
-                  .mapInArrow(_block_links(p), "a long, b long"), "links").toDF("rep", "root")
+                  .mapInArrow(tidy(_block_links(p)), "a long, b long"), "links").toDF("rep", "root")
     large = placed.where("blocks > 1")
     if large.isEmpty():
         return edges
@@ -253,7 +253,7 @@ def _exact_components(docs: DataFrame, clusters: DataFrame, p: NearParameters) -
                  .where("block_ <> block").select("cluster", F.col("block_").alias("block"), F.lit(1).alias("role"), "rep", "root", "text"))
         there = roots.select("cluster", "block", F.lit(0).alias("role"), "rep", "root", "text")
         return (asked.unionByName(there).repartition("cluster", "block").sortWithinPartitions("cluster", "block", "role")
-                .mapInArrow(_cross_links(p), "a long, b long"))
+                .mapInArrow(tidy(_cross_links(p)), "a long, b long"))
 
     # Some members of the largest component of every block meet all blocks; this joins the parts of a large component.
     sizes = large.groupBy("cluster", "block", "root").count()
@@ -283,7 +283,7 @@ def near_groups(docs: DataFrame, p: NearParameters = NearParameters()) -> DataFr
     get equal rows. An empty table gives none.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = stage(rows.mapInArrow(_sketched(p), "doc_id long, n long, set_a long, set_b long, keys array<long>, sketch binary"), "sketches")
+    base = stage(rows.mapInArrow(tidy(_sketched(p)), "doc_id long, n long, set_a long, set_b long, keys array<long>, sketch binary"), "sketches")
     own_set = ["n", "set_a", "set_b"]
     usable = base.where("n > 0 and doc_id is not null")
     class_of = usable.groupBy(*own_set).agg(F.min("doc_id").alias("rep"))
@@ -299,7 +299,7 @@ def near_groups(docs: DataFrame, p: NearParameters = NearParameters()) -> DataFr
                        F.when(parts > 1, F.col("anchor")).alias("anchor"))
                .join(reps.select("rep", "sketch"), "rep").select("key", "part", "rep", "anchor", "sketch"))
     tentative = (buckets.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
-                 .mapInArrow(_bucket_edges(p), "a long, b long").distinct())
+                 .mapInArrow(tidy(_bucket_edges(p)), "a long, b long").distinct())
     clusters = stage(connected(tentative).toDF("rep", "cluster").join(reps.select("rep", "n"), "rep"), "clusters")
     exact = _exact_components(rows.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), clusters, p)
     component = (class_of.join(exact, "rep", "left")

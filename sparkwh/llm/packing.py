@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from .batches import slices, text_bytes
+from .batches import slices, text_bytes, tidy
 from .pieces import PieceMemory
 from .token_count import WORD, byte_symbols, rows_with
 
@@ -231,7 +231,7 @@ def pack(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, step_tokens
             yield _rows(out)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, _SQL)
+    return rows.mapInArrow(tidy(run), _SQL)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

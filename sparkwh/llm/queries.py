@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (chat, decontamination, exact_dedup, html_text, language, near_dedup, packing, secret_scan, token_count,
                toxicity)
+from .batches import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -21,6 +22,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

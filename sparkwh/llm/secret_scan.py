@@ -16,6 +16,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from .batches import tidy
+
 KINDS = ("assign", "access", "hex", "novel")
 
 # The forms that are always reported.
@@ -119,4 +121,4 @@ def secrets(docs: DataFrame, p: NoveltyParameters = NoveltyParameters()) -> Data
                 names=["doc_id", "n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import slices, text_bytes
+from .batches import slices, text_bytes, tidy
 from .pieces import PieceMemory
 
 # Fixed value: the published pattern by which byte-level BPE cuts words.
@@ -134,4 +134,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import _BASE, _BASE_INVERSE, _CODES, _powers, crc_fold, mix, slices, text_bytes
+from .batches import _BASE, _BASE_INVERSE, _CODES, _powers, crc_fold, mix, slices, text_bytes, tidy
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 12_000
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> P
     # At most about sample_rows small rows, so their size is bounded by that parameter.
     drawn = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), "doc_id")
-    rows = drawn.select("doc_id", "toxic", "text").mapInArrow(features, "doc_id long, toxic int, terms binary").collect()
+    rows = drawn.select("doc_id", "toxic", "text").mapInArrow(tidy(features), "doc_id long, toxic int, terms binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
     y = np.array([min(1, max(0, r["toxic"])) for r in rows], float)
     sets = [np.frombuffer(r["terms"], "<u4").astype(np.int64) for r in rows]
@@ -186,7 +186,7 @@ def score(docs: DataFrame, model: PairModel) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(crc_fold("doc_id") == HELD_OUT, F.lit(False)).alias("held_out"),
                        F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
