@@ -43,6 +43,7 @@ class NearParameters:
     bucket_rows: int = 2_000
     block_shingles: int = 2_000_000
     delegates: int = 16
+    salts: int = 64
 
     @property
     def size(self) -> int:
@@ -285,8 +286,11 @@ def near_groups(docs: DataFrame, p: NearParameters = NearParameters()) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = stage(rows.mapInArrow(tidy(_sketched(p)), "doc_id long, n long, set_a long, set_b long, keys array<long>, sketch binary"), "sketches")
     own_set = ["n", "set_a", "set_b"]
+    # A set that a third of all documents share is dealt over many tasks by a salt, here and when results go back.
+    base = base.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(p.salts)))
     usable = base.where("n > 0 and doc_id is not null")
-    class_of = usable.groupBy(*own_set).agg(F.min("doc_id").alias("rep"))
+    salted = stage(usable.groupBy(*own_set, "salt").agg(F.min("doc_id").alias("least")), "salted")
+    class_of = salted.groupBy(*own_set).agg(F.min("least").alias("rep"))
     # The representative has its own keys and sketch; repeated rows of it are equal, so any one will do.
     reps = stage(class_of.select("rep", *own_set).join(
         usable.select(F.col("doc_id").alias("rep"), *own_set, "keys", "sketch"), ["rep", *own_set])
@@ -302,9 +306,10 @@ def near_groups(docs: DataFrame, p: NearParameters = NearParameters()) -> DataFr
                  .mapInArrow(tidy(_bucket_edges(p)), "a long, b long").distinct())
     clusters = stage(connected(tentative).toDF("rep", "cluster").join(reps.select("rep", "n"), "rep"), "clusters")
     exact = _exact_components(rows.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), clusters, p)
-    component = (class_of.join(exact, "rep", "left")
-                 .select(*own_set, F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id")))
-    linked = (base.where("n > 0").select("doc_id", *own_set).join(component, own_set, "left")
+    component = class_of.join(exact, "rep", "left").select(
+        *own_set, F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id"))
+    by_salt = salted.select(*own_set, "salt").join(component, own_set)
+    linked = (base.where("n > 0").select("doc_id", *own_set, "salt").join(by_salt, [*own_set, "salt"], "left")
               .select("doc_id", "n", "component_id", "class_id"))
     alone = base.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     none = F.col("doc_id").isNull()
