@@ -12,6 +12,7 @@ without a hit before their texts are.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,14 +28,16 @@ from .filters import key_filter, may_hold
 @dataclass(frozen=True)
 class LeakParameters:
     """An overlap has at least ``least_words`` words, of which ``percent`` or more agree, and agrees at both ends; an item
-    with fewer words must be met as a whole. Items of fewer than ``shortest_item`` words are too common to be evidence.
+    with fewer words must be met as a whole. Items of fewer than ``shortest_item`` words are left out.
 
-    The masks together meet every overlap of 13 words with up to two substitutions, wherever they are.
+    The masks together meet every overlap: any 13 words with two substitutions, 15 with three, 20 with four and 25 with five,
+    wherever they are; an overlap of 26 words or more has a part of 13 to 25 words that agrees to 80 %. Shorter items have
+    masks of their own (``whole_masks``).
     """
-    masks: tuple[str, ...] = ("1111011", "111010011", "110100111")
+    masks: tuple[str, ...] = ("1111011", "111010011", "110100111", "11101000011")
     least_words: int = 13
     percent: int = 80
-    shortest_item: int = 8
+    shortest_item: int = 1
 
 
 def _lowered_words(column: pa.Array):
@@ -44,14 +47,25 @@ def _lowered_words(column: pa.Array):
         yield i, j, *words(part, at, kind=ALPHANUMERIC)
 
 
-def seeds(h: np.ndarray, row: np.ndarray, masks: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every seed, and the word it begins at."""
+def whole_masks(n: int, percent: int) -> tuple[str, ...]:
+    """Masks over all of ``n`` words of which one fits wherever the substitutions are that ``percent`` allows.
+
+    The words between the first and the last are dealt into two groups more than there may be substitutions; every choice of
+    that many groups is ignored by one mask."""
+    bad = n * (100 - percent) // 100
+    groups = min(bad + 2, max(n - 2, 0))
+    return tuple("".join("0" if 0 < i < n - 1 and (i - 1) % groups in out else "1" for i in range(n))
+                 for out in itertools.combinations(range(groups), min(bad, groups)))
+
+
+def seeds(h: np.ndarray, row: np.ndarray, masks: tuple[str, ...], family: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every seed, and the word it begins at. Seeds of different families differ."""
     found, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for k, mask in enumerate(masks):
         n = len(h) - len(mask) + 1
         if n <= 0:
             continue
-        s = np.full(n, k + 1, np.uint64)
+        s = np.full(n, (family << 32) + k + 1, np.uint64)
         for j in (j for j, c in enumerate(mask) if c == "1"):
             s = mix(s * np.uint64(0x9E3779B97F4A7C15) + h[j:j + n])
         inside = np.flatnonzero(row[:n] == row[len(mask) - 1:])
@@ -60,23 +74,33 @@ def seeds(h: np.ndarray, row: np.ndarray, masks: tuple[str, ...]) -> tuple[np.nd
     return np.concatenate(found), np.concatenate(at)
 
 
-def _seed_rows(p: LeakParameters, table=None, shortest: int = 0):
-    """(id, key, at): every seed of every text, ``at`` counted in words of the text. With ``table``, only seeds in it."""
+def _seed_rows(p: LeakParameters, table=None, lengths: tuple[int, ...] = ()):
+    """(id, key, at, n) of every text, ``at`` counted in words of the text: without ``table`` the seeds of an item, with ``n``
+    its words if they are fewer than an overlap has, else 0; with it, the seeds in it of a document, for items of any length
+    and for whole items of ``lengths`` words."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, h, row in _lowered_words(batch.column(1)):
                 count = np.bincount(row, minlength=j - i)
                 first = np.cumsum(count) - count
-                s, at = seeds(h, row, p.masks)
-                key = signed(s)
-                use = count[row[at]] >= shortest
-                if table is not None:
-                    use &= may_hold(table.value, key)
-                key, at = key[use], at[use]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[i:j][row[at]].astype(np.int64)), pa.array(key), pa.array((at - first[row[at]]).astype(np.int64))],
-                    names=["id", "key", "at"])
+                short = np.unique(count[(count >= p.shortest_item) & (count > 0) & (count < p.least_words)]) if table is None else lengths
+                for n in (0, *map(int, short)):
+                    s, at = seeds(h, row, whole_masks(n, p.percent) if n else p.masks, n)
+                    key, of = signed(s), row[at]
+                    if table is not None:
+                        use = may_hold(table.value, key)
+                    else:
+                        use = count[of] == n if n else count[of] >= max(p.least_words, p.shortest_item)
+                    key, at, of = key[use], at[use], of[use]
+                    if n and n * (100 - p.percent) < 100:  # no substitution: places are alike, the first will do
+                        order = np.lexsort((at, key, of))
+                        new = np.ones(len(order), bool)
+                        new[1:] = (key[order][1:] != key[order][:-1]) | (of[order][1:] != of[order][:-1])
+                        key, at, of = (x[order][new] for x in (key, at, of))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(ids[i:j][of].astype(np.int64)), pa.array(key), pa.array((at - first[of]).astype(np.int64)),
+                        pa.array(np.full(len(at), n, np.int64))], names=["id", "key", "at", "n"])
     return run
 
 
@@ -140,10 +164,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, p: LeakParameters = LeakPara
         "id is not null and text is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where(
         "id is not null and text is not null").distinct()
-    schema = "id long, key long, at long"
-    known = stage(items.mapInArrow(tidy(_seed_rows(p, None, p.shortest_item)), schema), "item_seeds")
+    schema = "id long, key long, at long, n long"
+    known = stage(items.mapInArrow(tidy(_seed_rows(p)), schema), "item_seeds")
     table = key_filter(known.select("key"))
-    hits = texts.mapInArrow(tidy(_seed_rows(p, table)), schema)
+    lengths = tuple(sorted(r["n"] for r in known.where("n > 0").select("n").distinct().collect()))  # each below least_words
+    hits = texts.mapInArrow(tidy(_seed_rows(p, table, lengths)), schema)
     aligned = stage(hits.select(F.col("id").alias("doc_id"), "key", F.col("at").alias("doc_at"))
                     .join(known.select(F.col("id").alias("item_id"), "key", "at"), "key")
                     .select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("shift")).distinct(), "aligned")

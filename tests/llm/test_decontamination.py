@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from sparkwh.llm.decontamination import LeakParameters, best_overlap, overlaps
+from sparkwh.llm.decontamination import LeakParameters, best_overlap, overlaps, whole_masks
 
 from .helpers import EDGES, docs_of, table
 
@@ -111,3 +111,43 @@ def test_edge_rows(spark, side):
     assert got == [(50, 1, 0, 13), (51, 1, 1, 13)]
     empty = overlaps(docs_of(spark, [] if side == "docs" else rows), bench if side == "docs" else bench.limit(0))
     assert empty.count() == 0
+
+
+def fits(mask: str, at: int, missing) -> bool:
+    return all(at + k not in missing for k, c in enumerate(mask) if c == "1")
+
+
+@pytest.mark.parametrize("size", [15, 20, 25])
+def test_masks_meet_every_long_overlap(size):
+    for missing in itertools.combinations(range(size), size // 5):
+        assert any(fits(mask, at, missing) for mask in P.masks for at in range(size - len(mask) + 1)), missing
+
+
+@pytest.mark.parametrize("size", range(1, 13))
+def test_masks_meet_every_whole_item(size):
+    masks = whole_masks(size, P.percent)
+    assert all(len(m) == size for m in masks)
+    for missing in itertools.combinations(range(1, size - 1), size // 5):
+        assert any(fits(mask, 0, missing) for mask in masks), missing
+
+
+def test_items_of_any_length_match_brute_force(spark):
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(3_000)}"
+    items = [(n, " ".join(word() for _ in range(n))) for n in range(1, 26)]
+    docs = []
+    for k in range(1_500):
+        n = 1 + k % 25
+        cut = items[n - 1][1].split()
+        for at in rng.sample(range(1, n - 1), rng.randrange(n // 5 + 1)) if n > 2 else ():
+            cut[at] = "other"
+        text = [word() for _ in range(rng.randrange(30))]
+        at = rng.randrange(len(text) + 1)
+        docs.append((k, " ".join(text[:at] + cut + text[at:])))
+    docs += [(2_000 + k, items[19][1]) for k in range(2)]
+    full = items[19][1].split()
+    docs.append((2_010, " ".join("other" if k in (6, 8, 11, 15) else w for k, w in enumerate(full))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["overlap_words"] for r in overlaps(docs_of(spark, docs), bench).collect()}
+    want = brute(docs, items)
+    assert got == want and (2_010, 20) in want and len({i for _, i in want}) == 25
