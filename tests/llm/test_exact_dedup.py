@@ -59,3 +59,10 @@ def test_keep_one_row_of_every_text(spark):
     kept = keep_one(docs, exact_groups(docs))
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(3, "a  b"), (4, "other"), (5, ""), (6, "x"), (6, "y")]
+
+
+def test_a_group_won_by_a_row_without_id_keeps_its_best_named_row(spark):
+    rows = [(None, "a  b"), (5, "a b"), (4, "a b"), (3, "ab"), (None, None), (6, ""), (None, "c d"), (None, "c d"), (8, "cd"), (8, "cd"), (9, "x")]
+    docs = docs_of(spark, rows)
+    kept = keep_one(docs, exact_groups(docs))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(4, "a b"), (6, ""), (8, "cd"), (9, "x")]
