@@ -3,7 +3,8 @@
 Every node of the page's tree gets its characters per tag, adjusted for links: text in links counts against a node the more
 of it there is. The densities of a node's children are added up; the node of the largest sum is the heart of the article.
 The least density on the path from it up to the body is the threshold, and below the body the node of the largest sum of
-every subtree that reaches the threshold is kept; inside an article element the whole element is.
+every subtree that reaches the threshold is kept; if the heart is in an article element (or main), that element and all
+others of its kind that reach the threshold are kept whole.
 """
 
 from __future__ import annotations
@@ -32,12 +33,22 @@ _CELL = frozenset(("td", "th"))
 _NEVER = frozenset("script style noscript template iframe object embed applet svg math canvas audio video map form button select input "
                    "textarea label fieldset datalist output progress meter dialog nav aside footer menu head title frameset noframes "
                    "noembed xmp".split())
-# Words of a class, id or role that mark what is not the article.
-_HINTS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side rail menu "
-                   "nav navbar navigation breadcrumb breadcrumbs topbar toolbar footer footnav masthead pager pagination comment comments "
-                   "commentlist respond reply replies disqus cookie cookies consent gdpr notice notices alert popup overlay modal lightbox "
-                   "newsletter subscribe subscription signup login register search social share sharing related recommended recommendations "
-                   "trending popular widget widgets contentinfo complementary dialog alertdialog form hidden".split())
+# Whole names of a class, id or role ("_" counts as "-"). The first are names of what surrounds an article wherever they are, the
+# second only outside an article or main element and the densest subtree, the third are threads of comments.
+_AROUND = frozenset("ad ads advert adverts advertisement advertising sidebar primary-sidebar secondary-sidebar nav navbar navigation "
+                    "site-nav site-navigation main-nav main-navigation breadcrumb breadcrumbs topbar footer footnav site-footer page-footer "
+                    "masthead pager pagination cookie-notice cookie-banner cookie-consent cookie-bar gdpr popup lightbox share-buttons "
+                    "social-share social-links related-posts related-articles newsletter-signup hidden".split())
+_OUTSIDE = frozenset("side rail menu banner sponsor sponsored promo promotion toolbar notice notices alert overlay modal dialog newsletter "
+                     "subscribe subscription signup login register search social share sharing related recommended recommendations trending "
+                     "popular widget widgets cookie cookies consent form respond reply replies header site-header page-header main-header "
+                     "global-header top-header".split())
+_THREADS = frozenset("comment comments commentlist comment-list comments-area comment-body disqus disqus-thread".split())
+_ROLES = {**dict.fromkeys("navigation complementary contentinfo menu menubar search dialog alertdialog".split(), 2),
+          **dict.fromkeys("banner form alert".split(), 1)}
+# Elements whose ids are names of layout; elsewhere, and in sections, they are made from headings.
+_LAYOUT = frozenset("div ul ol dl table tr td center".split())
+_SECTIONS = frozenset("section chapter level1 level2 level3 level4 level5 level6".split())
 _CLOSED_BY = {"li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")),
               "td": frozenset(("td", "th")), "th": frozenset(("td", "th")), "option": frozenset(("option",)),
               "tbody": frozenset(("tbody", "thead", "tfoot", "tr", "td", "th")), "tfoot": frozenset(("tbody", "thead", "tr", "td", "th"))}
@@ -54,19 +65,57 @@ class Page:
         self.tag, self.parent, self.barred = ["#root"], [-1], [False]
         self.items: list[tuple[int, str]] = []
         self._inside = [False]  # within an article or main element
+        self._named = {}  # what names say of nodes
         self._build(source)
+        if self._named:
+            self._bar_named()
 
     def _open(self, tag: str, attributes: str, stack: list[int]) -> None:
         top = stack[-1]
         inside = self._inside[top] or tag in ("article", "main")
         bad = self.barred[top] or tag in _NEVER or (tag == "header" and not self._inside[top])
-        if not bad and attributes and tag not in ("html", "body", "article", "main"):
-            bad = _marked(attributes, inside)
+        if not bad and attributes and tag not in ("html", "body", "main"):
+            level = _named(tag, attributes)
+            if tag == "article":  # only whether it is somebody's comment; its text is chosen by density
+                level = level if level == 3 else 0
+            bad = level == 4
+            if 0 < level < 4:
+                self._named[len(self.tag)] = level
         self.tag.append(tag)
         self.parent.append(top)
         self.barred.append(bad)
         self._inside.append(inside)
 
+    def _bar_named(self) -> None:
+        """Bar named nodes with what they hold, unless they hold an article or main element or the densest subtree."""
+        n, visible = len(self.tag), self.barred
+        spared: set[int] = set()
+
+        def spare(node: int) -> None:
+            while node > 0 and node not in spared:
+                spared.add(node)
+                node = self.parent[node]
+
+        for i in range(n):
+            if self.tag[i] in ("article", "main") and not visible[i] and self._named.get(i) != 3:
+                spare(i)
+
+        def barred(least) -> list[bool]:
+            out = list(visible)
+            for i in range(1, n):
+                out[i] = out[i] or out[self.parent[i]] or i not in spared and self._named.get(i, 0) >= least(i)
+            return out
+
+        self.barred = barred(lambda i: 3)
+        heart = _heart(self, densities(self)[1])
+        spare(heart)
+        dense = [False] * n
+        if self.tag[heart] not in ("#root", "html", "body"):
+            dense[heart] = True
+            for i in range(heart + 1, n):
+                dense[i] = dense[self.parent[i]]
+        self.barred = barred(lambda i: 2 if self._inside[i] or dense[i] else 1)
+
     def _build(self, source: str) -> None:
         stack, at, find = [0], 0, _TOKEN.search
         tags = self.tag
@@ -130,22 +179,32 @@ class Page:
             self.items.append((stack[-1], source[at:]))
 
 
-# Whole class or id names of a page's head; inside an article they head the article.
-_PAGE_HEADS = frozenset("header site-header page-header main-header global-header top-header".split())
-
-
-def _marked(attributes: str, inside: bool) -> bool:
-    """Whether class, id, role or visibility say that this is not the article."""
+def _named(tag: str, attributes: str) -> int:
+    """What class, id, role and visibility say: 4 not to be seen, 3 comments, 2 not an article's, 1 not one's outside it, 0 nothing."""
+    level, names, own_id = 0, [], []
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id", "role"):
-            if not _HINTS.isdisjoint(re.split(r"[^a-z]+", value)) or not inside and not _PAGE_HEADS.isdisjoint(value.split()):
-                return True
+        if name == "class":
+            names += value.replace("_", "-").split()
+        elif name == "id":
+            own_id = value.replace("_", "-").split()
+        elif name == "role":
+            level = max([level, *(_ROLES.get(x, 0) for x in value.split())])
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return 4
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 4
+    if tag in _LAYOUT and _SECTIONS.isdisjoint(names):
+        names += own_id
+    for k, known in ((3, _THREADS), (2, _AROUND), (1, _OUTSIDE)):
+        if not known.isdisjoint(names):
+            return max(k, level)
+    return level
+
+
+def _heart(page: Page, total: list[float]) -> int:
+    """The node of the largest sum."""
+    return max((i for i in range(len(page.tag)) if not page.barred[i]), key=lambda i: (total[i], -i))
 
 
 def densities(page: Page) -> tuple[list[float], list[float]]:
@@ -184,16 +243,7 @@ def chosen_nodes(page: Page) -> set[int]:
     """The roots of the subtrees that make the article."""
     density, total = densities(page)
     n = len(page.tag)
-    usable = [i for i in range(n) if not page.barred[i]]
-    heart = max(usable, key=lambda i: (total[i], -i))
-    for kind in ("article", "main"):
-        up, found = heart, None
-        while up > 0:
-            if page.tag[up] == kind:
-                found = up
-            up = page.parent[up]
-        if found is not None:
-            return {found}
+    heart = _heart(page, total)
     path, up = [], heart
     while up > 0 and page.tag[up] not in ("body", "html"):
         path.append(density[up])
@@ -201,6 +251,20 @@ def chosen_nodes(page: Page) -> set[int]:
     if not path:
         return {heart}
     threshold = min(path)
+    for kind in ("article", "main"):
+        above, found = heart, None
+        while above > 0:
+            if page.tag[above] == kind:
+                found = above
+            above = page.parent[above]
+        if found is not None:  # with it, all others of the kind that reach the threshold
+            within, picked = [False] * n, {found}
+            for i in range(1, n):
+                outer = within[page.parent[i]]
+                within[i] = outer or page.tag[i] == kind
+                if page.tag[i] == kind and not outer and not page.barred[i] and density[i] >= threshold and density[i] > 0:
+                    picked.add(i)
+            return picked
     # The node of the largest sum at or below every node.
     best = list(range(n))
     for i in range(n - 1, 0, -1):

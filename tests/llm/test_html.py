@@ -64,3 +64,36 @@ def test_edge_rows(spark):
     assert by[1] == by[2] == by[7] == by[8] == "" and by[None] == "x" and by[4] == "deep text" and by[6] == "same"
     assert by[5].count("word") == 200_000
     assert page_texts(frame.limit(0)).count() == 0
+
+
+LINES = ["The first paragraph of the text, long enough to count.", "The second one is about as long as the first one was.",
+         "And the third says that this is where the text ends."]
+
+
+@pytest.mark.parametrize("wrapper", ["container no-sidebar", "has-sidebar", "layout sidebar", "search", "form side"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_names_of_wrappers_do_not_bar_the_article(wrapper, tag):
+    body = "".join(f"<p>{x}</p>" for x in LINES)
+    links = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(9))
+    page = f"<body><ul class='menu'>{links}</ul><div class='{wrapper}'><{tag}>{body}</{tag}></div><div class='sidebar'>{links}</div></body>"
+    assert main_text(page) == "\n".join(LINES)
+
+
+@pytest.mark.parametrize("inner", [
+    '<section id="related-work">{}</section>', '<section id="search">{}</section>', '<div class="section" id="comments">{}</div>',
+    '<div class="side-by-side">{}</div>', '<div class="search form">{}</div>', '<div class="notice">{}</div>', '<div role="alert">{}</div>'])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_names_inside_the_article_do_not_bar_its_parts(inner, tag):
+    one, two, three = (f"<p>{x}</p>" for x in LINES)
+    page = f"<body><{tag}><h2 id='search'>Search</h2>{one}{inner.format(two)}<h3 id='popular'>Popular</h3>{three}</{tag}></body>"
+    assert main_text(page) == "\n".join(["Search", LINES[0], LINES[1], "Popular", LINES[2]])
+
+
+def test_articles_that_reach_the_threshold_are_all_kept():
+    parts = [f"<article><p>{LINES[k]}</p><p>{LINES[k]} Again.</p></article>" for k in range(3)]
+    page = f"<body><div>{''.join(parts)}</div><div id='comments'><article class='comment'><p>{LINES[0] * 9}</p></article></div></body>"
+    assert main_text(page).split("\n") == [y for x in LINES for y in (x, x + " Again.")]
+    longer = "".join(f"<p>{x}</p>" for x in LINES * 3)
+    links = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(9))
+    assert main_text(f"<body><div><ul>{links}</ul><article>{longer}</article>{parts[1]}</div></body>").split("\n") == [
+        *LINES * 3, LINES[1], LINES[1] + " Again."]
