@@ -1,7 +1,7 @@
 """Secrets in texts: fixed forms, and strings that zstandard cannot predict from what surrounds them.
 
-The fixed forms are assignments to a sensitive name, access key ids and long hexadecimal runs. Beyond them, every long mixed
-string in a sensitive context is a candidate: the bytes it adds to the compressed surrounding text, with a dictionary of
+The fixed forms are assignments to a sensitive name, access key ids and long hexadecimal runs. Beyond them, every string in a
+sensitive context is a candidate, runs that go on over dots and line ends as a whole: the bytes it adds to the compressed surrounding text, with a dictionary of
 common identifiers and the document's own ones loaded beforehand, are measured; what stays nearly incompressible is
 reported, what repeats the code around it or is made of identifiers is not.
 """
@@ -26,8 +26,16 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_SENSITIVE = re.compile(r"key|secret|token|passw|pwd|auth|credential|private|bearer|signature|cert|session|cookie", re.I | re.A)
+_C = "[A-Za-z0-9+/_=-]"
+# Pieces joined by dots; a piece of 40 or more at a line end goes on in the next line, if that has nothing else.
+_RUN = re.compile(rf"{_C}+(?:\.{_C}+)*(?:(?<={_C}{{40}})(?:\\n(?!-----){_C}+|[\x20\t]*\r?\n[\x20\t]*(?!-----){_C}+(?=[\x20\t]*(?:\r?\n|\Z))))*")
+_LONG = re.compile(rf"{_C}{{40,}}")
+_WORDS = "key|secret|token|passw|pwd|auth|credential|private|bearer|signature|cert|session|cookie"
+_SENSITIVE = re.compile(_WORDS, re.I | re.A)
+_VALUE = re.compile(rf"""(?:{_WORDS})[A-Za-z0-9_-]{{0,20}}["']?[\x20\t]*[:=][\x20\t]*["']?([^\s"'`<>]+)""", re.I | re.A)
+_BEGIN = re.compile(r"-----BEGIN ([^\n-]{1,60})-----")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_VOWELS = frozenset("aeiouy")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
 
 # Identifiers that are common in source code; a string made of them is no news.
@@ -50,9 +58,13 @@ IDENTIFIERS = (
 
 @dataclass(frozen=True)
 class NoveltyParameters:
-    """A candidate is news if it adds ``least_share`` of its length to the compressed text around it. ``window`` characters on
-    either side are the surroundings, ``context`` before it and ``after`` behind it must hold a sensitive word."""
+    """A candidate is news if it adds ``least_share`` of its length (of the room that digits need, if it has only these) and
+    ``least_bytes`` to the compressed text around it, or ``least_assigned`` if it is assigned to a sensitive name. ``window``
+    characters on either side are the surroundings. ``context`` before it and ``after`` behind it must hold a sensitive word or,
+    before it, the end of a reported string, or BEGIN and END enclose it."""
     least_share: float = 0.7
+    least_bytes: int = 12
+    least_assigned: int = 8
     window: int = 1_000
     context: int = 48
     after: int = 8
@@ -79,19 +91,70 @@ def marginal_bytes(candidate: str, before: str, after: str, identifiers: bytes)
     return len(primed.compress(tail + candidate.encode())) - len(primed.compress(tail))
 
 
+def _candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool, bool]]:
+    """(start, end, whether assigned or next to a fixed form, whether enclosed) of the strings outside the fixed forms."""
+    spans = [(m.start(), m.end(), False) for m in _RUN.finditer(text)]
+    for m in _VALUE.finditer(text):
+        spans.append((m.start(1), m.start(1) + len(m.group(1).rstrip(",;.:)]}")), True))
+    blocks = []
+    for m in _BEGIN.finditer(text):
+        if _SENSITIVE.search(m.group(1)):
+            end = text.find("-----END", m.end())
+            blocks.append((m.end(), end if end >= 0 else len(text)))
+    merged: list[list] = []
+    for a, b, own in sorted(spans):
+        if merged and a < merged[-1][1]:
+            merged[-1][1:] = max(b, merged[-1][1]), own or merged[-1][2]
+        elif a < b:
+            merged.append([a, b, own])
+    out, k, at = [], 0, 0
+    fixed = sorted((x, y) for x, _, y in base)
+    reach = 0  # fixed forms may overlap: the farthest end so far
+    for a, b, own in merged:
+        while at < len(blocks) and blocks[at][1] <= a:
+            at += 1
+        enclosed = at < len(blocks) and blocks[at][0] <= a
+        start = max(a, min(reach, b))
+        while k < len(fixed) and fixed[k][0] < b:
+            if fixed[k][1] > start:
+                if fixed[k][0] > start:
+                    out.append((start, fixed[k][0], True, enclosed))
+                start = min(b, fixed[k][1])
+            reach = max(reach, fixed[k][1])
+            k += 1
+        if start < b:
+            out.append((start, b, own or start > a, enclosed))
+    return out
+
+
+def _identifier(word: str) -> bool:
+    """Whether a word without digits is made of words, not of letters at random: its parts by case are not tiny, not endless, and
+    four fifths of its letters are in parts with a vowel."""
+    parts = _PARTS.findall(word)
+    size = sum(map(len, parts))
+    return len(word) < 10 or bool(parts) and size >= 2.6 * len(parts) and len(max(parts, key=len)) <= 24 and sum(
+        len(x) for x in parts if not _VOWELS.isdisjoint(x.lower())) >= 0.8 * size
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], p: NoveltyParameters = NoveltyParameters()) -> list[tuple[int, int, int]]:
     """Incompressible strings in a sensitive context that no fixed form covers."""
     found, identifiers = [], None
-    for m in _CANDIDATE.finditer(text):
-        word, a, b = m.group(), m.start(), m.end()
-        if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
+    if not base and not _SENSITIVE.search(text):
+        return found
+    for a, b, own, enclosed in _candidates(text, base):
+        if b - a < (p.least_assigned if own else p.least_bytes) / 2:  # a byte for two characters at the very least
             continue
-        if any(x < b and a < y for x, _, y in base) or not _SENSITIVE.search(text[max(0, a - p.context):a] + " " + text[b:b + p.after]):
+        near = own or enclosed or found and a - found[-1][2] <= p.context
+        if not near and not _SENSITIVE.search(text[max(0, a - p.context):a] + " " + text[b:b + p.after]):
             continue
         if identifiers is None:
-            own = dict.fromkeys(w for w in _IDENTIFIER.findall(text) if len(w) <= 40 and not any(c.isdigit() for c in w))
-            identifiers = " ".join([*IDENTIFIERS, *own]).encode()
-        if marginal_bytes(word, text[max(0, a - p.window):a], text[b:b + p.window], identifiers) >= p.least_share * len(word):
+            words = dict.fromkeys(w for w in _IDENTIFIER.findall(_LONG.sub(" ", text))
+                                  if len(w) <= 40 and not any(c.isdigit() for c in w) and _identifier(w))
+            identifiers = " ".join([*IDENTIFIERS, *words]).encode()
+        word = "".join(text[a:b].split())
+        size, room = len(word.encode()), 0.55 if word.isdigit() else 1.0
+        adds = marginal_bytes(word, text[max(0, a - p.window):a], text[b:b + p.window], identifiers)
+        if adds >= p.least_share * room * size and adds >= room * (p.least_assigned if own else p.least_bytes):
             found.append((a, 3, b))
     return found
 
