@@ -402,6 +402,15 @@ ORACLE = {
     "upsert_partitions": using("src_orders tgt_orders", f"""
         SELECT {ORDER}, CAST(year(order_date) AS INTEGER) AS order_year FROM src_orders WHERE year(order_date) = 1998
         UNION ALL SELECT {ORDER}, CAST(year(order_date) AS INTEGER) FROM tgt_orders WHERE year(order_date) <> 1998"""),
+    "upsert_after_failure": using("src_orders tgt_orders", f"""
+        SELECT {ORDER}, CAST(year(order_date) AS INTEGER) AS order_year FROM src_orders WHERE order_id % 15 <> 4
+        UNION ALL SELECT {ORDER}, CAST(year(order_date) AS INTEGER) FROM tgt_orders WHERE order_id % 15 = 4"""),
+    "upsert_segments": using("src_orders tgt_orders", f"""
+        SELECT {ORDER} FROM src_orders WHERE order_date >= TIMESTAMP '1998-01-01' AND order_date < TIMESTAMP '1998-02-01'
+        UNION ALL SELECT {ORDER} FROM tgt_orders WHERE order_date < TIMESTAMP '1998-01-01' OR order_date >= TIMESTAMP '1998-02-01'"""),
+    "delete_segments": using("src_orders tgt_orders", f"""
+        SELECT {ORDER} FROM tgt_orders WHERE order_date >= TIMESTAMP '1994-01-01'
+        UNION ALL SELECT {ORDER} FROM src_orders WHERE order_date < TIMESTAMP '1994-01-01' AND order_id % 10 = 0"""),
     "default_fill": using("tgt_orders", f"""SELECT *,
         CASE WHEN order_id % 3 <> 0 THEN order_date ELSE {ORDERS_NOW} END AS loaded_at FROM tgt_orders"""),
     "delete_where": using("tgt_orders", "SELECT * FROM tgt_orders WHERE status IS NULL OR status <> 'X'"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import ts
@@ -11,7 +13,8 @@ from ..operators.upkeep import MAX_DELETED_SHARE, MIN_DELETED, analyze_table
 from ..session import new_path, stage
 from . import jobs
 from .layout import Layout
-from .tables import append, held_partitions, in_partitions, obeyed, publish, replace_partitions
+from .tables import (SEGMENT, append, held_partitions, in_partitions, named_segments, obeyed, publish, replace_partitions,
+                     settle)
 from .upkeep import compact, selective_compact
 
 LOADED = "loaded_at"
@@ -61,25 +64,36 @@ def load_changes(source: DataFrame, table: str, staging: str, keys: list[str], c
                  **options) -> None:
     """Classify the source against the table, note the changes in the staging table, apply them, and purge old notes.
 
-    The changes are noted before they are applied, so a failure between loses no record of them. Only this run's changes are applied, so what an earlier run noted is not applied twice. See
-    ``loads.classify_changes`` for the options.
+    The changes are noted before they are applied, so a failure between loses no record of them; a run that is repeated with
+    the same ``as_of`` notes none of them twice. Only this run's changes are applied, so what an earlier run noted is not
+    applied twice. See ``loads.classify_changes`` for the options.
     """
     spark = source.sparkSession
+    settle(spark, table)
     target, layout = spark.table(table), obeyed(spark, table, layout)
     parts = list(layout.partition_by)
     classified = loads.classify_changes(source, target, keys, compare, as_of, **options)
     changes = stage(classified.where(F.col("operation_type") != "UNCHANGED"), "changes")
     touch = {LOADED: ts(as_of)} if LOADED in target.columns else {}
-    append(changes, staging)
+    noted = spark.table(staging).where(F.col("processed_at") == ts(as_of))
+    append(_not_noted(changes, noted, [*keys, "operation_type"]), staging)
     if parts:
-        update_cols = [*update_cols, *[p for p in parts if p not in update_cols and p not in keys]]
+        update_cols = [*update_cols, *[p for p in parts if p not in (*update_cols, *keys, SEGMENT)]]
         touched = target.where(in_partitions(held_partitions(target, changes, keys, parts), parts))
-        replace_partitions(touched, loads.apply_changes(touched, changes, keys, update_cols, touch), table, layout)
+        after = loads.apply_changes(touched, changes, keys, update_cols, touch)
+        replace_partitions(touched, named_segments(after, changes, keys), table, layout)
     else:
         publish(loads.apply_changes(target, changes, keys, update_cols, touch), table, layout)
     publish(loads.purge_staging(spark.table(staging), as_of, keep_staged), staging)
 
 
+def _not_noted(changes: DataFrame, staged: DataFrame, columns: list[str]) -> DataFrame:
+    """The changes that staging does not have yet, by ``columns``, of which any may be NULL."""
+    there = staged.select(*[F.col(c).alias(f"_{c}") for c in columns]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return changes.join(there, same, "left_anti")
+
+
 def maintain(spark: SparkSession, tables: dict[str, Column], layouts: dict[str, Layout] | None = None,
              columns: dict[str, list[str]] | None = None) -> None:
     """Compact and analyze every table. ``tables`` gives each its "is deleted" predicate, ``columns`` those to profile."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -514,6 +515,38 @@ def upsert_moved_key(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table)
 
 
+@query
+def upsert_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog fails in the middle of a swap of partitions; the same upsert again gives what one clean run gives."""
+    table = new_name("orders")
+    tables.save_table(_by_year(fx.tgt_orders(spark, sf)), table, Layout(partition_by=("order_year",)))
+    batch = _by_year(fx.src_orders(spark, sf).where("order_id % 15 <> 4"))
+    with tables.interrupted(after=3), suppress(tables.Interrupted):
+        tables.upsert_table(batch, table, ["order_id"], ORDER_COLUMNS)
+    tables.upsert_table(batch, table, ["order_id"], ORDER_COLUMNS)
+    return spark.table(table)
+
+
+@query
+def upsert_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """A table without partitions, in segments by date: a batch of one month's orders, old and new, rewrites few of them."""
+    table = new_name("orders")
+    tables.save_segmented(fx.tgt_orders(spark, sf), table, Layout(sort=("order_date",), files=12))
+    batch = fx.src_orders(spark, sf).where("order_date >= TIMESTAMP_NTZ '1998-01-01' AND order_date < TIMESTAMP_NTZ '1998-02-01'")
+    tables.upsert_table(batch, table, ["order_id"], ORDER_COLUMNS)
+    return tables.rows_of(spark, table)
+
+
+@query
+def delete_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """A delete from a segmented table, and an append to it."""
+    table = new_name("orders")
+    tables.save_segmented(fx.tgt_orders(spark, sf), table, Layout(sort=("order_date",), files=8))
+    tables.delete_from(spark, table, F.col("order_date") < ts("1994-01-01"))
+    tables.append(fx.src_orders(spark, sf).where("order_date < TIMESTAMP_NTZ '1994-01-01' AND order_id % 10 = 0"), table)
+    return tables.rows_of(spark, table)
+
+
 @query
 def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     """A table in hash buckets, upserted without saying so."""

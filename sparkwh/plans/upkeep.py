@@ -11,7 +11,7 @@ from ..operators.loads import delete_where
 from ..operators.upkeep import MIN_DELETED, analyze_table
 from ..sources.files import file_sizes
 from .layout import Layout
-from .tables import location, obeyed, publish
+from .tables import location, obeyed, publish, settle
 
 TARGET_FILE_MB = 256
 
@@ -29,6 +29,7 @@ def compact(spark: SparkSession, table: str, layout: Layout = Layout(), deleted:
             target_file_mb: int = TARGET_FILE_MB) -> None:
     """Rewrite a table without its deleted rows, in its sort order, as files of about the target size. Partitions and buckets
     stay as they are; inside a partition, too, files reach the target size."""
+    settle(spark, table)
     rows, layout = spark.table(table), obeyed(spark, table, layout)
     kept = rows if deleted is None else delete_where(rows, deleted)
     if layout.dist != "key":

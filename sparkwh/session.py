@@ -80,3 +80,32 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below ``path``, by name; none if there is no such folder."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(f.getPath().toString() for f in system.listStatus(place) if f.isDirectory())
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    system, place = _file_system(spark, path)
+    system.mkdirs(place)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
