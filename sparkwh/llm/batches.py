@@ -1,7 +1,9 @@
 """Helpers for vectorized work on Arrow batches inside tasks: byte views, bounded slices, word and shingle hashes.
 
 A word is a run of bytes that are not one of space, tab, line feed, vertical tab, form feed, carriage return. Words and
-shingles are handled as 64-bit fingerprints; everything works on whole texts. Memory is bounded by ``SLICE_BYTES`` (or by
+shingles are handled as 64-bit fingerprints: runs of up to 8 bytes of one length never share one, longer ones go through a
+chain of non-linear steps, and those over ``LONG_BYTES`` through XXH3. Where a result rests on equality, ``same_bytes``
+compares the runs themselves. Everything works on whole texts. Memory is bounded by ``SLICE_BYTES`` (or by
 one text, if that is longer), not by the number of rows.
 """
 
@@ -13,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import SparkSession, functions as F
 
 SLICE_BYTES = 1 << 20
@@ -23,9 +26,7 @@ SPACES = b" \t\n\v\f\r"
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 
-_BASE = 0xD1B54A32D192ED03
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
+LONG_BYTES = 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,26 +39,58 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_codes(fold_case: bool) -> np.ndarray:
-    codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    if fold_case:
-        codes[65:91] = codes[97:123]
-    return codes
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
-_CODES = {fold: _byte_codes(fold) for fold in (False, True)}
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of ``data`` on as one number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    key = f"{base}"
-    if key not in _POWERS or len(_POWERS[key]) < n:
-        out = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
-        out[0] = 1
-        out = np.multiply.accumulate(out)
-        if n > 4 * SLICE_BYTES:  # one very long text: not worth keeping
-            return out
-        _POWERS[key] = out
-    return _POWERS[key]
+def _piece(view: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """Bytes 8 k to 8 k + 8 of the runs, which are longer than 8 k."""
+    return view[starts + 8 * k] & _MASKS[np.minimum(sizes - 8 * k, 8)]
+
+
+def fingerprints(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit fingerprints of runs of bytes."""
+    h = mix(sizes.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 1) & (1 << 64) - 1))
+    view, left = eights(data), np.flatnonzero((sizes > 0) & (sizes <= LONG_BYTES))
+    for k in range(LONG_BYTES // 8):
+        if not len(left):
+            break
+        h[left] = mix(h[left] ^ _piece(view, starts[left], sizes[left], k))
+        left = left[sizes[left] > 8 * k + 8]
+    for i in np.flatnonzero(sizes > LONG_BYTES):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:starts[i] + sizes[i]].tobytes(), seed)
+    return h
+
+
+def same_bytes(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether runs of equal sizes, at ``at_a`` in ``a`` and at ``at_b`` in ``b``, hold the same bytes."""
+    same = np.ones(len(sizes), bool)
+    one, two, left = eights(a), eights(b), np.flatnonzero(sizes <= LONG_BYTES)
+    for k in range(LONG_BYTES // 8):
+        left = left[sizes[left] > 8 * k]
+        if not len(left):
+            break
+        same[left] &= _piece(one, at_a[left], sizes[left], k) == _piece(two, at_b[left], sizes[left], k)
+    for i in np.flatnonzero(sizes > LONG_BYTES):
+        n = sizes[i]
+        same[i] = bool((a[at_a[i]:at_a[i] + n] == b[at_b[i]:at_b[i] + n]).all())
+    return same
+
+
+def injective(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, h: np.ndarray) -> bool:
+    """Whether runs with equal fingerprints hold the same bytes."""
+    order = np.argsort(h, kind="stable")
+    a, b = order[:-1], order[1:]
+    equal = h[a] == h[b]
+    a, b = a[equal], b[equal]
+    return bool((sizes[a] == sizes[b]).all() and same_bytes(data, starts[a], data, starts[b], sizes[a]).all())
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +129,11 @@ ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[48:58] = ALPHANUMERIC[65:91] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool = True,
-          kind: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprint and row of every run of bytes of a ``kind``, in text order. ``fold_case`` takes A-Z as a-z."""
+def word_places(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, size and row of every run of bytes of a ``kind``, in text order."""
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     solid = kind[data]
     before = np.empty(n, bool)
     before[0], before[1:] = False, solid[:-1]
@@ -111,13 +143,25 @@ def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool = True,
     before[inner[inner < n]] = False
     after[inner[inner > 0] - 1] = False
     starts = np.flatnonzero(solid & ~before)
-    ends = np.flatnonzero(solid & ~after)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_CODES[fold_case][data] * _powers(_BASE, n)[:n], out=total[1:])
-    h = (total[ends + 1] - total[starts]) * _powers(_BASE_INVERSE, n)[starts]
-    h += (ends - starts).astype(np.uint64)
-    return mix(h), np.searchsorted(offsets, starts, "right") - 1
+    return starts, np.flatnonzero(solid & ~after) + 1 - starts, np.searchsorted(offsets, starts, "right") - 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, fold_case: bool = True,
+          kind: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprint and row of every run of bytes of a ``kind``, in text order. ``fold_case`` takes A-Z as a-z."""
+    starts, sizes, row = word_places(data, offsets, kind)
+    return fingerprints(_FOLDED[data] if fold_case else data, starts, sizes), row
+
+
+def verified_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``words`` with fingerprints that tell all words of ``data`` apart, byte by byte: the first seed that does is taken."""
+    starts, sizes, row = word_places(data, offsets)
+    folded, seed = _FOLDED[data], 0
+    while True:
+        h = fingerprints(folded, starts, sizes, seed)
+        if injective(folded, starts, sizes, h):
+            return h, row
+        seed += 1
 
 
 def shingle_sets(h: np.ndarray, row: np.ndarray, size: int, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .batches import ALPHANUMERIC, mix, signed, slices, text_bytes, tidy, words
+from .batches import ALPHANUMERIC, mix, signed, slices, text_bytes, tidy, word_places, words
 from .filters import key_filter, may_hold
 
 
@@ -121,21 +121,36 @@ def best_overlap(same: np.ndarray, percent: int) -> tuple[int, int]:
 
 
 def _verified(p: LeakParameters):
-    """(doc_id, item_id, start, overlap_words, agreeing_words, item_words) of (doc_id, item_id, shift, text, item)."""
+    """(doc_id, item_id, start, overlap_words, agreeing_words, item_words) of (doc_id, item_id, shifts, text, item): the best
+    overlap of every row."""
+    def best_at(shifts: list[int], held, other) -> tuple[int, int, int] | None:
+        """Words, agreeing ones and negated start of the longest overlap, of equal ones the one with most agreeing words, then
+        the first. ``held`` and ``other`` are arrays of words."""
+        best, least = None, min(p.least_words, len(other))
+        for shift in shifts:
+            a, b = max(0, shift), min(len(held), shift + len(other))
+            same = held[a:b] == other[a - shift:b - shift]
+            start, end = best_overlap(same, p.percent)
+            if end - start >= least:
+                found = end - start, int(same[start:end].sum()), -(a + start)
+                best = found if best is None else max(best, found)
+                if found[1] == len(other):  # the whole item, every word: no later one is better
+                    break
+        return best
+
     def run(batches):
         held_id, held_text, held = None, None, None
         for batch in batches:
             out = []
-            for doc_id, item_id, shift, text, item in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, item_id, shifts, text, item in zip(*(c.to_pylist() for c in batch.columns)):
                 if held is None or doc_id != held_id or text != held_text:
-                    held_id, held_text = doc_id, text
-                    held = _words_of(text)
-                other = _words_of(item)
-                a, b = max(0, shift), min(len(held), shift + len(other))
-                same = held[a:b] == other[a - shift:b - shift]
-                start, end = best_overlap(same, p.percent)
-                if end - start >= min(p.least_words, len(other)):
-                    out.append((doc_id, item_id, a + start, end - start, int(same[start:end].sum()), len(other)))
+                    held_id, held_text, held = doc_id, text, _words_of(text)
+                shifts = sorted(shifts)
+                if best_at(shifts, held, _words_of(item)):  # decided on the words themselves
+                    words_of_item = _word_list(item)
+                    best = best_at(shifts, _word_list(text), words_of_item)
+                    if best:
+                        out.append((doc_id, item_id, -best[2], best[0], best[1], len(words_of_item)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 6)], names=[
                 "doc_id", "item_id", "start", "overlap_words", "agreeing_words", "item_words"])
     return run
@@ -146,6 +161,15 @@ def _words_of(text: str | None) -> np.ndarray:
     return words(data, offsets, kind=ALPHANUMERIC)[0]
 
 
+def _word_list(text: str | None) -> np.ndarray:
+    data, offsets = text_bytes(pc.utf8_lower(pa.array([text or ""], pa.string())))
+    starts, sizes, _ = word_places(data, offsets, ALPHANUMERIC)
+    folded = data.tobytes().lower()
+    out = np.empty(len(starts), object)
+    out[:] = [folded[i:i + n] for i, n in zip(starts.tolist(), sizes.tolist())]
+    return out
+
+
 def _kept_rows(table):
     def run(batches):
         for batch in batches:
@@ -174,9 +198,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, p: LeakParameters = LeakPara
                     .select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("shift")).distinct(), "aligned")
     there = key_filter(aligned.select(F.col("doc_id").alias("key")))
     near = texts.mapInArrow(tidy(_kept_rows(there)), "id long, text string").distinct()
-    pairs = (aligned.join(items.select(F.col("id").alias("item_id"), F.col("text").alias("item")), "item_id")
+    # All alignments of a document with an item in one row: the texts travel once, however many there are.
+    placed = aligned.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts"))
+    pairs = (placed.join(items.select(F.col("id").alias("item_id"), F.col("text").alias("item")), "item_id")
              .join(near.withColumnRenamed("id", "doc_id"), "doc_id")
-             .select("doc_id", "item_id", "shift", "text", "item"))
+             .select("doc_id", "item_id", "shifts", "text", "item"))
     found = pairs.mapInArrow(tidy(_verified(p)), "doc_id long, item_id long, start long, overlap_words long, agreeing_words long, item_words long")
     best = F.struct(F.col("overlap_words"), F.col("agreeing_words"), (-F.col("start")).alias("start"), "item_words")
     return (found.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))

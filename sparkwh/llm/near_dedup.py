@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
-from .batches import grouped, mix, shingle_sets, signed, slices, text_bytes, tidy, words
+from .batches import grouped, mix, shingle_sets, signed, slices, text_bytes, tidy, verified_words, words
 from .components import connected
 
 
@@ -137,16 +137,13 @@ def _edges(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
 
 
 class _Sets:
-    """The shingle sets of a group of texts, and a postings index over those not yet placed."""
+    """The shingle sets of a group of texts, and a postings index over those not yet placed. Words with equal fingerprints
+    are known to be equal here: all words of the group have been compared byte by byte."""
 
     def __init__(self, texts, shingle: int):
         data, offsets = text_bytes(texts)
         n = len(offsets) - 1
-        parts = []
-        for i, j in slices(offsets):
-            h, row, _ = shingle_sets(*words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), shingle, j - i)
-            parts.append((h, row + i))
-        h, self.row = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+        h, self.row, _ = shingle_sets(*verified_words(data, offsets), shingle, n)
         distinct, self.id = np.unique(h, return_inverse=True)
         self.n_ids, self.size = len(distinct), np.bincount(self.row, minlength=n)
         self.start = np.concatenate([[0], np.cumsum(self.size)])

@@ -3,7 +3,8 @@
 Byte-level vocabularies cut a text into words before merging. Some cuts can be told from neighbouring bytes alone: a
 single space between solid characters begins a word, a single line feed between solid characters is a word, and ASCII
 punctuation after an ASCII letter or digit begins one. Cutting there, on whole batches at once, gives pieces that repeat
-across texts; each distinct piece is worked out once and looked up by its 64-bit fingerprint.
+across texts; each distinct piece is worked out once and looked up by its 64-bit fingerprint. A piece that is found is
+compared byte by byte with the one that was remembered; pieces over ``LONG_BYTES`` are not remembered.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .batches import _BASE, _BASE_INVERSE, _CODES, _powers, mix
+from .batches import LONG_BYTES, fingerprints, same_bytes
 
-SLOTS = 1 << 21
+SLOTS = 1 << 20
 POOL_ITEMS = 1 << 23
 
 _SOLID = np.ones(256, bool)
@@ -26,7 +27,7 @@ _PUNCT[33:127] = ~_ALNUM[33:127]
 
 
 def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of every piece, and its fingerprint; pieces are contiguous and end with their row."""
+    """Start and size of every piece; pieces are contiguous and end with their row."""
     n = len(data)
     solid = _SOLID[data]
     if (data >= 0x80).any():  # what may be a non-ASCII space is not solid
@@ -51,11 +52,7 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start[row_starts] = True
     starts = np.flatnonzero(start)
     ends = np.append(starts[1:], n)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_CODES[False][data] * _powers(_BASE, n)[:n], out=total[1:])
-    h = (total[ends] - total[starts]) * _powers(_BASE_INVERSE, n)[starts]
-    return starts, mix(h + (ends - starts).astype(np.uint64))
+    return starts, ends - starts
 
 
 class PieceMemory:
@@ -67,38 +64,64 @@ class PieceMemory:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.zeros(SLOTS, np.uint64)
-        self.at, self.size = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.keys, self.held = np.zeros(SLOTS, np.uint64), np.zeros((SLOTS, LONG_BYTES), np.uint8)
+        self.at, self.size, self.length = (np.zeros(SLOTS, np.int32) for _ in range(3))
         self.pool, self.used = np.zeros(POOL_ITEMS, np.uint32), 0
 
+    def _known(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, h: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Which pieces are remembered, with the very same bytes."""
+        known = (self.keys[slot] == h) & (self.length[slot] == sizes)
+        at = np.flatnonzero(known)
+        known[at] = same_bytes(data, starts[at], self.held.reshape(-1), slot[at] * LONG_BYTES, sizes[at])
+        return known
+
+    def _made(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, h: np.ndarray):
+        """Numbers of the distinct ones of some pieces, the count of each, where each begins, and which piece is which: pieces are
+        the same if their bytes are. Also the first piece of each."""
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        same = sizes == sizes[first[which]]
+        at = np.flatnonzero(same)
+        same[at] = same_bytes(data, starts[at], data, starts[first[which[at]]], sizes[at])
+        odd = np.flatnonzero(~same)  # share a fingerprint with another piece: each stands for itself
+        which[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate([first, odd])
+        raw = data.tobytes()
+        flat, count = self.make([raw[i:i + n].decode() for i, n in zip(starts[first].tolist(), sizes[first].tolist())])
+        return flat, count, np.cumsum(count) - count, which, first
+
     def rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all rows, one after another, and the n + 1 places where rows begin."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        starts, h = cut(data, offsets)
-        h |= np.uint64(1)  # 0 marks an empty slot
-        slot = ((h >> np.uint64(8)) & np.uint64(SLOTS - 1)).astype(np.int64)
+        starts, sizes = cut(data, offsets)
+        h = fingerprints(data, starts, sizes)
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
         at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
-        missing = np.flatnonzero(self.keys[slot] != h)
+        missing = np.flatnonzero(~self._known(data, starts, sizes, h, slot))
         pool = self.pool
         if len(missing):
-            _, first, inverse = np.unique(h[missing], return_index=True, return_inverse=True)
-            raw, ends = data.tobytes(), np.append(starts[1:], len(data))
-            flat, sizes = self.make([raw[i:j].decode() for i, j in zip(starts[missing[first]], ends[missing[first]])])
-            places = np.cumsum(sizes) - sizes
+            flat, count, places, which, first = self._made(data, starts[missing], sizes[missing], h[missing])
             if self.used + len(flat) > POOL_ITEMS:
                 pool = np.concatenate([self.pool[:self.used], flat])  # what was found above stays valid for this call
-                at[missing], size[missing] = self.used + places[inverse], sizes[inverse]
+                at[missing], size[missing] = self.used + places[which], count[which]
                 self._reset()
             else:
                 self.pool[self.used:self.used + len(flat)] = flat
                 places += self.used
                 self.used += len(flat)
-                into = slot[missing[first]]
-                self.keys[into] = h[missing[first]]
-                # Of pieces that share a slot the last one written stays; write place and size alike.
-                self.at[into], self.size[into] = places, sizes
-                at[missing], size[missing] = places[inverse], sizes[inverse]
+                at[missing], size[missing] = places[which], count[which]
+                self._remember(data, starts, sizes, h, slot, missing[first], places, count)
         done = np.concatenate([[0], np.cumsum(size)])
         out = pool[np.repeat(at - done[:-1], size) + np.arange(done[-1])]
         return out, done[np.searchsorted(starts, offsets)]
+
+    def _remember(self, data, starts, sizes, h, slot, pieces, places, count) -> None:
+        short = sizes[pieces] <= LONG_BYTES
+        pieces, places, count = pieces[short], places[short], count[short]
+        _, last = np.unique(slot[pieces][::-1], return_index=True)  # of pieces that share a slot, one
+        use = len(pieces) - 1 - last
+        pieces, into = pieces[use], slot[pieces[use]]
+        self.keys[into], self.length[into] = h[pieces], sizes[pieces]
+        self.at[into], self.size[into] = places[use], count[use]
+        padded = np.concatenate([data, np.zeros(LONG_BYTES, np.uint8)])
+        self.held[into] = padded[starts[pieces][:, None] + np.arange(LONG_BYTES)]
