@@ -60,10 +60,12 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
         splits = [s for s in itertools.product((1, -1), repeat=n) if s[0] == 1 and -1 in s]
         return np.array(splits, np.float32).T
     rng, length, best = np.random.default_rng(seed), int(np.ceil(10 * np.log2(n))), None
-    for _ in range(200):
+    for _ in range(200 if n < 200 else 20):
         code = rng.choice([-1.0, 1.0], (n, length)).astype(np.float32)
         code = code[:, np.abs(code.sum(0)) < n]
-        apart = min(int((a != b).sum()) for a, b in itertools.combinations(code, 2))
+        agree = code @ code.T  # of two codewords of this length: places in common less places apart
+        np.fill_diagonal(agree, -code.shape[1])
+        apart = (code.shape[1] - int(agree.max())) // 2
         if best is None or apart > best[0]:
             best = apart, code
     return best[1]

@@ -61,14 +61,36 @@ def test_pairs_learn_what_single_terms_cannot():
     noise = rng.integers(10, 30, (800, 2))
     row = np.concatenate([np.flatnonzero(a), np.flatnonzero(b), np.repeat(np.arange(800), 2)])
     bucket = np.concatenate([np.full(a.sum(), 1), np.full(b.sum(), 2), noise.ravel()])
-    keep, toxicity.LEAST_EVIDENCE = toxicity.LEAST_EVIDENCE, 0.0
-    try:
-        model = fit_pairs(row, bucket, y, np.ones(800), buckets=32, passes=400)
-    finally:
-        toxicity.LEAST_EVIDENCE = keep
+    model = fit_pairs(row, bucket, y, np.ones(800), buckets=32)
+    assert model.kept[[1, 2]].all()
     assert ((model.score(row, bucket, 800) > 0.5) == y).mean() > 0.95
 
 
+def test_score_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(4)
+    model = toxicity.PairModel(-0.3, rng.normal(0, 1, 16), rng.normal(0, 1, (16, 3)), np.arange(16) % 5 > 0)
+    sets = [sorted(rng.choice(16, rng.integers(0, 9), replace=False)) for _ in range(50)]
+    row = np.repeat(np.arange(50), [len(s) for s in sets])
+    got = model.score(row, np.array([t for s in sets for t in s], int), 50)
+    for s, value in zip(sets, got):
+        used = [t for t in s if model.kept[t]]
+        logit = model.bias + sum(model.weight[t] for t in used) + sum(
+            model.vectors[a] @ model.vectors[b] for a, b in itertools.combinations(used, 2))
+        assert abs(value - 1 / (1 + np.exp(-logit))) < 1e-9
+
+
+def test_few_labels_and_terms_without_evidence(spark):
+    """Six rows without a common term, terms spread evenly over both classes, one class alone, and no terms at all."""
+    def scores(texts, toxic):
+        docs = docs_of(spark, list(enumerate(texts)))
+        labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+        return [r["score"] for r in toxicity.toxicity(docs, labels).collect()]
+    for texts, toxic in ((["a", "b", "c", "d", "e", "f"], [0, 1, 0, 1, 0, 1]), (["same words"] * 40, [0, 1] * 20), (["x"] * 9, [1] * 9),
+                         (["", None, "1 2"] * 4, [0, 1, 0] * 4)):
+        got = scores(texts, toxic)
+        assert len(got) == len(texts) and all(0 <= s <= 1 for s in got)
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = table(spark, "documents", SF), table(spark, "labels", SF)
     truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
