@@ -8,6 +8,7 @@ reported, what repeats the code around it or is made of identifiers is not.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from dataclasses import dataclass
@@ -30,11 +31,19 @@ _C = "[A-Za-z0-9+/_=-]"
 # Pieces joined by dots; a piece of 40 or more at a line end goes on in the next line, if that has nothing else.
 _RUN = re.compile(rf"{_C}+(?:\.{_C}+)*(?:(?<={_C}{{40}})(?:\\n(?!-----){_C}+|[\x20\t]*\r?\n[\x20\t]*(?!-----){_C}+(?=[\x20\t]*(?:\r?\n|\Z))))*")
 _LONG = re.compile(rf"{_C}{{40,}}")
-_WORDS = "key|secret|token|passw|pwd|auth|credential|private|bearer|signature|cert|session|cookie"
+# What white space and quotes delimit; in a URL, its parts.
+_TOKEN = re.compile(r"""[^\s"'`<>]+""")
+_URL_PART = re.compile(r"[^/?&=#.:@%]+")
+# URLs, mail addresses and dotted numbers.
+_ADDRESS = re.compile(r".*://.*|[(\[{]*[\w.+-]+@\w[\w-]*\.\w.*|\W*\d+(?:\.\d+){2,}\W*", re.S)
+_WORDS = "key|secret|token|passw|passphrase|passcode|pwd|auth|credential|private|bearer|signature|cert|session|cookie"
 _SENSITIVE = re.compile(_WORDS, re.I | re.A)
 _VALUE = re.compile(rf"""(?:{_WORDS})[A-Za-z0-9_-]{{0,20}}["']?[\x20\t]*[:=][\x20\t]*["']?([^\s"'`<>]+)""", re.I | re.A)
 _BEGIN = re.compile(r"-----BEGIN ([^\n-]{1,60})-----")
+_HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SIGNS = re.compile(r"[\W_]+")
+_RUNS_OF_LETTERS = re.compile(r"[^\W\d_]+")
 _VOWELS = frozenset("aeiouy")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
 
@@ -58,15 +67,16 @@ IDENTIFIERS = (
 
 @dataclass(frozen=True)
 class NoveltyParameters:
-    """A candidate is news if it adds ``least_share`` of its length (of the room that digits need, if it has only these) and
-    ``least_bytes`` to the compressed text around it, or ``least_assigned`` if it is assigned to a sensitive name. ``window``
-    characters on either side are the surroundings. ``context`` before it and ``after`` behind it must hold a sensitive word or,
-    before it, the end of a reported string, or BEGIN and END enclose it."""
-    least_share: float = 0.7
+    """A candidate is news if it adds ``least_share`` of its length and ``least_bytes`` to the compressed text around it, or
+    ``least_assigned`` if it is assigned to a sensitive name; digits and hexadecimals, which compress by themselves, that
+    share of the room they need (``room``). ``window``
+    characters on either side are the surroundings. ``context`` before it (half of that for digits alone) and ``after`` behind it
+    must hold a sensitive word or, before it, the end of a reported string, or BEGIN and END enclose it."""
+    least_share: float = 0.62
     least_bytes: int = 12
     least_assigned: int = 8
     window: int = 1_000
-    context: int = 48
+    context: int = 96
     after: int = 8
 
 
@@ -82,25 +92,55 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def marginal_bytes(candidate: str, before: str, after: str, identifiers: bytes) -> int:
+def primed(identifiers: bytes) -> zstandard.ZstdCompressor:
+    """A compressor that knows the identifiers. The dictionary is digested once, so a candidate costs its surroundings only."""
+    known = zstandard.ZstdCompressionDict(identifiers, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    known.precompute_compress(level=3)
+    return zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, dict_data=known)
+
+
+def marginal_bytes(compressor: zstandard.ZstdCompressor, candidate: str, before: str, after: str) -> int:
     """Bytes that the candidate adds to the compressed surroundings."""
-    around = (before + "\n" + after).encode()
-    primed = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, dict_data=zstandard.ZstdCompressionDict(
-        identifiers + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-    tail = around[-256:]
-    return len(primed.compress(tail + candidate.encode())) - len(primed.compress(tail))
+    around = (after + "\n" + before).encode()
+    return len(compressor.compress(around + candidate.encode())) - len(compressor.compress(around))
+
+
+def room(word: str) -> float:
+    """Share of its length that a string of random characters of its kind takes when compressed: entropies of 10 and 16 signs
+    against those of 64, and some more for digits, which get codes of whole bits."""
+    return 0.55 if word.isdigit() else 4 / 6 if _HEXADECIMAL.fullmatch(word) else 1.0
+
+
+def _delimited(text: str) -> list[tuple[int, int, bool]]:
+    """Spans between white space and quotes, without the punctuation around them. Addresses are left out."""
+    out = []
+    for m in _TOKEN.finditer(text):
+        a, word = m.start(), m.group()
+        if not _ADDRESS.fullmatch(word):
+            out.append((a + len(word) - len(word.lstrip("([{")), a + len(word.rstrip(",;.:)]}!?")), False))
+    return out
 
 
 def _candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool, bool]]:
     """(start, end, whether assigned or next to a fixed form, whether enclosed) of the strings outside the fixed forms."""
-    spans = [(m.start(), m.end(), False) for m in _RUN.finditer(text)]
+    spans = _delimited(text)
+    urls = [m.span() for m in _TOKEN.finditer(text) if _ADDRESS.fullmatch(m.group())]
+    for m in _RUN.finditer(text):  # inside an address only its parts are candidates
+        k = bisect.bisect_right(urls, (m.start(), len(text))) - 1
+        if k >= 0 and m.start() < urls[k][1]:
+            spans += [(x.start(), x.end(), False) for x in _URL_PART.finditer(text, m.start(), min(m.end(), urls[k][1]))]
+            if m.end() > urls[k][1]:
+                spans.append((urls[k][1], m.end(), False))
+        else:
+            spans.append((m.start(), m.end(), False))
     for m in _VALUE.finditer(text):
         spans.append((m.start(1), m.start(1) + len(m.group(1).rstrip(",;.:)]}")), True))
     blocks = []
+    ends = [m.start() for m in re.finditer("-----END", text)]
     for m in _BEGIN.finditer(text):
         if _SENSITIVE.search(m.group(1)):
-            end = text.find("-----END", m.end())
-            blocks.append((m.end(), end if end >= 0 else len(text)))
+            k = bisect.bisect_left(ends, m.end())
+            blocks.append((m.end(), ends[k] if k < len(ends) else len(text)))
     merged: list[list] = []
     for a, b, own in sorted(spans):
         if merged and a < merged[-1][1]:
@@ -138,23 +178,27 @@ def _identifier(word: str) -> bool:
 
 def novel_spans(text: str, base: list[tuple[int, int, int]], p: NoveltyParameters = NoveltyParameters()) -> list[tuple[int, int, int]]:
     """Incompressible strings in a sensitive context that no fixed form covers."""
-    found, identifiers = [], None
+    found, compressor = [], None
     if not base and not _SENSITIVE.search(text):
         return found
     for a, b, own, enclosed in _candidates(text, base):
         if b - a < (p.least_assigned if own else p.least_bytes) / 2:  # a byte for two characters at the very least
             continue
-        near = own or enclosed or found and a - found[-1][2] <= p.context
-        if not near and not _SENSITIVE.search(text[max(0, a - p.context):a] + " " + text[b:b + p.after]):
+        word = "".join(text[a:b].split())
+        signs = _SIGNS.sub("", word)
+        reach = p.context // 2 if signs.isdigit() else p.context  # numbers of all kinds are common
+        near = own or enclosed or found and a - found[-1][2] <= reach
+        if not near and not _SENSITIVE.search(text[max(0, a - reach):a] + " " + text[b:b + p.after]):
             continue
-        if identifiers is None:
+        if all(map(_identifier, _RUNS_OF_LETTERS.findall(word))) and not any(map(str.isdigit, word)):
+            continue  # words and punctuation
+        if compressor is None:
             words = dict.fromkeys(w for w in _IDENTIFIER.findall(_LONG.sub(" ", text))
                                   if len(w) <= 40 and not any(c.isdigit() for c in w) and _identifier(w))
-            identifiers = " ".join([*IDENTIFIERS, *words]).encode()
-        word = "".join(text[a:b].split())
-        size, room = len(word.encode()), 0.55 if word.isdigit() else 1.0
-        adds = marginal_bytes(word, text[max(0, a - p.window):a], text[b:b + p.window], identifiers)
-        if adds >= p.least_share * room * size and adds >= room * (p.least_assigned if own else p.least_bytes):
+            compressor = primed(" ".join([*IDENTIFIERS, *words]).encode())
+        size, share = len(word.encode()), room(signs)
+        adds = marginal_bytes(compressor, word, text[max(0, a - p.window):a], text[b:b + p.window])
+        if adds >= p.least_share * share * size and adds >= share * (p.least_assigned if own else p.least_bytes):
             found.append((a, 3, b))
     return found
 

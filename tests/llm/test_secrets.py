@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
+
+import pytest
 
 from sparkwh.llm.secret_scan import base_spans, novel_spans, secrets
 
@@ -130,3 +133,41 @@ def test_measured_bytes_decide_not_the_kind_of_characters():
     assert novel("pwd: x7!Kq9$vLm2 end") == ["x7!Kq9$vLm2"]
     assert novel("the key: something different, and auth = getPrivateKeyFromStore(name) session") == []
     assert novel("the weather x7!Kq9$vLm2 " + letters) == []
+
+
+HEX, SIGNS = "0123456789ABCDEF", BASE64[:62] + "!@#$%^&*"
+
+
+def covered(text: str, value: str) -> bool:
+    at, spans = text.index(value), [(a, b) for a, _, b in base_spans(text) + novel_spans(text, base_spans(text))]
+    return sum(any(a <= at + k < b for a, b in spans) for k in range(len(value))) >= 0.8 * len(value)
+
+
+@pytest.mark.parametrize("form, signs, size, least", [
+    ("our private signing key is {} as agreed", HEX, 64, 20), ("our private signing key is {} as agreed", HEX, 96, 20),
+    ("our private signing key is {} as agreed", HEX, 128, 20), ("the password is {} today", SIGNS, 24, 18),
+    ("password: {}\n", SIGNS, 16, 16), ("passphrase: {}\n", SIGNS, 16, 18),
+    ("the secret value that was agreed upon in the last meeting of the whole team is here {}", BASE64, 32, 18)])
+def test_random_strings_of_many_kinds(form, signs, size, least):
+    values = [some(100 + k, size, signs) for k in range(20)]
+    assert sum(covered(form.format(v), v) for v in values) >= least
+
+
+def test_addresses_and_code_are_no_news():
+    for text in ("see https://docs.example.com/guide/session/token-handling and go on",
+                 "open https://example.com/account/session/token-handling.html?page=intro#auth now", "the key of er.49@mail9.example.com is",
+                 "token server 126.57.31.34%%% and", "the session tokens are handled by self.session=requests.Session() here",
+                 "const token_handler = createTokenHandler({session, cookie});"):
+        assert novel(text) == [], text
+    value = some(7, 40, BASE64[:62])
+    assert novel(f"https://example.com/session/{value}/x") == [value]
+
+
+def test_time_grows_with_the_candidates():
+    def seconds(n):
+        text = "the secret " + " ".join(f"key {some(k, 40)}" for k in range(n))
+        begin = time.perf_counter()
+        assert len(novel(text)) > 0.9 * n
+        return time.perf_counter() - begin
+    seconds(200)
+    assert seconds(4_000) < 8 * max(seconds(1_000), 0.05)
