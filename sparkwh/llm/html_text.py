@@ -9,6 +9,7 @@ others of its kind that reach the threshold are kept whole.
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -20,6 +21,8 @@ from .batches import tidy
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+# What counts without a closing ">": to the end of the page.
+_UNCLOSED = re.compile(r"<(?:!--|!\[CDATA\[|[!?]).*\Z", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in
             ("script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp")}
@@ -30,9 +33,14 @@ _BLOCK = frozenset("address article aside blockquote body center dd details dial
                    "caption tbody tfoot thead tr ul".split())
 _CELL = frozenset(("td", "th"))
 # Elements that never belong to an article's text.
-_NEVER = frozenset("script style noscript template iframe object embed applet svg math canvas audio video map form button select input "
-                   "textarea label fieldset datalist output progress meter dialog nav aside footer menu head title frameset noframes "
-                   "noembed xmp".split())
+_NEVER = frozenset("script style noscript template iframe object embed applet svg math canvas audio video map button select input "
+                   "textarea datalist output progress meter dialog head title frameset noframes noembed xmp".split())
+# Elements that rarely do: left out unless they hold an article or main element or the densest subtree.
+_RARELY = frozenset("form fieldset nav aside footer menu".split())
+# In these a label is part of a sentence, not of a form.
+_SENTENCES = frozenset("p li dd blockquote h1 h2 h3 h4 h5 h6".split())
+# What the densities under a name or element of what surrounds an article count when the densest subtree is looked for.
+_DOUBT = 0.25
 # Whole names of a class, id or role ("_" counts as "-"). The first are names of what surrounds an article wherever they are, the
 # second only outside an article or main element and the densest subtree, the third are threads of comments.
 _AROUND = frozenset("ad ads advert adverts advertisement advertising sidebar primary-sidebar secondary-sidebar nav navbar navigation "
@@ -73,7 +81,8 @@ class Page:
     def _open(self, tag: str, attributes: str, stack: list[int]) -> None:
         top = stack[-1]
         inside = self._inside[top] or tag in ("article", "main")
-        bad = self.barred[top] or tag in _NEVER or (tag == "header" and not self._inside[top])
+        bad = self.barred[top] or tag in _NEVER or (tag == "header" and not self._inside[top]) or (
+            tag == "label" and self.tag[top] not in _SENTENCES)
         if not bad and attributes and tag not in ("html", "body", "main"):
             level = _named(tag, attributes)
             if tag == "article":  # only whether it is somebody's comment; its text is chosen by density
@@ -81,13 +90,16 @@ class Page:
             bad = level == 4
             if 0 < level < 4:
                 self._named[len(self.tag)] = level
+        if not bad and tag in _RARELY and not (tag == "footer" and self.tag[top] == "blockquote"):
+            self._named[len(self.tag)] = max(2, self._named.get(len(self.tag), 0))
         self.tag.append(tag)
         self.parent.append(top)
         self.barred.append(bad)
         self._inside.append(inside)
 
     def _bar_named(self) -> None:
-        """Bar named nodes with what they hold, unless they hold an article or main element or the densest subtree."""
+        """Bar named nodes and rare elements with what they hold, unless they hold an article or main element or the densest
+        subtree, for which what they hold counts ``_DOUBT``."""
         n, visible = len(self.tag), self.barred
         spared: set[int] = set()
 
@@ -107,7 +119,11 @@ class Page:
             return out
 
         self.barred = barred(lambda i: 3)
-        heart = _heart(self, densities(self)[1])
+        doubt = [1.0] * n
+        for i in range(1, n):
+            doubted = i not in spared and self._named.get(i) == 2
+            doubt[i] = min(doubt[self.parent[i]], _DOUBT if doubted else 1.0)
+        heart = _heart(self, densities(self, doubt)[1])
         spare(heart)
         dense = [False] * n
         if self.tag[heart] not in ("#root", "html", "body"):
@@ -117,66 +133,82 @@ class Page:
         self.barred = barred(lambda i: 2 if self._inside[i] or dense[i] else 1)
 
     def _build(self, source: str) -> None:
-        stack, at, find = [0], 0, _TOKEN.search
-        tags = self.tag
+        stack, at, find, last = _Stack(self.tag), 0, _TOKEN.search, source.rfind(">")
         while True:
-            m = find(source, at)
+            m = find(source, at) if at <= last else _UNCLOSED.search(source, at)
             if m is None:
                 break
             if m.start() > at:
-                self.items.append((stack[-1], source[at:m.start()]))
+                self.items.append((stack.nodes[-1], source[at:m.start()]))
             at = m.end()
-            closing, name, attributes = (m.group(1), m.group(2), m.group(3)) if m.group(2) else (m.group(4), m.group(5), m.group(6))
-            if not name:
-                if m.group().startswith("<![CDATA["):
-                    self.items.append((stack[-1], html.escape(m.group()[9:].removesuffix("]]>"))))
+            if m.group().startswith("<![CDATA["):
+                self.items.append((stack.nodes[-1], html.escape(m.group()[9:].removesuffix("]]>"))))
+            if m.group().startswith("<!") or m.group().startswith("<?"):
                 continue
+            closing, name, attributes = (m.group(1), m.group(2), m.group(3)) if m.group(2) else (m.group(4), m.group(5), m.group(6))
             name = name.lower()
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] == name:
-                        del stack[depth:]
-                        break
-                    if name not in _BLOCK and name not in _CELL and (tags[stack[depth]] in _BLOCK or tags[stack[depth]] in _CELL):
-                        break  # an inline end tag does not close a block
+                stack.close(name)
                 continue
-            if name in _BLOCK:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] == "p":
-                        del stack[depth:]
-                        break
-                    if tags[stack[depth]] in _BETWEEN_P:
-                        break
-            closes = _CLOSED_BY.get(name)
-            if closes:
-                scope, last = _SCOPES[name], None
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] in closes:
-                        last = depth
-                    elif tags[stack[depth]] in scope:
-                        break
-                if last is not None:
-                    del stack[last:]
-            self._open(name, attributes, stack)
-            node = len(tags) - 1
+            stack.make_way(name)
+            self._open(name, attributes, stack.nodes)
+            node = len(self.tag) - 1
+            self.items.append((node, ""))
             if name in _VOID or attributes.endswith("/") and name not in _BLOCK and name not in _RAW_END:
-                self.items.append((node, ""))
                 continue
-            self.items.append((node, ""))
             if name in _RAW_END:
                 end = _RAW_END[name].search(source, at)
-                if end is None:
-                    at = len(source)
-                else:
-                    at = end.end()
+                at = len(source) if end is None else end.end()
                 continue
             if name == "plaintext":
                 self.items.append((node, html.escape(source[at:])))
                 at = len(source)
                 break
-            stack.append(node)
+            stack.push(node)
         if at < len(source):
-            self.items.append((stack[-1], source[at:]))
+            self.items.append((stack.nodes[-1], source[at:]))
+
+
+class _Stack:
+    """The open elements. Where each name is open, the innermost block and the paragraph in reach are kept at hand, so that no
+    step looks through the stack."""
+
+    def __init__(self, tags: list[str]):
+        self.tags, self.nodes = tags, [0]
+        self.block, self.paragraph = [0], [0]  # per depth: innermost block at or above it, open paragraph in reach; 0 is none
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: int) -> None:
+        name, depth = self.tags[node], len(self.nodes)
+        self.nodes.append(node)
+        self.block.append(depth if name in _BLOCK or name in _CELL else self.block[-1])
+        self.paragraph.append(depth if name == "p" else 0 if name in _BETWEEN_P else self.paragraph[-1])
+        self.places.setdefault(name, []).append(depth)
+
+    def _cut(self, depth: int) -> None:
+        for node in self.nodes[depth:]:
+            self.places[self.tags[node]].pop()
+        del self.nodes[depth:], self.block[depth:], self.paragraph[depth:]
+
+    def close(self, name: str) -> None:
+        """An end tag closes the innermost element of its name; an inline one does not close a block on the way."""
+        places = self.places.get(name)
+        if places and (name in _BLOCK or name in _CELL or places[-1] > self.block[-1]):
+            self._cut(places[-1])
+
+    def make_way(self, name: str) -> None:
+        """Close what cannot hold a new element: a paragraph before a block, the element before in a list or table."""
+        if name in _BLOCK and self.paragraph[-1]:
+            self._cut(self.paragraph[-1])
+        if name in _CLOSED_BY:
+            scope = max((self.places[s][-1] for s in _SCOPES[name] if self.places.get(s)), default=0)
+            found = []
+            for closed in _CLOSED_BY[name]:
+                places = self.places.get(closed, [])
+                k = bisect.bisect_right(places, scope)
+                found += places[k:k + 1]
+            if found:
+                self._cut(min(found))
 
 
 def _named(tag: str, attributes: str) -> int:
@@ -207,8 +239,8 @@ def _heart(page: Page, total: list[float]) -> int:
     return max((i for i in range(len(page.tag)) if not page.barred[i]), key=lambda i: (total[i], -i))
 
 
-def densities(page: Page) -> tuple[list[float], list[float]]:
-    """Composite density of every node, and the sum of its children's densities."""
+def densities(page: Page, doubt: list[float] | None = None) -> tuple[list[float], list[float]]:
+    """Composite density of every node, times its ``doubt``, and the sum of its children's densities."""
     n = len(page.tag)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -234,6 +266,8 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
         if c:
             base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
             density[i] = c / t * max(0.0, math.log(c / max(lc, 1) * t / lt + 1) / max(base, 1e-9))
+            if doubt:
+                density[i] *= doubt[i]
         if i:
             total[page.parent[i]] += density[i]
     return density, total

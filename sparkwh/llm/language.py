@@ -151,8 +151,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS,
     return CodeModel(languages, code, w, b, trust, buckets, margin)
 
 
-def _decoded(model: CodeModel, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and closeness of every text of a column."""
+def _decoded(model: CodeModel, column: pa.Array, unknown: str = UNDETERMINED) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and closeness of every text of a column; without a learned language, ``unknown`` for texts with letters."""
     data, offsets = text_bytes(column)
     names, scores, close = [], [np.zeros(0)], [np.zeros(0, bool)]
     for i, j in slices(offsets, 1 << 19):
@@ -160,13 +160,12 @@ def _decoded(model: CodeModel, column: pa.Array) -> tuple[list[str], np.ndarray,
             b = min(j, a + 512)
             part, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
             lettered = np.array([bool(_LETTER.search(part[x:y].tobytes().decode())) for x, y in zip(at, at[1:])], bool)
-            if not model.languages:
-                lettered[:] = False
-            if lettered.any():
+            if lettered.any() and model.languages:
                 best, score, near = model.decode(gram_counts(part, at, model.buckets))
             else:
                 best, score, near = np.zeros(b - a, int), np.zeros(b - a), np.zeros(b - a, bool)
-            names += [model.languages[k] if has else UNDETERMINED for k, has in zip(best, lettered)]
+            known = model.languages or [unknown]
+            names += [known[k] if has else UNDETERMINED for k, has in zip(best, lettered)]
             scores.append(np.where(lettered, score, 0.0))
             close.append(near & lettered)
     return names, np.clip(np.concatenate(scores), 0, 1), np.concatenate(close)
@@ -192,17 +191,22 @@ def predict(docs: DataFrame, model: CodeModel) -> DataFrame:
     return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def keep_identified(docs: DataFrame, model: CodeModel) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text has a language; ``und`` goes. Close calls stay."""
+def keep_identified(docs: DataFrame, model: CodeModel, wanted: frozenset[str] | None = None,
+                    least_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose predicted language is ``wanted`` (None: any that was learned) with
+    at least ``least_score``. Texts without a letter and NULL are ``und`` and go, also if no language could be learned; other
+    texts stay then, as nothing is known about them. Repeated rows are judged alike; an empty table stays empty."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            names = _decoded(shared.value, batch.column(at))[0]
-            yield batch.filter(pa.array([n != UNDETERMINED for n in names], pa.bool_()))
+            names, scores, _ = _decoded(shared.value, batch.column(at), "")
+            yield batch.filter(pa.array([n == "" or n != UNDETERMINED and s >= least_score and (wanted is None or n in wanted)
+                                         for n, s in zip(names, scores)], pa.bool_()))
 
     return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``predict`` with a model learned from ``docs`` themselves; see ``fit`` and ``predict`` for NULLs and empty tables."""
     return predict(docs, fit(docs, sample_rows))

@@ -222,4 +222,6 @@ def score(docs: DataFrame, model: PairModel) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``score`` with a model learned from the labels; see ``fit`` and ``score`` for NULLs, repeats and empty tables. Without
+    labels, or with one class only, all scores are alike."""
     return score(docs, fit(docs, labels, sample_rows))

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
+import time
 
 import pytest
 
-from sparkwh.llm.html_text import main_text, page_texts
+from sparkwh.llm.html_text import Page, chosen_nodes, densities, main_text, page_texts
 
 from .helpers import SF, table
 
@@ -97,3 +99,82 @@ def test_articles_that_reach_the_threshold_are_all_kept():
     links = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(9))
     assert main_text(f"<body><div><ul>{links}</ul><article>{longer}</article>{parts[1]}</div></body>").split("\n") == [
         *LINES * 3, LINES[1], LINES[1] + " Again."]
+
+
+LINKS = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(9))
+BODY = "".join(f"<p>{x}</p>" for x in LINES)
+
+
+def test_elements_are_no_verdicts():
+    form = f"<body><form id='page'><ul class='menu'>{LINKS}</ul><div>{BODY}</div><div class='sidebar'>{LINKS}</div></form></body>"
+    assert main_text(form) == "\n".join(LINES)
+    assert main_text(f"<body><aside><ul>{LINKS}</ul></aside><div>{BODY}</div><form>Your name <label>name</label><input></form>"
+                     f"<footer><p>{LINES[0] * 3}</p></footer></body>") == "\n".join(LINES)
+    quoted = f"<article><p>Press <label>Enter</label> and now</p><blockquote><p>said</p><footer>by me</footer></blockquote>{BODY}<footer>f</footer></article>"
+    assert main_text(quoted) == "\n".join(["Press Enter and now", "said", "by me", *LINES])
+
+
+def brute_densities(page: Page) -> tuple[list[float], list[float]]:
+    """Every node's figures by walking over all nodes and texts below it."""
+    n = len(page.tag)
+
+    def below(i):
+        found, k = set(), i
+        for k in range(n):
+            up = k
+            while up not in (-1, i):
+                up = page.parent[up]
+            if up == i:
+                found.add(k)
+        return found
+
+    def linked(i):
+        while i >= 0:
+            if page.tag[i] == "a":
+                return True
+            i = page.parent[i]
+        return False
+
+    def chars(nodes, only_links=False):
+        return sum(len("".join(t.split())) for k, t in page.items if k in nodes and not page.barred[k] and (linked(k) or not only_links))
+    whole, density = below(0), []
+    for i in range(n):
+        nodes = below(i)
+        c, lc = chars(nodes), chars(nodes, True)
+        inner = [k for k in nodes if k != i and not page.barred[k]]
+        t, lt = max(len(inner), 1), max(sum(page.tag[k] == "a" for k in inner), 1)
+        share = chars(whole, True) / max(chars(whole), 1)
+        base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        density.append(c / t * max(0.0, math.log(c / max(lc, 1) * t / lt + 1) / max(base, 1e-9)) if c else 0.0)
+    return density, [sum(density[k] for k in range(n) if page.parent[k] == i) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_densities_of_pages_without_article_elements(seed):
+    rng = random.Random(seed)
+
+    def part(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return sentence(rng) if rng.random() < 0.7 else f"<a href='/'>{sentence(rng)}</a>"
+        tag = rng.choice(["div", "p", "ul", "span", "b", "td", "nav", "form", "label"])
+        return f"<{tag}>" + "".join(part(depth - 1) for _ in range(rng.randrange(1, 4))) + f"</{tag}>"
+    page = Page("<body>" + "".join(part(4) for _ in range(4)) + "</body>")
+    got, want = densities(page), brute_densities(page)
+    for a, b in zip(got, want):
+        assert a == pytest.approx(b)
+    heart = max((i for i in range(len(page.tag)) if not page.barred[i]), key=lambda i: (round(want[1][i], 6), -i))
+    inside, up = set(), heart
+    while up >= 0:
+        inside.add(up)
+        up = page.parent[up]
+    roots = chosen_nodes(page)
+    assert heart in roots or inside & roots  # the densest subtree is in what is chosen
+
+
+@pytest.mark.parametrize("source", ["<a " * 100_000, '<a "' * 100_000, "<b>" * 60_000 + "x", "<div>" * 30_000 + "<li>x</li>" * 30_000,
+                                    "<p><table><tr><td>" + "<div>" * 40_000, "<i>" * 30_000 + "</b>" * 30_000, "<!--" * 50_000,
+                                    "<p>" + "<b>" * 20_000 + "<div>x</div>" * 20_000, "<![CDATA[" * 30_000])
+def test_time_does_not_grow_with_the_square(source):
+    begin = time.perf_counter()
+    main_text(source)
+    assert time.perf_counter() - begin < 10

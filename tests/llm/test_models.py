@@ -112,3 +112,32 @@ def test_toxicity_edges(spark):
     assert {r["predicted"] for r in toxicity.toxicity(docs_of(spark, EDGES), none).collect()} == {0}
     twice = labels.unionByName(labels)
     assert toxicity.toxicity(table(spark, "documents"), twice).count() == 200
+
+
+def test_decoding_is_the_codeword_of_least_weighted_loss():
+    rng = np.random.default_rng(6)
+    code = language.codewords(9)
+    bits = code.shape[1]
+    model = language.CodeModel([f"l{k}" for k in range(9)], code, rng.normal(0, 1, (32, bits)), rng.normal(0, 1, bits),
+                               rng.random(bits), 32, 0.7)
+    x = rng.normal(0, 1, (40, 32))
+    best, score, close = model.decode(x)
+    for row, k, s, near in zip(x, best, score, close):
+        f = [sum(a * w for a, w in zip(row, model.weights[:, b])) + model.bias[b] for b in range(bits)]
+        loss = [sum(t * np.log1p(np.exp(-v * c)) for t, v, c in zip(model.trust, f, word)) for word in code]
+        order = sorted(range(9), key=loss.__getitem__)
+        assert order[0] == k and near == (loss[order[1]] - loss[order[0]] < model.margin)
+        assert abs(s - 1 / sum(np.exp(loss[k] - v) for v in loss)) < 1e-6
+
+
+def test_stage_keeps_wanted_languages_by_their_prediction(spark):
+    model = language.fit(table(spark, "documents", SF))
+    docs = table(spark, "documents")
+    predicted = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs, model).collect()}
+    some = frozenset(model.languages[:2])
+    kept = {r["doc_id"] for r in language.keep_identified(docs, model, some, 0.5).collect()}
+    assert kept == {i for i, (name, score) in predicted.items() if name in some and score >= 0.5}
+    assert 0 < len(kept) < len(predicted)
+    nothing = language.fit(docs.limit(0))
+    rows = docs_of(spark, [(1, "abc"), (2, "12"), (3, None), (4, "é")])
+    assert {r["doc_id"] for r in language.keep_identified(rows, nothing).collect()} == {1, 4}
