@@ -244,6 +244,12 @@ def exact_groups(docs: DataFrame, map_trie_bytes: int = MAP_TRIE_BYTES,
                     F.col("own_points").alias("n_points")))
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay by ``groups`` (from ``exact_groups``), with all their columns.
 
@@ -251,13 +257,14 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     space and length one stays. Rows with NULL ``doc_id`` have no identity and go; if such a row has won its group, the best
     of the others stays for it.
     """
+    sha, points = (_unused(name, docs.columns) for name in (_SHA, _POINTS))
     groups = stage(groups.where("doc_id is not null"), "exact_groups")
     heirs = (groups.where("keep_id is null").groupBy("text_sha256").agg(F.min(F.struct(-F.col("n_points"), "doc_id")).alias("best"))
-             .select("best.doc_id", F.col("text_sha256").alias(_SHA), (-F.col("best.col1")).alias(_POINTS)))
+             .select("best.doc_id", F.col("text_sha256").alias(sha), (-F.col("best.col1")).alias(points)))
     odd = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("all")).where("n > 1 or not all")
     sure, maybe = split(docs.where("doc_id is not null"), odd.select(F.col("doc_id").alias("key")))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = maybe.withColumns({_SHA: F.sha2(F.translate(text, SPACES.decode(), ""), 256), _POINTS: F.char_length(text).cast("long")})
-    stays = groups.where("kept").select("doc_id", F.col("text_sha256").alias(_SHA), F.col("n_points").alias(_POINTS)).unionByName(heirs).distinct()
-    chosen = marked.join(stays, ["doc_id", _SHA, _POINTS], "left_semi").dropDuplicates(["doc_id", _SHA, _POINTS])
+    marked = maybe.withColumns({sha: F.sha2(F.translate(text, SPACES.decode(), ""), 256), points: F.char_length(text).cast("long")})
+    stays = groups.where("kept").select("doc_id", F.col("text_sha256").alias(sha), F.col("n_points").alias(points)).unionByName(heirs).distinct()
+    chosen = marked.join(stays, ["doc_id", sha, points], "left_semi").dropDuplicates(["doc_id", sha, points])
     return sure.unionByName(chosen.select(*docs.columns))

@@ -54,11 +54,20 @@ def test_every_stage_takes_edge_rows_and_empty_tables(spark, k):
     got = step(spark, docs_of(spark, rows), SF_SMALL).collect()
     ids = {r["doc_id"] for r in got}
     assert ids <= {r[0] for r in rows}
-    want = {"exact_dedup": {3, 4, 5, 6, 7, 8, 9, 10, 11}, "near_dedup": {1, 2, 3, 4, 6, 7, 9, 10, 11}}.get(name)
+    want = {"language_id": {4, 5, 6, 7, 8, 9, 10, 11, None}, "exact_dedup": {3, 4, 5, 6, 7, 8, 9, 10, 11}, "near_dedup": {1, 2, 3, 4, 6, 7, 9, 10, 11}}.get(name)
     assert ids == (want or {r[0] for r in rows})
     if name == "exact_dedup":
         assert sum(r["doc_id"] == 7 for r in got) == 1
     assert step(spark, docs_of(spark, []), SF_SMALL).count() == 0
+    nameless = step(spark, docs_of(spark, [*rows, (None, "only here"), (None, None)]), SF_SMALL)
+    assert ids <= {r["doc_id"] for r in nameless.collect()}
+
+
+def test_columns_of_any_name_pass_through(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 7), (2, "ab", "y", 8), (3, "c", "z", 9)],
+                                 "doc_id long, text string, __text_sha256 string, __n_points long")
+    got = corpus_pipeline.drop_copies(spark, docs, SF_SMALL)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a b", "x", 7), (3, "c", "z", 9)]
 
 
 def test_without_keeps_rows_that_only_the_filter_may_hold(spark):
@@ -70,7 +79,7 @@ def test_without_keeps_rows_that_only_the_filter_may_hold(spark):
 
 def test_registration():
     names = contract.queries()
-    assert all(any(re.match(rf"op{n}_", q) for q in REGISTRY) for n in range(1, 11)) and set(REGISTRY) <= set(names) and "pipeline" in names
+    assert all(any(re.match(rf"op{n}_", q) for q in REGISTRY) for n in range(1, 14)) and set(REGISTRY) <= set(names) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "decontamination", "packing"]
 
 
