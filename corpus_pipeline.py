@@ -14,15 +14,17 @@ from sparkwh.llm.filters import without
 from sparkwh.llm.queries import vocabulary_path
 from sparkwh.session import stage
 
+# Score of the best language from which a text counts as being in it; with four languages chance alone gives 0.25.
+LEAST_SCORE = 0.4
 # Near duplicates on shingles of five words, links at a similarity of 0.8 or more.
 NEAR = near_dedup.NearParameters(shingle=5)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a language (NULL, no letters). If nothing has a label to learn from, nothing is dropped."""
+    """Drops documents whose text is in none of the learned languages: NULL, without letters, or with less than
+    ``LEAST_SCORE`` for the best one. If nothing has a label to learn from, only texts without letters go."""
     small_batches(spark)
-    model = language.fit(docs)
-    return language.keep_identified(docs, model) if model.languages else docs
+    return language.keep_identified(docs, language.fit(docs), least_score=LEAST_SCORE)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of a benchmark item."""
+    """Drops documents that hold a passage of a benchmark item. Rows with NULL ``doc_id`` or text stay."""
     small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontamination.overlaps(docs, benchmark).select("doc_id").distinct()
@@ -47,6 +49,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences; a NULL or empty text is its end mark alone. See ``packing.pack``."""
     small_batches(spark)
     return packing.pack(docs, vocabulary_path())
 
@@ -64,6 +67,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each writes what it keeps and the next one reads it. An empty table gives no pieces."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
