@@ -32,15 +32,20 @@ def interleave_code(columns: list[tuple[Column, list]], bits: int) -> Column:
     return code
 
 
-def _text_bounds(df: DataFrame, column: str, shares: list[float]) -> list:
-    """The values at the given shares of the sorted rows, from counts per distinct value and their running total: only these
-    values come back, and a value that fills the table is one row."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_running_total(counts, ["_value"], "_n", "_before")
-    last = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)) - 1).scalar()
-    at = [F.floor(F.lit(s) * F.col("_last")) for s in shares]
-    hit = reduce(lambda a, b: a | b, [(w >= F.col("_before")) & (w < F.col("_before") + F.col("_n")) for w in at])
-    return [r[0] for r in placed.withColumn("_last", last).where(hit).select("_value").collect()]
+def _text_bounds(df: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list]:
+    """The values of every column at the given shares of its sorted rows, from counts per distinct value of all columns in one
+    long form and one running total over it: only these values come back, and a value that fills the table is one row."""
+    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("_column"), F.col(c).alias("_value")) for k, c in enumerate(columns)]))
+    counts = (df.select(cells.alias("_cell")).select("_cell.*").where(F.col("_value").isNotNull())
+              .groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n")))
+    placed = with_running_total(counts, ["_column", "_value"], "_n", "_before")
+    spans = placed.groupBy("_column").agg(F.min("_before").alias("first"), F.sum("_n").alias("n")).collect()
+    wanted = [(r["_column"], r["first"] + int(share * (r["n"] - 1))) for r in spans for share in shares]
+    if not wanted:
+        return {c: [] for c in columns}
+    hit = reduce(lambda a, b: a | b, [(F.lit(at) >= F.col("_before")) & (F.lit(at) < F.col("_before") + F.col("_n")) for _, at in wanted])
+    rows = placed.where(hit).select("_column", "_value").collect()
+    return {c: [r["_value"] for r in rows if r["_column"] == k] for k, c in enumerate(columns)}
 
 
 def quantile_bounds(df: DataFrame, columns: list[str], bits: int) -> list[list]:
@@ -50,7 +55,7 @@ def quantile_bounds(df: DataFrame, columns: list[str], bits: int) -> list[list]:
     shares = [i / parts for i in range(1, parts)]
     text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     other = [c for c in columns if c not in text]
-    found: dict[str, list] = {c: _text_bounds(df, c, shares) for c in text}
+    found = _text_bounds(df, text, shares) if text else {}
     if other:
         row = df.agg(*[F.percentile_approx(c, shares, 1000).alias(c) for c in other]).first()
         found.update({c: row[c] or [] for c in other})

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.numbering import with_running_total
 from ..functions.scalars import interval, trunc_ts, ts
+from ..session import stage
 from .filters import recent
 from .reports import mean, top_k
 
 # Thresholds of the slow and the memory-heavy report, in milliseconds and bytes.
 SLOW_MS = 5000
 HEAVY_BYTES = 1_000_000
+# One in so many ranks is the error of a group's sketch.
+SKETCH = 10_000
+# So many groups, of some hundred bytes each, are sent to every task at most.
+BROADCAST_GROUPS = 100_000
 
 
 def recent_queries(log: DataFrame, as_of: str, span: str, like: str | None = None) -> DataFrame:
@@ -56,9 +60,10 @@ def maintenance_statements(log: DataFrame, as_of: str, span: str, strict: bool =
 def class_percentile(log: DataFrame, unit: str, p: float, as_of: str, span: str, approx: bool = False) -> DataFrame:
     """Count, mean and percentile of run time per period and class. The percentile interpolates between two ranks.
 
-    Ranks come from one global order of the distinct (group, value) pairs with their counts, at any group size: a group with a
-    third of all queries is spread over many tasks, and each group then only picks two values. ``approx`` asks for Spark's
-    sketch instead.
+    A first pass takes, with the counts, a sketch per group and from it two values that bracket the ranks for sure. A second
+    one counts the rows below the bracket and keeps counts of the distinct values inside, a few in ``SKETCH`` of the rows; in
+    these the ranks are found. Both passes aggregate before they shuffle, so a group with a third of all queries costs no
+    more than any other, and nothing is sorted globally. ``approx`` asks for Spark's sketch instead.
     """
     hour = trunc_ts(unit, F.col("start_time")).alias(unit)
     chosen = recent(log, "start_time", as_of, span).select(hour, "service_class", "total_time")
@@ -68,29 +73,31 @@ def class_percentile(log: DataFrame, unit: str, p: float, as_of: str, span: str,
     if approx:
         return (chosen.groupBy(*group).agg(F.count(F.lit(1)).alias("query_count"), average,
                                            F.percentile_approx("total_time", p).cast("double").alias(name)).orderBy(*group))
-    counts = chosen.groupBy(*group, "total_time").agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_running_total(counts, [*[F.col(c) for c in group], F.col("total_time").asc_nulls_first()], "_n",
-                                "_before")
-    known = F.col("total_time").isNotNull()
-    total = F.sum(F.col("total_time") * F.col("_n"))
-    groups = placed.groupBy(*group).agg(
-        F.sum("_n").alias("query_count"),
-        mean(total, F.sum(F.when(known, F.col("_n")))).alias("avg_execution_time"),
-        F.min(F.when(known, F.col("_before"))).alias("_start"),
-        F.sum(F.when(known, F.col("_n"))).alias("_size"))
+    low, high = max(0.0, p - 3 / SKETCH), min(1.0, p + 3 / SKETCH)
+    groups = stage(chosen.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("query_count"), average, F.count("total_time").alias("_size"),
+        F.percentile_approx("total_time", [low, high], SKETCH).alias("_band"),
+        F.min("total_time").alias("_min"), F.max("total_time").alias("_max")), "groups")
+    few = F.col("_size") <= SKETCH  # the bracket would be narrower than a rank or two
+    least = F.col("_min") if low == 0 else F.when(few, F.col("_min")).otherwise(F.col("_band")[0])
+    most = F.col("_max") if high == 1 else F.when(few, F.col("_max")).otherwise(F.col("_band")[1])
+    bands = groups.where("_size > 0").select(*[F.col(c).alias(f"_{c}") for c in group], "_size", least.alias("_low"), most.alias("_high"))
+    if bands.count() <= BROADCAST_GROUPS:
+        bands = F.broadcast(bands)
     place = F.lit(p) * (F.col("_size") - 1)
-    rank = F.col("_before") - F.col("_start")
+    met = chosen.where(F.col("total_time").isNotNull()).join(bands, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
+    inside = (met.where("total_time <= _high").withColumn("_value", F.when(F.col("total_time") >= F.col("_low"), F.col("total_time")))
+              .groupBy(*group, "_size", "_value").agg(F.count(F.lit(1)).alias("_n")))  # NULL: all that is below
+    order = Window.partitionBy(*group).orderBy(F.col("_value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = inside.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
 
-    def value_at(which):
-        inside = known & (rank <= which) & (which < rank + F.col("_n"))
-        return F.max(F.when(inside, F.col("total_time")))
+    def value_at(rank):
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")), F.col("_value")))
 
-    joined = placed.select(*[F.col(c).alias(f"_{c}") for c in group], "total_time", "_n", "_before").join(
-        groups, [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in group])
-    picked = joined.groupBy(*group).agg(
-        F.max("query_count").alias("query_count"), F.max("avg_execution_time").alias("avg_execution_time"),
-        F.max(place).alias("_place"), value_at(F.floor(place)).alias("_lo"), value_at(F.ceil(place)).alias("_hi"))
+    picked = placed.groupBy(*group).agg(F.max(place).alias("_place"), value_at(F.floor(place)).alias("_lo"), value_at(F.ceil(place)).alias("_hi"))
     share = F.col("_place") - F.floor("_place")
-    return (picked.select(*group, "query_count", "avg_execution_time",
-                          (F.col("_lo") + share * (F.col("_hi") - F.col("_lo"))).alias(name))
-            .orderBy(*group))
+    value = F.when(F.col("_lo").isNotNull() & F.col("_hi").isNotNull(), F.col("_lo") + share * (F.col("_hi") - F.col("_lo"))).otherwise(
+        F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double"))
+    found = picked.select(*[F.col(c).alias(f"_{c}") for c in group], value.alias(name))
+    return (groups.join(found, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group], "left")
+            .select(*group, "query_count", "avg_execution_time", name).orderBy(*group))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, functions as F, types as T
 
 from ..functions.interleave import interleave_code, quantile_bounds
 from ..functions.scalars import row_hash
+from ..sources.zones import note_zones
 
 # Column encodings by their warehouse names, and the Parquet encoding or codec that does the same.
 ENCODING_NAMES = {
@@ -157,7 +158,10 @@ def writer(df: DataFrame, layout: Layout) -> DataFrameWriter:
 
 
 def write_files(df: DataFrame, path: str, layout: Layout = Layout()) -> None:
-    """Write files in a layout. Buckets exist only for catalog tables: see ``tables.save_table``."""
+    """Write files in a layout, and for sorted or clustered ones the ranges of those columns per file, by which
+    ``sources.zones.scan_zones`` leaves files out. Buckets exist only for catalog tables: see ``tables.save_table``."""
     if layout.dist == "key":
         raise ValueError("a bucketed layout needs a table")
     writer(df, layout).save(path)
+    if layout.sort or layout.interleave:
+        note_zones(df.sparkSession, path, list(layout.sort or layout.interleave))

@@ -13,7 +13,7 @@ from ..functions.scalars import interval, parse_ts, round_cast, trunc_ts, ts
 from ..operators import filters, joins, loads, profiles, querylog, reports
 from ..operators import upkeep as keep
 from ..session import new_name, new_path, stage
-from ..sources import eventlog, files, footers, synthetic
+from ..sources import eventlog, files, footers, synthetic, zones
 from ..streaming import loads as streams
 from . import fixtures as fx
 from . import jobs, procedures, tables, upkeep
@@ -238,13 +238,15 @@ def native_vs_external(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def filter_compound(spark: SparkSession, sf: str) -> DataFrame:
-    rows = layout_compound_sort(spark, sf)
-    return filters.between(rows, "sale_date", *MONTH).where("region = 'West'")
+    """Only files whose zones meet both ranges are opened."""
+    low, high = MONTH
+    return zones.scan_zones(spark, _sorted(spark, sf), {"sale_date": (ts(low), ts(high)), "region": (F.lit("West"), F.lit("West"))})
 
 
 @query
 def filter_interleaved(spark: SparkSession, sf: str) -> DataFrame:
-    return files.read_parquet(spark, _interleaved(spark, sf)).where("region = 'West' AND store_id = 100")
+    store = F.lit(100)
+    return zones.scan_zones(spark, _interleaved(spark, sf), {"region": (F.lit("West"), F.lit("West")), "store_id": (store, store)})
 
 
 @query

@@ -51,8 +51,8 @@ def _footer_reader(names: list[str]):
     return read
 
 
-def _range_reader(column: str):
-    """As above, for the value range of one column; a row group without statistics leaves the file's range unknown."""
+def _range_reader(columns: list[str]):
+    """As above, for the value ranges of some columns; a row group without statistics leaves the file's range unknown."""
 
     def read(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -65,30 +65,36 @@ def _range_reader(column: str):
                 fs, inner = pyarrow.fs.FileSystem.from_uri(path)
                 with fs.open_input_file(inner) as handle:
                     footer = pq.read_metadata(handle)
-                ranges, known = [], True
-                for group in range(footer.num_row_groups):
-                    meta = footer.row_group(group)
-                    found = [meta.column(i).statistics for i in range(meta.num_columns)
-                             if meta.column(i).path_in_schema == column]
-                    if found and found[0] is not None and found[0].has_min_max:
-                        ranges.append((found[0].min, found[0].max))
-                    else:
-                        empty = found and found[0] is not None and found[0].null_count == meta.num_rows
-                        known = known and bool(empty)
-                lo = str(min(r[0] for r in ranges)) if known and ranges else None
-                hi = str(max(r[1] for r in ranges)) if known and ranges else None
-                rows.append((path, footer.num_rows, lo, hi, known))
-            yield pd.DataFrame(rows, columns=["file_path", "row_count", "min_value", "max_value", "known"])
+                for column in columns:
+                    ranges, known = [], True
+                    for group in range(footer.num_row_groups):
+                        meta = footer.row_group(group)
+                        found = [meta.column(i).statistics for i in range(meta.num_columns)
+                                 if meta.column(i).path_in_schema == column]
+                        if found and found[0] is not None and found[0].has_min_max:
+                            ranges.append((found[0].min, found[0].max))
+                        else:
+                            empty = found and found[0] is not None and found[0].null_count == meta.num_rows
+                            known = known and bool(empty)
+                    lo = str(min(r[0] for r in ranges)) if known and ranges else None
+                    hi = str(max(r[1] for r in ranges)) if known and ranges else None
+                    rows.append((path, column, footer.num_rows, lo, hi, known))
+            yield pd.DataFrame(rows, columns=["file_path", "column_name", "row_count", "min_value", "max_value", "known"])
     return read
 
 
+def many_ranges(paths: DataFrame, columns: list[str]) -> DataFrame:
+    """``file_path, column_name, row_count, min_value, max_value, known`` per file of ``paths`` and column, the values as text."""
+    return paths.mapInPandas(_range_reader(columns), "file_path STRING, column_name STRING, row_count BIGINT, "
+                                                     "min_value STRING, max_value STRING, known BOOLEAN")
+
+
 def column_ranges(spark: SparkSession, path: str, column: str, data_type: str, glob: str = "*.parquet") -> DataFrame:
     """``file_path, row_count, min_value, max_value, known`` per file, from the footers: no column data is read.
 
     ``known`` is false where a file keeps no statistics for the column, so that no filter can skip it.
     """
-    schema = "file_path STRING, row_count BIGINT, min_value STRING, max_value STRING, known BOOLEAN"
-    ranges = _footer_paths(spark, path, glob).mapInPandas(_range_reader(column), schema)
+    ranges = many_ranges(_footer_paths(spark, path, glob), [column]).drop("column_name")
     return ranges.withColumns({c: F.col(c).cast(data_type) for c in ("min_value", "max_value")})
 
 
