@@ -316,6 +316,8 @@ ORACLE = {
         SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC,
             l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1""",
     "keyset_page": using("src_orders", "SELECT * FROM src_orders WHERE order_id > 100 ORDER BY order_id LIMIT 1000"),
+    "identity_across_loads": """SELECT event_id, ts, event_type,
+        row_number() OVER (ORDER BY day(ts) % 3, ts, event_id) AS row_key FROM events""",
     "assign_identity_key": """SELECT event_id, ts, event_type, row_number() OVER (ORDER BY ts, event_id) AS row_key
         FROM events""",
     # Loads
@@ -352,6 +354,7 @@ ORACLE = {
         SELECT order_id, CAST((row_number() OVER (ORDER BY order_id) - 1) // 1000 AS BIGINT) AS batch_no
         FROM src_orders"""),
     "batch_load": using("src_orders", "SELECT * FROM src_orders"),
+    "batch_load_streamed": using("src_orders", "SELECT * FROM src_orders"),
     "upsert": using("src_orders tgt_orders", f"""SELECT *, {ORDERS_NOW} AS updated_at FROM src_orders WHERE order_id % 15 <> 4
         UNION ALL SELECT *, CAST(NULL AS TIMESTAMP) FROM tgt_orders WHERE order_id % 15 = 4"""),
     "upsert_moved_key": using("src_orders tgt_orders", f"""

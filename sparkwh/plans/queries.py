@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import suppress
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.interleave import interleave_code
@@ -16,7 +17,7 @@ from ..session import new_name, new_path, stage
 from ..sources import eventlog, files, footers, synthetic, zones
 from ..streaming import loads as streams
 from . import fixtures as fx
-from . import jobs, procedures, tables, upkeep
+from . import identity, jobs, procedures, tables, upkeep
 from .fixtures import EVENTS_NOW, ORDERS_NOW
 from .layout import Layout, write_files
 
@@ -364,6 +365,18 @@ def keyset_page(spark: SparkSession, sf: str) -> DataFrame:
     return reports.keyset_page(fx.src_orders(spark, sf), "order_id", 100, 1000)
 
 
+@query
+def identity_across_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads by day of month, the second one run twice: every load's keys follow on those before it."""
+    events = fx.table(spark, sf, "events").select("event_id", "ts", "event_type")
+    table, ledger = new_name("events"), new_path(spark, "ledger")
+    tables.save_table(events.limit(0).withColumn("row_key", F.lit(0).cast("bigint")), table)
+    for load in ("0", "1", "1", "2"):
+        rows = events.where(F.dayofmonth("ts") % 3 == int(load))
+        identity.load_with_identity(rows, table, ledger, f"load {load}", ["ts", "event_id"])
+    return spark.table(table)
+
+
 @query
 def assign_identity_key(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.table(spark, sf, "events").select("event_id", "ts", "event_type")
@@ -483,6 +496,23 @@ def batch_load(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table)
 
 
+@query
+def batch_load_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The batches as a stream of files, which breaks off in its second batch and is started again."""
+    path, mark, table = new_path(spark, "feed"), new_path(spark, "mark"), new_name("orders")
+    source = fx.src_orders(spark, sf)
+    source.repartitionByRange(4, "order_id").write.parquet(path)
+    tables.save_segmented(source.limit(0), table)
+
+    def load() -> None:
+        found = streams.read_new_files(spark, path, source.schema, maxFilesPerTrigger=1)
+        streams.stream_batches(found, table, mark)
+    with tables.interrupted(after=3), suppress(StreamingQueryException):
+        load()
+    load()
+    return tables.rows_of(spark, table)
+
+
 @query
 def upsert(spark: SparkSession, sf: str) -> DataFrame:
     """A source that lacks some of the target's orders: those stay as they are."""

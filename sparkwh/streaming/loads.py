@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions.scalars import seconds
 from ..operators.reports import latest_version
 from ..plans.layout import Layout
-from ..plans.tables import append, upsert_table
+from ..plans.tables import SEGMENT, append, overwrite_partitions, upsert_table
 from ..session import stage
 
 
@@ -50,6 +50,19 @@ def stream_latest_upsert(rows: DataFrame, table: str, keys: list[str], version_c
     _run(rows, apply, table, checkpoint)
 
 
+def stream_batches(rows: DataFrame, table: str, checkpoint: str, name: str = "batches") -> None:
+    """Append everything that is new in micro-batches, each a commit of its own, then stop. How large they are, the source
+    says (``maxBytesPerTrigger``, ``maxFilesPerTrigger``).
+
+    The target is a segmented table; a micro-batch becomes the segment of its number, put in place by a swap. One that is
+    repeated after a failure takes the place of what it had written, so nothing is added twice and nothing is compared.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        overwrite_partitions(batch.withColumn(SEGMENT, F.lit(f"{name}-{batch_id}")), table)
+
+    _run(rows, apply, table, checkpoint)
+
+
 def _known(keys: list[str], ts_col: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, ts_col]])
 
