@@ -7,11 +7,27 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import interval, row_hash
+from ..session import planned_bytes, stage
 
+# A side that is called small may read so many bytes at most.
+SMALL_BYTES = 512 * 1024 * 1024
+
+
+def checked_small(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast, after a look at what its plan reads: more than ``SMALL_BYTES`` is an error. What no statistics
+    tell is written to the shared folder, and its size seen there."""
+    size = planned_bytes(df)
+    if size is None:
+        df = stage(df, "small")
+        size = planned_bytes(df)
+    if size is None or size > SMALL_BYTES:
+        raise ValueError(f"a side of {size} bytes is not small")
+    return F.broadcast(df)
 
 
 def matching_keys(target: DataFrame, source: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
-    """Distinct keys of the target; with ``small``, which vouches for a source that fits every task, only those it asks for.
+    """Distinct keys of the target; with ``small``, for a source that fits every task (see ``checked_small``), only those it
+    asks for.
 
     The keys of a small source are broadcast: the target is scanned, key columns only, and nothing of it is shuffled.
     Else the target's keys are made distinct before they are shuffled, so a hot key is one row per task; adaptive execution
@@ -33,7 +49,7 @@ def missing(source: DataFrame, target: DataFrame, keys: list[str], small: bool =
 
 def asked_for(target: DataFrame, source: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """The target, cut down to the keys of a source that is ``small``."""
-    return target.join(F.broadcast(source.select(*keys)), keys, "left_semi") if small else target
+    return target.join(checked_small(source.select(*keys)), keys, "left_semi") if small else target
 
 
 def missing_within(source: DataFrame, target: DataFrame, keys: list[str], version_col: str, target_version_col: str,
@@ -51,15 +67,17 @@ def missing_within(source: DataFrame, target: DataFrame, keys: list[str], versio
 
 
 def broadcast_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", small: bool = False) -> DataFrame:
-    """Join with a dimension. Spark broadcasts it where its measured size allows that; ``small`` vouches for it."""
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+    """Join with a dimension. Spark broadcasts it where its measured size allows that; ``small`` asks for it, within
+    ``SMALL_BYTES``."""
+    return fact.join(checked_small(dim) if small else dim, on, how)
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
     """Keys that hold more than ``share`` of the rows; there can be at most ``1 / share`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_t"))
-    return [r[0] for r in counts.where(F.col("_n") > total.scalar() * share).select(key).collect()]
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_t"))  # the same aggregation, which Spark does once
+    chosen = counts.where(F.col(key).isNotNull() & (F.col("_n") > total.scalar() * share))
+    return [r[0] for r in chosen.select(key).collect()]
 
 
 def colocated_join(spark: SparkSession, left_table: str, right_table: str, on: str, how: str = "inner",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..functions.numbering import with_position
 from ..functions.scalars import interval, trunc_ts, ts
 from .filters import differs, recent
-from .joins import asked_for, missing, missing_within
+from .joins import asked_for, checked_small, missing, missing_within
 from .reports import latest_version
 
 # The smallest value a mark can have, and the step to the next larger one.
@@ -127,7 +127,7 @@ def update_from(target: DataFrame, changes: DataFrame, keys: list[str], cols: li
     carried = _carried(cols, newer)
     changes = one_row_per_key(changes, keys) if check else changes
     batch = changes.select(*keys, *[c for c in carried if c not in keys], F.lit(True).alias("_hit"))
-    joined = target.alias("t").join((F.broadcast(batch) if small else batch).alias("c"), _on("t", "c", keys), "left")
+    joined = target.alias("t").join((checked_small(batch) if small else batch).alias("c"), _on("t", "c", keys), "left")
     hit = F.col("c._hit").isNotNull()
     if newer:
         hit = hit & _is_newer(newer)

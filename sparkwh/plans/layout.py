@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, functions as F, types as T
 
 from ..functions.interleave import interleave_code, quantile_bounds
 from ..functions.scalars import row_hash
+from ..session import planned_bytes
 from ..sources.zones import note_zones
 
 # Column encodings by their warehouse names, and the Parquet encoding or codec that does the same.
@@ -82,15 +83,6 @@ def _by_range(df: DataFrame, columns: list, files: int | None) -> DataFrame:
 FILE_BYTES = 256 * 1024 * 1024
 #: Most that a table laid out as one file may measure.
 ALL_BYTES = 256 * 1024 * 1024
-_UNKNOWN = 1 << 60
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files and local rows that ``df`` reads, by the optimizer's statistics; None if a part is unknown. Nothing
-    is run."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
-    return sum(sizes) if all(x < _UNKNOWN for x in sizes) else None
 
 
 def pieces_of(df: DataFrame, piece_bytes: int = FILE_BYTES) -> int:

@@ -109,3 +109,15 @@ def make_folder(spark: SparkSession, path: str) -> str:
 def remove_folder(spark: SparkSession, path: str) -> None:
     system, place = _file_system(spark, path)
     system.delete(place, True)
+
+
+# Sizes from here on stand for "unknown" in the optimizer's statistics.
+_UNKNOWN = 1 << 60
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files and local rows that ``df`` reads, by the optimizer's statistics; None if a part is unknown. Nothing
+    is run."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(sizes) if all(x < _UNKNOWN for x in sizes) else None

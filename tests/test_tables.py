@@ -243,9 +243,12 @@ def test_hot_key_is_split_over_files_of_its_bucket(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", held)
 
 
-def test_dimension_is_broadcast_only_if_vouched_for(spark, plan_of, no_broadcast):
+def test_dimension_is_broadcast_only_if_small(spark, plan_of, no_broadcast, monkeypatch):
     fact, dim = numbers(spark), numbers(spark, 50).select("id", F.lit("x").alias("d"))
     assert "BroadcastHashJoin" in plan_of(joins.broadcast_dim(fact, dim, ["id"], small=True))
+    monkeypatch.setattr(joins, "SMALL_BYTES", 100)
+    with pytest.raises(ValueError, match="not small"):
+        joins.broadcast_dim(fact, dim, ["id"], small=True)
     large = joins.broadcast_dim(fact, dim, ["id"])
     assert "BroadcastHashJoin" not in plan_of(large) and large.count() == 50
 
