@@ -64,10 +64,8 @@ def _correlations(df: DataFrame, columns: list[str], place: str) -> DataFrame:
         F.round(cov / F.sqrt(F.nullif(var_x * var_y, F.lit(0.0))), 6).alias("correlation"))
 
 
-def column_profile(df: DataFrame, columns: list[str], order_by: list[str] | None = None, k: int = 10) -> DataFrame:
-    """Distinct count, share of NULLs, correlation with the row order ``order_by`` (which must be total; without it the
-    correlation is left NULL), and the most common values with their shares."""
-    counts = stage(value_counts(df, columns), "counts")
+def profile_of_counts(counts: DataFrame, k: int = 10) -> DataFrame:
+    """Distinct count, share of NULLs and common values per column from ``value_counts``, which are read twice."""
     total = F.sum("value_count")
     basic = counts.groupBy("column_name").agg(
         F.count("value").alias("n_distinct"),
@@ -76,10 +74,22 @@ def column_profile(df: DataFrame, columns: list[str], order_by: list[str] | None
         total.alias("_rows"))
     common = _ranked(counts, k).groupBy("column_name").agg(
         F.sort_array(F.collect_list(F.struct("rank", "value", "value_count"))).alias("_top"))
-    out = basic.join(common, "column_name", "left").select(
+    return basic.join(common, "column_name", "left").select(
         "column_name", "n_distinct", "null_fraction",
         F.transform("_top", lambda v: v["value"]).alias("most_common_vals"),
         F.transform("_top", lambda v: F.round(v["value_count"] / F.col("_rows"), 6)).alias("most_common_freqs"))
+
+
+def added_counts(kept: DataFrame) -> DataFrame:
+    """``value_counts`` of a whole table from those of its parts, whatever else tells the parts apart: the rows themselves are not
+    read again. Values that all parts had lost would not occur, as each part's counts hold what it has now."""
+    return kept.groupBy("column_name", "value").agg(F.sum("value_count").alias("value_count"))
+
+
+def column_profile(df: DataFrame, columns: list[str], order_by: list[str] | None = None, k: int = 10) -> DataFrame:
+    """Distinct count, share of NULLs, correlation with the row order ``order_by`` (which must be total; without it the
+    correlation is left NULL), and the most common values with their shares."""
+    out = profile_of_counts(stage(value_counts(df, columns), "counts"), k)
     if order_by is None:
         return out.withColumn("correlation", F.lit(None).cast("double"))
     placed = with_position(df.select(*dict.fromkeys([*columns, *order_by])), order_by, "_place")

@@ -346,6 +346,17 @@ ORACLE = {
                CASE WHEN t.order_id IS NULL OR {_SAFE} THEN {ORDERS_NOW} ELSE TIMESTAMP '2001-06-30 00:00:00' END
                    AS loaded_at
         FROM src_orders s LEFT JOIN tgt_orders t ON s.order_id = t.order_id WHERE s.order_id % 15 <> 4"""),
+    "replay_changes": using("src_orders tgt_orders", """,
+        first AS (SELECT order_id, customer_id, order_date, total_amount, status,
+                         CASE WHEN order_id % 10 <> 0 THEN TIMESTAMP '2001-06-30 00:00:00' END AS loaded_at
+                  FROM src_orders WHERE order_id % 15 <> 4),
+        second AS (SELECT order_id, customer_id, order_date,
+                          CASE WHEN order_id % 4 = 0 THEN CAST(total_amount + 10 AS DECIMAL(10,2)) ELSE total_amount END AS total_amount,
+                          CASE WHEN order_id % 4 = 0 THEN 'B2' ELSE status END AS status, loaded_at FROM first),
+        third AS (SELECT * FROM second WHERE order_id % 7 <> 0 UNION ALL
+                  SELECT order_id, customer_id, order_date, total_amount, 'B3', NULL FROM src_orders WHERE order_id % 30 = 4)
+        SELECT *, 0 AS as_of_batch FROM first UNION ALL SELECT *, 1 FROM second UNION ALL SELECT *, 2 FROM third
+        """.replace(",\n        first", ", first", 1)),
     "staging_purge": using("src_orders", """
         SELECT order_id, customer_id, order_date, total_amount, status, created_at AS processed_at
         FROM src_orders WHERE created_at >= TIMESTAMP '2001-01-01 11:00:00'"""),
@@ -446,6 +457,14 @@ ORACLE = {
         JOIN (SELECT column_name, string_agg(value, ',' ORDER BY rank) AS most_common_vals,
                      sum(value_count) AS top_count FROM top GROUP BY 1) USING (column_name) CROSS JOIN n
         """.replace(",\n        vc", ", vc", 1)),
+    "profile_after_append": using("sales", f""",
+        vc AS ({_value_counts()}), top AS ({_ranked(5)}), n AS (SELECT count(*) AS n FROM sales)
+        SELECT b.column_name, b.n_distinct, 0.0::DOUBLE AS null_fraction, most_common_vals,
+               round(CAST(top_count AS DOUBLE) / n, 4) AS most_common_share
+        FROM (SELECT column_name, count(*) AS n_distinct FROM vc GROUP BY 1) b
+        JOIN (SELECT column_name, string_agg(value, ',' ORDER BY rank) AS most_common_vals,
+                     sum(value_count) AS top_count FROM top GROUP BY 1) USING (column_name) CROSS JOIN n
+        """.replace(",\n        vc", ", vc", 1)),
     "most_common_values": using("sales", f""", vc AS ({_value_counts()})
         SELECT column_name, CAST(rank AS INTEGER) AS rank, value, value_count,
                round(CAST(value_count AS DOUBLE) / (SELECT count(*) FROM sales), 6) AS frequency
@@ -470,6 +489,11 @@ ORACLE = {
         ORDER BY workmem DESC, query, query_id LIMIT 20"""),
     "log_hourly_p95": _percentile("hour", 0.95, "24 HOUR"),
     "log_daily_median": _percentile("day", 0.5, "60 DAY"),
+    "log_sketched": using("query_log", "\nUNION ALL\n".join(f"""
+        SELECT {days} AS days, service_class, count(*) AS row_count, CAST(sum(total_time) AS DOUBLE) / count(total_time) AS average,
+               min(total_time) AS least, max(total_time) AS most, true AS percentile_near, true AS distinct_near
+        FROM query_log WHERE start_time >= {EVENTS_NOW} - INTERVAL {days} DAY AND start_time < {EVENTS_NOW} GROUP BY 2"""
+        for days in (1, 7))),
     "log_table_access": using("query_log", f"""SELECT * FROM query_log
         WHERE query LIKE '%ext_sales%' AND start_time > {EVENTS_NOW} - INTERVAL 1 HOUR"""),
     "log_maintenance": using("query_log", f"""SELECT * FROM query_log

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.interleave import interleave_code
 from ..functions.numbering import assign_identity
 from ..functions.scalars import interval, parse_ts, round_cast, trunc_ts, ts
-from ..operators import filters, joins, loads, profiles, querylog, reports
+from ..operators import filters, joins, loads, profiles, querylog, reports, sketches
 from ..operators import upkeep as keep
 from ..session import new_name, new_path, stage
 from ..sources import eventlog, files, footers, synthetic, zones
 from ..streaming import loads as streams
 from . import fixtures as fx
-from . import identity, jobs, procedures, tables, upkeep
+from . import history, identity, jobs, parts, procedures, tables, upkeep
 from .fixtures import EVENTS_NOW, ORDERS_NOW
 from .layout import Layout, write_files
 
@@ -462,6 +462,32 @@ def cdc_apply(spark: SparkSession, sf: str) -> DataFrame:
     return loads.apply_changes(loaded, changes, ["order_id"], ORDER_COLUMNS, {"loaded_at": ts(ORDERS_NOW)})
 
 
+def _three_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, list[DataFrame]]:
+    """A target, and three batches of changes: the classified ones; updates, also of keys that are gone; new rows under keys that
+    were deleted, and deletions."""
+    base = fx.tgt_orders(spark, sf).drop("created_at").withColumn("loaded_at", ts("2001-06-30 00:00:00"))
+    rows = fx.src_orders(spark, sf).drop("created_at")
+    first = cdc_deletes(spark, sf).drop("processed_at")
+    second = rows.where("order_id % 4 = 0").withColumn("status", F.lit("B2")).withColumn(
+        "total_amount", (F.col("total_amount") + 10).cast("decimal(10,2)")).withColumn("operation_type", F.lit("UPDATE"))
+    again = F.col("order_id") % 30 == 4
+    third = rows.where(again | (F.col("order_id") % 7 == 0)).withColumn("status", F.lit("B3")).withColumn(
+        "operation_type", F.when(again, "INSERT").otherwise("DELETE"))
+    return base, [first, second, third]
+
+
+@query
+def replay_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The target as of each of three recorded batches; the second one is recorded twice."""
+    base, batches = _three_batches(spark, sf)
+    folder = new_path(spark, "changes")
+    for number in (0, 1, 1, 2):
+        history.record(batches[number], folder, ["order_id"], number)
+    log = history.recorded(spark, folder, batches[0].schema)
+    states = [history.rebuilt(base, log, ["order_id"], n).withColumn("as_of_batch", F.lit(n)) for n in range(3)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 @query
 def staging_purge(spark: SparkSession, sf: str) -> DataFrame:
     """Staged rows processed at the time the order was created."""
@@ -784,6 +810,19 @@ def most_common_values(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.most_common_values(fx.sales(spark, sf), PROFILED, 10)
 
 
+@query
+def profile_after_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Profile from the counts of three loads, of which one is corrected later: only what was loaded or corrected is counted."""
+    rows, folder = fx.sales(spark, sf), new_path(spark, "counts")
+    for region, chosen in (("West", "region = 'West' AND store_id > 50"), ("East", "region = 'East'"),
+                           ("Central", "region = 'Central'"), ("West", "region = 'West'")):
+        parts.put(profiles.value_counts(rows.where(chosen), PROFILED), folder, region)
+    counts = stage(profiles.added_counts(parts.kept(spark, folder, "column_name STRING, value STRING, value_count BIGINT")), "counts")
+    return profiles.profile_of_counts(counts, 5).select(
+        "column_name", "n_distinct", "null_fraction", F.array_join("most_common_vals", ",").alias("most_common_vals"),
+        F.round(F.aggregate("most_common_freqs", F.lit(0.0), lambda a, x: a + x), 4).alias("most_common_share"))
+
+
 @query
 def approximate_profile(spark: SparkSession, sf: str) -> DataFrame:
     """The sketches' figures next to the exact ones: distinct counts within three standard errors (15 %), common values with their exact shares."""
@@ -902,6 +941,29 @@ def log_daily_median(spark: SparkSession, sf: str) -> DataFrame:
         "p50_execution_time", F.round("p50_execution_time", 4))
 
 
+@query
+def log_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """The last day and the last week by class from hourly sketches of three loads, all of which reach into every hour, one of
+    them loaded twice. Counts and extremes as they are, percentile and distinct count held against the log itself."""
+    log, folder, group = fx.query_log(spark, sf), new_path(spark, "sketches"), ["service_class"]
+    for load in (0, 1, 2, 1):
+        late = log.where(F.col("query_id") % 3 == load)
+        kept = sketches.period_sketches(late, "hour", "start_time", group, "total_time", "bytes")
+        parts.put(kept, folder, f"load-{load}")
+    kept, out = parts.kept(spark, folder, kept.schema), []
+    for days, start in ((1, "2024-01-30 00:00:00"), (7, "2024-01-24 00:00:00")):
+        report = sketches.span_report(kept, "hour", start, EVENTS_NOW, group, 0.95)
+        rows = log.where((F.col("start_time") >= ts(start)) & (F.col("start_time") < ts(EVENTS_NOW)))
+        exact = rows.join(report.select(*group, "percentile"), group).groupBy(*group).agg(
+            F.count_if(F.col("total_time") < F.col("percentile")).alias("below"), F.count_if(F.col("total_time") <= F.col("percentile")).alias("upto"),
+            F.count_distinct("bytes").alias("different"))
+        out.append(report.join(exact, group).select(
+            F.lit(days).alias("days"), *group, "row_count", "average", "least", "most",
+            sketches.rank_is_near(F.col("below"), F.col("upto"), F.col("row_count"), 0.95).alias("percentile_near"),
+            (F.abs(F.col("distinct") - F.col("different")) <= 1 + 4 * sketches.DISTINCT_ERROR * F.col("different")).alias("distinct_near")))
+    return out[0].unionByName(out[1])
+
+
 @query
 def log_table_access(spark: SparkSession, sf: str) -> DataFrame:
     return querylog.recent_queries(fx.query_log(spark, sf), EVENTS_NOW, "1 HOUR", "%ext_sales%")
