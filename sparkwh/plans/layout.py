@@ -29,7 +29,8 @@ class Layout:
     """``dist``: ``auto`` (as computed), ``even`` (round robin over ``files``), ``all`` (one file, for tables that are copied
     to every task) or ``key`` (``buckets`` hash buckets of ``key``). Where ``files`` or ``buckets`` are not given, they follow
     from the size of the data: one per ``FILE_BYTES``. Then an order inside: ``sort`` columns, or ``interleave`` columns with
-    ``bits`` bits each. ``encodings`` maps columns to ``dict``, ``delta`` or ``plain``."""
+    ``bits`` bits each. ``encodings`` maps columns to ``dict``, ``delta`` or ``plain``. ``bloom`` names key columns by whose values
+    row groups are left out where neither order nor a dictionary tells: each gets a Bloom filter of up to a megabyte."""
 
     dist: str = "auto"
     key: str | None = None
@@ -41,6 +42,7 @@ class Layout:
     partition_by: tuple[str, ...] = ()
     encodings: dict[str, str] = field(default_factory=dict)
     codec: str = "zstd"
+    bloom: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.dist not in ("auto", "even", "all", "key"):
@@ -137,6 +139,10 @@ def writer_options(layout: Layout) -> dict[str, str]:
             options["parquet.writer.version"] = "v2"
         for column, encoding in layout.encodings.items():
             options[f"parquet.enable.dictionary#{column}"] = "true" if encoding == "dict" else "false"
+    for column in layout.bloom:
+        options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+    if layout.bloom:  # as large as the values of a row group need
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
     return options
 
 

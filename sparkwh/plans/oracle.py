@@ -264,6 +264,7 @@ ORACLE = {
     "layout_all_join": """SELECT p_partkey AS product_id, p_type AS category_id, p_size,
         lower(p_type) AS category_name, upper(p_type) AS department FROM part""",
     "interleave_key": _code(),
+    "layout_bloom": using("sales", "SELECT * FROM sales WHERE customer_id IN ('CUST_7', 'CUST_70', 'CUST_none')"),
     "native_vs_external": using("sales", f"""
         SELECT side, count(*) AS row_count, {_MONEY.format('sale_amount')} AS sale_amount
         FROM sales CROSS JOIN (VALUES ('native'), ('external')) AS v(side)
@@ -496,6 +497,7 @@ ORACLE = {
         for days in (1, 7))),
     "log_table_access": using("query_log", f"""SELECT * FROM query_log
         WHERE query LIKE '%ext_sales%' AND start_time > {EVENTS_NOW} - INTERVAL 1 HOUR"""),
+    "log_text_search": using("query_log", "SELECT * FROM query_log WHERE query LIKE '%ext_sales%'"),
     "log_maintenance": using("query_log", f"""SELECT * FROM query_log
         WHERE query LIKE '%VACUUM%' OR query LIKE '%ANALYZE%' AND start_time > {EVENTS_NOW} - INTERVAL 24 HOUR"""),
     "log_maintenance_strict": using("query_log", f"""SELECT * FROM query_log

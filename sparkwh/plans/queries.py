@@ -14,12 +14,12 @@ from ..functions.scalars import interval, parse_ts, round_cast, trunc_ts, ts
 from ..operators import filters, joins, loads, profiles, querylog, reports, sketches
 from ..operators import upkeep as keep
 from ..session import new_name, new_path, stage
-from ..sources import eventlog, files, footers, synthetic, zones
+from ..sources import eventlog, files, footers, grams, synthetic, zones
 from ..streaming import loads as streams
 from . import fixtures as fx
 from . import history, identity, jobs, parts, procedures, tables, upkeep
 from .fixtures import EVENTS_NOW, ORDERS_NOW
-from .layout import Layout, write_files
+from .layout import Layout, pieces_of, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -221,6 +221,14 @@ def layout_encoded(spark: SparkSession, sf: str) -> DataFrame:
     return _sales_table(spark, sf, Layout(encodings=encodings, codec="zstd"))
 
 
+@query
+def layout_bloom(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales of some customers, one of whom does not exist, from files in no order that have Bloom filters."""
+    rows, path = fx.sales(spark, sf), new_path(spark, "bloom")
+    write_files(rows, path, Layout(dist="even", bloom=("customer_id",)))
+    return files.read_parquet(spark, path, fx.SALES_SCHEMA).where(F.col("customer_id").isin("CUST_7", "CUST_70", "CUST_none"))
+
+
 @query
 def native_vs_external(spark: SparkSession, sf: str) -> DataFrame:
     """The same filter on the native copy and on the files; both answers side by side."""
@@ -902,7 +910,8 @@ def load_query_log(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("SparkListenerTaskEnd").alias("Event"), number.alias("Stage ID"), F.struct(
             (number * 7 % 1000).alias("Peak Execution Memory"), (number % 3 * 1_500_000).alias("Disk Bytes Spilled"),
             F.struct((number * 17).alias("Bytes Read"), F.col("user_id").alias("Records Read")).alias("Input Metrics")).alias("Task Metrics"))]
-    row.select(F.explode(F.array(*[F.to_json(x) for x in lines])).alias("value")).coalesce(1).write.text(path)
+    # A file is one application's log: all lines of a query lie in one.
+    row.repartition("event_id").select(F.explode(F.array(*[F.to_json(x) for x in lines])).alias("value")).write.text(path)
     return eventlog.load_query_log(spark, path).drop("app")
 
 
@@ -969,6 +978,15 @@ def log_table_access(spark: SparkSession, sf: str) -> DataFrame:
     return querylog.recent_queries(fx.query_log(spark, sf), EVENTS_NOW, "1 HOUR", "%ext_sales%")
 
 
+@query
+def log_text_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries on a table, from a log in files of which only those are opened that may hold the table's name."""
+    log, path = fx.query_log(spark, sf), new_path(spark, "log")
+    write_files(log, path, Layout(sort=("query",), files=max(8, pieces_of(log))))
+    grams.note_grams(spark, path, "query")
+    return grams.search_text(spark, path, "query", "%ext_sales%")
+
+
 @query
 def log_maintenance(spark: SparkSession, sf: str) -> DataFrame:
     return querylog.maintenance_statements(fx.query_log(spark, sf), EVENTS_NOW, "24 HOURS")
@@ -1040,10 +1058,9 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _in_files(rows: DataFrame, n: int) -> str:
-    """A folder of at least ``n`` files whose order is not that of time."""
+    """A folder of about ``n`` files, or more for large data, whose order is not that of time."""
     path = new_path(rows.sparkSession, "incoming")
-    for part in range(n):
-        rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(n)) == part).coalesce(1).write.mode("append").parquet(path)
+    rows.repartition(max(n, pieces_of(rows)), F.xxhash64(*rows.columns)).write.parquet(path)
     return path
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # URL schemes read as files.
 FILE_SCHEMES = ("s3", "s3a", "hdfs", "abfss", "gs", "file")
@@ -77,7 +77,16 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+# Folders of the indexes that lie beside a table's files (``zones``, ``grams``).
+ZONES, GRAMS = "_zones", "_grams"
+
+
+def plain_path(path: Column) -> Column:
+    """A path without its scheme, which listings, footers and scans may write differently."""
+    return F.regexp_replace(path, "^[a-zA-Z0-9]+:/*", "/")
+
+
 def file_sizes(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """``path, length`` of the files below ``path``; a listing only, no content is read."""
+    """``path, length`` of the data files below ``path``; a listing only, no content is read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-            .load(path).select("path", "length"))
+            .load(path).select("path", "length").where(~F.col("path").rlike(f"/({ZONES}|{GRAMS})/[^/]*$")))

@@ -11,18 +11,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import exists
-from .files import file_sizes
+from .files import ZONES, file_sizes, plain_path
 from .footers import many_ranges
 
-ZONES = "_zones"
 _SCHEMA = "file_path STRING, column_name STRING, row_count BIGINT, min_value STRING, max_value STRING, known BOOLEAN"
 
 
-def _plain(path: Column) -> Column:
-    """A path without its scheme, which listings and footers may write differently."""
-    return F.regexp_replace(path, "^[a-zA-Z0-9]+:/*", "/")
-
-
 def stored_zones(spark: SparkSession, path: str) -> DataFrame:
     """The index of the files below ``path``: a row per file and column; none if nothing has been noted."""
     place = f"{path}/{ZONES}"
@@ -32,9 +26,9 @@ def stored_zones(spark: SparkSession, path: str) -> DataFrame:
 def note_zones(spark: SparkSession, path: str, columns: list[str]) -> None:
     """Add the files that are not in the index yet. Their footers are read, each once for all columns."""
     known = stored_zones(spark, path).select("file_path").distinct()
-    found = file_sizes(spark, path).select("path").where(~F.col("path").contains(f"/{ZONES}/"))
-    new = found.withColumn("file_path", _plain(F.col("path"))).join(known, "file_path", "left_anti").select("path")
-    noted = many_ranges(new, columns).withColumn("file_path", _plain(F.col("file_path")))
+    found = file_sizes(spark, path).select("path")
+    new = found.withColumn("file_path", plain_path(F.col("path"))).join(known, "file_path", "left_anti").select("path")
+    noted = many_ranges(new, columns).withColumn("file_path", plain_path(F.col("file_path")))
     noted.coalesce(1).write.mode("append").parquet(f"{path}/{ZONES}")
 
 
@@ -49,7 +43,7 @@ def files_meeting(spark: SparkSession, path: str, ranges: dict[str, tuple[object
         return (F.col("column_name") == column) & F.col("known") & reduce(lambda a, b: a | b, sides, F.col("min_value").isNull())
     out = reduce(lambda a, b: a | b, [misses(c, *bounds) for c, bounds in ranges.items()], F.lit(False))
     excluded = stored_zones(spark, path).where(out).select("file_path").distinct()
-    listed = file_sizes(spark, path).where(~F.col("path").contains(f"/{ZONES}/")).select("path", _plain(F.col("path")).alias("file_path"))
+    listed = file_sizes(spark, path).select("path", plain_path(F.col("path")).alias("file_path"))
     return sorted(r["path"] for r in listed.join(excluded, "file_path", "left_anti").select("path").collect())
 
 
