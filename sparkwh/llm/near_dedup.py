@@ -5,11 +5,13 @@
    every shingle into bin i minus that size, so that no bin stays empty. Two sketches agree in a coordinate with the
    probability of their Jaccard similarity, and the number of agreements is concentrated as for independent ones.
 2. Texts with equal sets are one class. Bands of coordinates bring similar classes together; inside a bucket, classes whose
-   sketches agree well enough hang together. The connected groups are only tentative.
+   sketches agree well enough hang together. A large bucket is cut into parts, each with the bucket's smallest class; where
+   that class does not reach all others, the whole bucket is spread over finer ones by further coordinates, so classes that
+   share some boilerplate do not end up in one group. The connected groups are only tentative.
 3. Every tentative group is cut into blocks of bounded size, the texts of its classes are read again, and all links are
    decided on the full sets. Within a block, classes that already hang together are not compared again. If a group
-   has more than one block, every class outside the group's largest component is compared with all blocks, so no link between
-   different components is missed.
+   has more than one block, every class outside the group's largest component is compared with the blocks that hold a class
+   of one of its buckets, so no link between classes that share a bucket is missed.
 
 Only ids, keys and sketches are shuffled for all classes; texts only for classes in a tentative group. Nothing is collected.
 """
@@ -33,7 +35,9 @@ class NearParameters:
 
     With 32 bands of 5 a pair at similarity 0.8 shares no bucket once in 300,000 cases. ``floor`` is the sketch similarity
     from which two classes of a bucket are grouped tentatively; at 160 coordinates it is over five standard deviations below
-    0.8. ``bucket_rows`` and ``block_shingles`` bound what a task holds at a time.
+    0.8. ``bucket_rows`` and ``block_shingles`` bound what a task holds at a time. A bucket that needs finer ones gives
+    every class ``finer`` of them, by ``finer_rows`` more coordinates each: of pairs at 0.8 all of whose buckets are of that
+    kind, one in 200,000 shares none.
     """
     shingle: int = 2
     percent: int = 80
@@ -42,6 +46,8 @@ class NearParameters:
     floor: float = 0.62
     bucket_rows: int = 2_000
     block_shingles: int = 2_000_000
+    finer: int = 12
+    finer_rows: int = 4
     delegates: int = 16
     salts: int = 64
 
@@ -95,45 +101,76 @@ def _sketched(p: NearParameters):
     return run
 
 
-def _bucket_edges(p: NearParameters):
-    """Tentative edges (a, b) inside every (key, part) group of (key, part, rep, anchor, sketch)."""
+def _bucket_edges(p: NearParameters, last: bool):
+    """Tentative edges (a, b) inside every (key, part) group of (key, part, rep, cut, sketch), in the order of ``rep``.
+
+    If the bucket is ``cut``, its smallest class, the anchor, is in every part. A part that has classes which the anchor does
+    not reach gives the key as well or, the ``last`` time, hangs them on the anchor unchecked.
+    """
     least = p.size * (p.floor + (1 - p.floor) / 256)
 
     def run(batches):
-        a, b = [], []
+        a, b, open_ = [], [], []
         for group in grouped(batches, 2):
-            n = group.num_rows
-            reps, anchor = group.column(2).to_numpy(), group.column(3)[0].as_py()
+            n, key, cut = group.num_rows, group.column(0)[0].as_py(), group.column(3)[0].as_py()
+            reps = group.column(2).to_numpy()
             data, offsets = text_bytes(group.column(4))
             s = data.reshape(n, p.size)
-            if anchor is not None:  # one part of a large bucket: hangs on the bucket's smallest class, unchecked
-                a.append(reps)
-                b.append(np.full(n, anchor))
-            elif n == 2:
-                if (s[0] == s[1]).sum() >= least:
-                    a.append(reps[:1])
-                    b.append(reps[1:])
-            else:
-                left = np.arange(n)
-                while len(left) > 1:
-                    queue, left = [left[0]], left[1:]
-                    while queue and len(left):
-                        u = queue.pop()
-                        near = (s[left] == s[u]).sum(1) >= least
-                        found, left = left[near], left[~near]
-                        a.append(reps[found])
-                        b.append(np.full(len(found), reps[u]))
-                        queue += found.tolist()
+            left = np.arange(n)
+            while len(left) > (not cut):
+                first, left = left[0], left[1:]
+                if cut and first > 0:
+                    if last:
+                        a.append(reps[[first]])
+                        b.append(reps[[0]])
+                    elif not open_ or open_[-1] != key:
+                        open_.append(key)
+                queue = [first]
+                while queue and len(left):
+                    u = queue.pop()
+                    near = (s[left] == s[u]).sum(1) >= least
+                    found, left = left[near], left[~near]
+                    a.append(reps[found])
+                    b.append(np.full(len(found), reps[u]))
+                    queue += found.tolist()
             if len(a) > 2_000:
-                yield _edges(a, b)
-                a, b = [], []
-        yield _edges(a, b)
+                yield _edges(a, b, open_)
+                a, b, open_ = [], [], []
+        yield _edges(a, b, open_)
     return run
 
 
-def _edges(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    join = lambda x: pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64))
-    return pa.RecordBatch.from_arrays([join(a), join(b)], names=["a", "b"])
+def _edges(a: list[np.ndarray], b: list[np.ndarray], keys: list[int] | None = None) -> pa.RecordBatch:
+    """Edges (a, b); if there are ``keys``, a third column has them, in rows of their own."""
+    join = lambda x: np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)
+    a, b = join(a), join(b)
+    if keys is None:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    edge, none = pa.nulls(len(a), pa.int64()), pa.nulls(len(keys), pa.int64())
+    columns = [(pa.array(a), none), (pa.array(b), none), (edge, pa.array(keys, pa.int64()))]
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], names=["a", "b", "key"])
+
+
+def _tentative(keyed: DataFrame, sketched: DataFrame, p: NearParameters, last: bool) -> DataFrame:
+    """``a, b, key``: what ``_bucket_edges`` gives for the buckets of ``keyed`` (``rep``, ``key``)."""
+    shared = (keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / p.bucket_rows).cast("int").alias("parts"),
+                                       F.count(F.lit(1)).alias("rows"), F.min("rep").alias("anchor")).where("rows > 1"))
+    own = F.array(F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    part = F.when(F.col("rep") == F.col("anchor"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)
+    buckets = (keyed.join(shared, "key").select("key", F.explode(part).alias("part"), "rep", (F.col("parts") > 1).alias("cut"))
+               .join(sketched, "rep").select("key", "part", "rep", "cut", "sketch"))
+    return (buckets.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
+            .mapInArrow(tidy(_bucket_edges(p, last)), "a long, b long, key long"))
+
+
+def _finer(keyed: DataFrame, open_: DataFrame, sketched: DataFrame, p: NearParameters) -> DataFrame:
+    """``rep, key``: the finer buckets of the classes of ``keyed`` (``rep``, ``band``, ``key``) in ``open_`` ones (``key``)."""
+    def coordinate(t: int):
+        """Coordinate of the ``t``-th step through those outside the band."""
+        return F.substring("sketch", (F.col("band") * p.rows + p.rows + 13 * t % (p.size - p.rows)) % p.size + 1, F.lit(1))
+
+    keys = [F.xxhash64("key", F.lit(j), *[coordinate(j * p.finer_rows + r) for r in range(p.finer_rows)]) for j in range(p.finer)]
+    return keyed.join(open_, "key").join(sketched, "rep").select("rep", F.explode(F.array(*keys)).alias("key"))
 
 
 class _Sets:
@@ -214,11 +251,11 @@ def _block_links(p: NearParameters):
 
 
 def _cross_links(p: NearParameters):
-    """Exact links between the queries and the members of every (cluster, block): one per pair of components."""
+    """Exact links between the queries and the members of every (cluster, block, task): one per pair of components."""
     def run(batches):
-        for group in grouped(batches, 2):
-            role, reps, root = (group.column(k).to_numpy() for k in (2, 3, 4))
-            sets = _Sets(group.column(5).combine_chunks(), p.shingle)
+        for group in grouped(batches, 3):
+            role, root = (group.column(k).to_numpy() for k in (3, 5))
+            sets = _Sets(group.column(6).combine_chunks(), p.shingle)
             member = role == 0
             sets.index(member)
             a, b = [], []
@@ -231,8 +268,8 @@ def _cross_links(p: NearParameters):
     return run
 
 
-def _exact_components(docs: DataFrame, clusters: DataFrame, p: NearParameters) -> DataFrame:
-    """``rep``, ``root`` for the classes of ``clusters`` (``rep``, ``cluster``, ``n``)."""
+def _exact_components(docs: DataFrame, clusters: DataFrame, keyed: DataFrame, p: NearParameters) -> DataFrame:
+    """``rep``, ``root`` for the classes of ``clusters`` (``rep``, ``cluster``, ``n``) with the buckets ``keyed`` (``rep``, ``key``)."""
     per = clusters.groupBy("cluster").agg(F.ceil(F.sum("n") / p.block_shingles).cast("int").alias("blocks"))
     placed = stage(clusters.join(per, "cluster").withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "blocks")
@@ -245,13 +282,18 @@ def _exact_components(docs: DataFrame, clusters: DataFrame, p: NearParameters) -
         return edges
     large = stage(large.join(edges, "rep").join(texts, "rep"), "large")
 
-    def cross(queries: DataFrame, roots: DataFrame) -> DataFrame:
-        """Links of the queries (rep, every block of their cluster but their own) with all members there."""
-        asked = (queries.withColumn("block_", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .where("block_ <> block").select("cluster", F.col("block_").alias("block"), F.lit(1).alias("role"), "rep", "root", "text"))
-        there = roots.select("cluster", "block", F.lit(0).alias("role"), "rep", "root", "text")
-        return (asked.unionByName(there).repartition("cluster", "block").sortWithinPartitions("cluster", "block", "role")
-                .mapInArrow(tidy(_cross_links(p)), "a long, b long"))
+    def cross(queries: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+        """Links of the queries with all members of the blocks that they meet: ``met`` has ``rep``, ``block``.
+
+        The queries of a block are dealt over tasks, each of which has all members of it. Blocks that none meets are left out.
+        """
+        asked = queries.drop("block").join(met, "rep")
+        tasks = asked.groupBy("cluster", "block").agg(F.ceil(F.sum("n") / p.block_shingles).cast("int").alias("tasks"))
+        asked = asked.join(tasks, ["cluster", "block"]).withColumn("task", F.pmod(F.xxhash64("rep"), F.col("tasks")).cast("int"))
+        there = roots.join(tasks, ["cluster", "block"]).withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+        rows = lambda df, role: df.select("cluster", "block", "task", F.lit(role).alias("role"), "rep", "root", "text")
+        return (rows(asked, 1).unionByName(rows(there, 0)).repartition("cluster", "block", "task")
+                .sortWithinPartitions("cluster", "block", "task", "role").mapInArrow(tidy(_cross_links(p)), "a long, b long"))
 
     # Some members of the largest component of every block meet all blocks; this joins the parts of a large component.
     sizes = large.groupBy("cluster", "block", "root").count()
@@ -260,15 +302,22 @@ def _exact_components(docs: DataFrame, clusters: DataFrame, p: NearParameters) -
     some = Window.partitionBy("cluster", "block").orderBy(F.xxhash64("rep"))
     delegates = (large.join(main, ["cluster", "block", "root"]).select("rep", "cluster", "block")
                  .withColumn("place", F.row_number().over(some)).where(F.col("place") <= p.delegates).select("rep"))
+    delegates = stage(large.join(delegates, "rep", "left_semi"), "delegates")
+    every = (delegates.select("rep", F.col("block").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+             .where("block <> own").drop("own"))
     own = large.select(F.col("rep").alias("a"), F.col("root").alias("b"))
-    first = connected(own.unionByName(cross(large.join(delegates, "rep", "left_semi"), large)))
-    # Then everything outside the largest component of its group meets all blocks.
+    first = connected(own.unionByName(cross(delegates, every, large)))
+    # Then everything outside the largest component of its group meets the blocks that hold a class of one of its buckets.
     now = stage(large.drop("root").join(first.toDF("rep", "root"), "rep"), "large")
     sizes = now.groupBy("cluster", "root").count()
     rank = Window.partitionBy("cluster").orderBy(F.desc("count"), "root")
     main = sizes.withColumn("place", F.row_number().over(rank)).where("place = 1").select("cluster", "root")
-    outside = now.join(main, ["cluster", "root"], "left_anti")
-    second = connected(now.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(cross(outside, now)))
+    outside = stage(now.join(main, ["cluster", "root"], "left_anti"), "outside")
+    at = stage(keyed.join(now.select("rep", "cluster", "block"), "rep").groupBy("cluster", "key")
+               .agg(F.collect_set("block").alias("blocks")).where(F.size("blocks") > 1), "at")
+    met = (keyed.join(outside.select("rep", "cluster", F.col("block").alias("own")), "rep").join(at, ["cluster", "key"])
+           .select("rep", "own", F.explode("blocks").alias("block")).where("block <> own").select("rep", "block").distinct())
+    second = connected(now.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(cross(outside, met, now)))
     return edges.join(second.select(F.col("node").alias("rep")), "rep", "left_anti").unionByName(second.toDF("rep", "root"))
 
 
@@ -292,17 +341,16 @@ def near_groups(docs: DataFrame, p: NearParameters = NearParameters()) -> DataFr
     reps = stage(class_of.select("rep", *own_set).join(
         usable.select(F.col("doc_id").alias("rep"), *own_set, "keys", "sketch"), ["rep", *own_set])
         .dropDuplicates(["rep", *own_set]).select("rep", "n", "keys", "sketch"), "classes")
-    keyed = reps.select("rep", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("rep").alias("anchor")).where("rows > 1")
-    parts = F.ceil(F.col("rows") / p.bucket_rows)
-    buckets = (keyed.join(shared, "key")
-               .select("key", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), "rep",
-                       F.when(parts > 1, F.col("anchor")).alias("anchor"))
-               .join(reps.select("rep", "sketch"), "rep").select("key", "part", "rep", "anchor", "sketch"))
-    tentative = (buckets.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
-                 .mapInArrow(tidy(_bucket_edges(p)), "a long, b long").distinct())
-    clusters = stage(connected(tentative).toDF("rep", "cluster").join(reps.select("rep", "n"), "rep"), "clusters")
-    exact = _exact_components(rows.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), clusters, p)
+    keyed, sketched = reps.select("rep", F.posexplode("keys").alias("band", "key")), reps.select("rep", "sketch")
+    edges = stage(_tentative(keyed, sketched, p, False).distinct(), "tentative")
+    open_ = edges.where("key is not null").select("key").distinct()
+    keys, edges = keyed.select("rep", "key"), edges.where("key is null").select("a", "b")
+    if not open_.isEmpty():
+        finer = stage(_finer(keyed, open_, sketched, p), "finer")
+        edges = edges.unionByName(_tentative(finer, sketched, p, True).select("a", "b")).distinct()
+        keys = keys.join(open_, "key", "left_anti").select("rep", "key").unionByName(finer)
+    clusters = stage(connected(edges).toDF("rep", "cluster").join(reps.select("rep", "n"), "rep"), "clusters")
+    exact = _exact_components(rows.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), clusters, keys, p)
     component = class_of.join(exact, "rep", "left").select(
         *own_set, F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id"))
     by_salt = salted.select(*own_set, "salt").join(component, own_set)

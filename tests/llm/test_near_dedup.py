@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkwh.llm.components import connected
-from sparkwh.llm.near_dedup import NearParameters, near_groups, sketches
+from sparkwh.llm.near_dedup import NearParameters, _bucket_edges, near_groups, sketches
 
 from .helpers import EDGES, brute_components, docs_of, family, shingles, table
 
@@ -47,6 +50,39 @@ def test_large_families_in_blocks(spark, parameters):
     assert len(set(want.values())) > 12  # the families do break up
 
 
+@pytest.mark.parametrize("parameters", [NearParameters(bucket_rows=4), NearParameters(bucket_rows=4, block_shingles=900, delegates=1)])
+def test_shared_boilerplate_with_near_copies_in_it(spark, parameters):
+    rng = random.Random(5)
+    plate = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(150):  # alike at about 0.5, which is no link
+        own = [f"o{rng.randrange(10 ** 9)}" for _ in range(30)]
+        rows.append((3 * k, " ".join(plate + own)))
+        if k % 3 == 0:  # a near copy of the whole
+            rows.append((3 * k + 1, " ".join(plate + own[:-2] + ["x", "y"])))
+    want, got = brute_components(rows, 2), result(near_groups(docs_of(spark, rows), parameters))
+    assert {i: r["component_id"] for i, r in got.items()} == want
+    assert sum(i != c for i, c in want.items()) == 50
+
+
+def test_cut_buckets_name_themselves_unless_the_anchor_reaches_all():
+    p = NearParameters()
+    like, other = np.zeros(p.size, np.uint8), np.ones(p.size, np.uint8)
+    close = like.copy()
+    close[:p.size // 5] = 7
+    part = lambda key, cut, sketches: [(key, 0, 10 * key + k, cut, s.tobytes()) for k, s in enumerate(sketches)]
+    rows = [*part(1, True, [like, close, like]), *part(2, True, [like, other, close, other]), *part(3, False, [like, other, other]),
+            *part(4, True, [like, other])]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("key", "part", "rep", "cut", "sketch"), r)) for r in rows])
+    run = lambda last: [r for b in _bucket_edges(p, last)([batch]) for r in b.to_pylist()]
+    edges = lambda found: sorted((r["a"], r["b"]) for r in found if r["key"] is None)
+    checked = [(11, 10), (12, 10), (22, 20), (23, 21), (32, 31)]
+    assert edges(run(False)) == checked
+    assert sorted(r["key"] for r in run(False) if r["key"] is not None) == [2, 4]
+    assert edges(run(True)) == sorted([*checked, (21, 20), (41, 40)])
+    assert all(r["key"] is None for r in run(True))
+
+
 def test_edge_rows(spark):
     got = near_groups(docs_of(spark, EDGES)).collect()
     assert len(got) == len(EDGES)
