@@ -10,7 +10,7 @@ from sparkwh import session
 from sparkwh.functions import scalars
 from sparkwh.operators import filters, querylog, reports
 from sparkwh.plans import fixtures as fx
-from sparkwh.plans.queries import REGISTRY
+from sparkwh.plans.queries import REGISTRY, REPORTED
 from sparkwh.session import new_name, new_path
 from sparkwh.sources import eventlog, files, footers, synthetic
 from sparkwh.streaming import loads as streams
@@ -89,6 +89,14 @@ def test_compression_report_equals_the_footers(spark):
     assert got["s"]["codec"] == "GZIP" and "DICTIONARY" in got["s"]["encodings"]
 
 
+def test_compression_report_takes_tables_that_are_folders(spark):
+    """The same counts whether a table is one file or a folder of files."""
+    base = new_path(spark, "tables")
+    for name in REPORTED:
+        spark.read.parquet(f"{SF}/{name}.parquet").repartition(2).write.parquet(f"{base}/{name}.parquet")
+    assert rows(REGISTRY["compression_counts"](spark, base)) == rows(REGISTRY["compression_counts"](spark, SF))
+
+
 def test_synthetic_rows(spark):
     sales = synthetic.generate_sales(synthetic.row_ids(spark, 20_000), 3, "2024-01-01 00:00:00")
     share = {r["region"]: r["count"] / 20_000 for r in sales.groupBy("region").count().collect()}
