@@ -64,6 +64,34 @@ def round_cast(col: Column, from_type: T.DataType, to: str) -> Column:
     return col.cast(to)
 
 
+def value_bytes(col: Column, data_type: T.DataType) -> Column:
+    """Bytes that a value takes in a row in memory, beyond the eight that every column has there."""
+    if isinstance(data_type, (T.StringType, T.BinaryType)):
+        size = F.octet_length(col).cast("bigint")
+    elif isinstance(data_type, T.ArrayType):
+        inner = data_type.elementType
+        size = F.size(col).cast("bigint") * 8
+        if not value_is_fixed(inner):
+            size = size + F.aggregate(col, F.lit(0).cast("bigint"), lambda total, x: total + value_bytes(x, inner))
+    elif isinstance(data_type, T.MapType):
+        size = sum((value_bytes(part(col), T.ArrayType(kind)) for part, kind in
+                    ((F.map_keys, data_type.keyType), (F.map_values, data_type.valueType))), F.lit(0).cast("bigint"))
+    elif isinstance(data_type, T.StructType):
+        size = sum((8 + value_bytes(col.getField(f.name), f.dataType) for f in data_type.fields), F.lit(0).cast("bigint"))
+    elif isinstance(data_type, T.VariantType):
+        size = F.octet_length(F.to_json(col)).cast("bigint")
+    else:
+        size = F.lit(0 if value_is_fixed(data_type) else 16).cast("bigint")
+    return F.coalesce(F.when(col.isNotNull(), size), F.lit(0).cast("bigint"))
+
+
+def value_is_fixed(data_type: T.DataType) -> bool:
+    """Whether values of the type fit the eight bytes that every column has in a row."""
+    if isinstance(data_type, T.DecimalType):
+        return data_type.precision <= 18
+    return not isinstance(data_type, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
 def row_hash(columns: list[str]) -> Column:
     """A hash of the whole row: a deterministic salt that splits ties and hot keys the same way on every retry."""
     return F.xxhash64(*[F.col(c) for c in columns])

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, DataFrameWriter, functions as F, types as T
 
 from ..functions.interleave import interleave_code, quantile_bounds
-from ..functions.scalars import row_hash
+from ..functions.scalars import row_hash, value_bytes
 from ..session import planned_bytes
 from ..sources.zones import note_zones
 
@@ -28,8 +28,9 @@ CODECS = ("none", "snappy", "gzip", "lz4", "zstd")
 class Layout:
     """``dist``: ``auto`` (as computed), ``even`` (round robin over ``files``), ``all`` (one file, for tables that are copied
     to every task) or ``key`` (``buckets`` hash buckets of ``key``). Where ``files`` or ``buckets`` are not given, they follow
-    from the size of the data: one per ``FILE_BYTES``. Then an order inside: ``sort`` columns, or ``interleave`` columns with
-    ``bits`` bits each. ``encodings`` maps columns to ``dict``, ``delta`` or ``plain``. ``bloom`` names key columns by whose values
+    from the size of the data: one per ``FILE_BYTES``; files dealt over tasks also hold no more than about ``ROW_BYTES`` of rows.
+    Then an order inside: ``sort`` columns, or ``interleave`` columns with ``bits`` bits each. ``encodings`` maps columns to
+    ``dict``, ``delta`` or ``plain``. ``bloom`` names key columns by whose values
     row groups are left out where neither order nor a dictionary tells: each gets a Bloom filter of up to a megabyte."""
 
     dist: str = "auto"
@@ -83,6 +84,8 @@ def _by_range(df: DataFrame, columns: list, files: int | None) -> DataFrame:
 
 #: Bytes that one file, bucket or range of a layout should hold.
 FILE_BYTES = 256 * 1024 * 1024
+#: Bytes of rows in memory that one task should deal into a file, so that it can sort them there.
+ROW_BYTES = 256 * 1024 * 1024
 #: Most that a table laid out as one file may measure.
 ALL_BYTES = 256 * 1024 * 1024
 
@@ -95,6 +98,23 @@ def pieces_of(df: DataFrame, piece_bytes: int = FILE_BYTES) -> int:
     return max(1, -(-size // piece_bytes))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df`` in memory, in one pass that reads what has no fixed length."""
+    values = [value_bytes(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in df.schema.fields]
+    return df.agg(F.sum(sum(values, F.lit(8 * (1 + len(values))).cast("bigint")))).first()[0] or 0
+
+
+def row_pieces(df: DataFrame) -> int:
+    """How many tasks can each sort their share of ``df`` in memory. What rows take there does not follow from the size of the
+    files they come from, which may be compressed to any degree."""
+    return max(1, -(-row_bytes(df) // ROW_BYTES))
+
+
+def files_of(df: DataFrame) -> int:
+    """How many files to deal ``df`` over, each by one task."""
+    return max(pieces_of(df), row_pieces(df))
+
+
 def _clustered(df: DataFrame, layout: Layout) -> tuple[DataFrame, list]:
     """``df`` with a clustering code if the layout has one, and the columns of its order inside files."""
     if not layout.interleave:
@@ -121,12 +141,12 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     marked, order = _clustered(df, layout)
     if layout.partition_by:
         if layout.files or order:  # ranges cut large partitions into files, and keep each file's share of the order
-            return _by_range(marked, [*layout.partition_by, *order], layout.files or pieces_of(df)).select(*columns)
+            return _by_range(marked, [*layout.partition_by, *order], layout.files or files_of(df)).select(*columns)
         return df.hint("rebalance", *layout.partition_by).sortWithinPartitions(*layout.partition_by)
     if order:
-        return _by_range(marked, order, layout.files or pieces_of(df)).select(*columns)
+        return _by_range(marked, order, layout.files or files_of(df)).select(*columns)
     if layout.dist == "even":
-        return df.repartition(layout.files or pieces_of(df))
+        return df.repartition(layout.files or files_of(df))
     return df
 
 

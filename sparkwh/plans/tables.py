@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.loads import delete_where, upsert
 from ..session import exists, make_folder, new_name, new_path, remove_folder, subfolders
 from ..sources.files import file_sizes
-from .layout import Layout, arrange, pieces_of, writer
+from .layout import Layout, arrange, files_of, pieces_of, writer
 
 #: The column that names the segment of a row, in segmented tables only.
 SEGMENT = "_segment"
@@ -238,7 +238,7 @@ def save_segmented(df: DataFrame, table: str, layout: Layout = Layout(), path: s
 
 
 def _segmented(df: DataFrame, layout: Layout) -> DataFrame:
-    files = layout.files or pieces_of(df)
+    files = layout.files or files_of(df)
     placed = arrange(df, replace(layout, files=files, dist="auto" if layout.sort or layout.interleave else "even"))
     return placed.withColumn(SEGMENT, _new_segment(files, F.spark_partition_id()))
 

@@ -215,6 +215,30 @@ def test_files_follow_the_size_of_the_data(spark):
     assert layout.pieces_of(spark.read.parquet(path).join(spark.read.parquet(small), "id"), 100_000) <= many + few + 1
 
 
+@pytest.mark.parametrize("shape", [Layout(sort=("id",)), Layout(interleave=("id", "v")), Layout(dist="even"),
+                                   Layout(sort=("id",), partition_by=("part",)), "segments"])
+def test_no_task_deals_more_rows_than_it_can_sort(spark, monkeypatch, shape):
+    """Rows that compress to next to nothing still get as many tasks as they need in memory."""
+    path, table = new_path(spark, "wide"), new_name("t")
+    numbers(spark, 4000).withColumns({"part": F.col("id") % 2, "pad": F.repeat(F.lit("x"), 1000)}).write.option("compression", "zstd").parquet(path)
+    df = spark.read.parquet(path)
+    monkeypatch.setattr(layout, "ROW_BYTES", 500_000, raising=False)
+    if shape == "segments":
+        tables.save_segmented(df, table, Layout(sort=("id",)))
+    else:
+        tables.save_table(df, table, shape)
+    per_file = spark.table(table).groupBy("_metadata.file_path").count().agg(F.max("count"), F.sum("count")).first()
+    assert per_file[0] <= 800 and per_file[1] == 4000
+
+
+def test_bytes_of_rows_count_what_is_nested(spark):
+    one = spark.sql("""SELECT 1 AS i, 'abc' AS s, CAST(NULL AS STRING) AS n, array(1, 2) AS a, array('ab', 'c') AS t,
+        map('k', 'vw') AS m, named_struct('x', 'yz', 'w', 2) AS r, CAST(1 AS DECIMAL(38, 0)) AS d""")
+    # 8 columns and a head of 8 bytes each; 3 + 0 + 2 * 8 + (2 * 8 + 3) + (8 + 1 + 8 + 2) + (2 * 8 + 2) + 16 beyond
+    assert layout.row_bytes(one) == 9 * 8 + 3 + 16 + 19 + 19 + 18 + 16
+    assert layout.row_bytes(one.where("i > 1")) == 0 and layout.files_of(one.where("i > 1")) == 1
+
+
 def test_one_file_layout_obeys_or_refuses(spark, monkeypatch):
     path = new_path(spark, "one")
     spark.range(1000).write.parquet(path)
