@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.loads import delete_where
 from ..operators.upkeep import MIN_DELETED, analyze_table
 from ..sources.files import file_sizes
-from .layout import Layout
+from .layout import Layout, row_pieces
 from .tables import location, obeyed, publish, settle
 
 TARGET_FILE_MB = 256
@@ -27,14 +27,15 @@ def table_bytes(spark: SparkSession, table: str) -> tuple[int, int]:
 
 def compact(spark: SparkSession, table: str, layout: Layout = Layout(), deleted: Column | None = None,
             target_file_mb: int = TARGET_FILE_MB) -> None:
-    """Rewrite a table without its deleted rows, in its sort order, as files of about the target size. Partitions and buckets
-    stay as they are; inside a partition, too, files reach the target size."""
+    """Rewrite a table without its deleted rows, in its sort order, as files of about the target size, or of as many rows as a
+    task sorts in memory (``layout.ROW_BYTES``) if these make a smaller file. Partitions and buckets stay as they are; inside a
+    partition, too, files reach that size."""
     settle(spark, table)
     rows, layout = spark.table(table), obeyed(spark, table, layout)
     kept = rows if deleted is None else delete_where(rows, deleted)
     if layout.dist != "key":
         size, _ = table_bytes(spark, table)
-        files = max(1, ceil(size / (target_file_mb * 1024 * 1024)))
+        files = max(ceil(size / (target_file_mb * 1024 * 1024)), row_pieces(kept))
         plain = layout.dist == "auto" and not (layout.sort or layout.interleave or layout.partition_by)
         layout = replace(layout, files=files, dist="even" if plain else layout.dist)
     publish(kept, table, layout)

@@ -216,7 +216,7 @@ def test_files_follow_the_size_of_the_data(spark):
 
 
 @pytest.mark.parametrize("shape", [Layout(sort=("id",)), Layout(interleave=("id", "v")), Layout(dist="even"),
-                                   Layout(sort=("id",), partition_by=("part",)), "segments"])
+                                   Layout(sort=("id",), partition_by=("part",)), "segments", "compact", "compact_parted"])
 def test_no_task_deals_more_rows_than_it_can_sort(spark, monkeypatch, shape):
     """Rows that compress to next to nothing still get as many tasks as they need in memory."""
     path, table = new_path(spark, "wide"), new_name("t")
@@ -225,6 +225,10 @@ def test_no_task_deals_more_rows_than_it_can_sort(spark, monkeypatch, shape):
     monkeypatch.setattr(layout, "ROW_BYTES", 500_000, raising=False)
     if shape == "segments":
         tables.save_segmented(df, table, Layout(sort=("id",)))
+    elif isinstance(shape, str):
+        parts = ("part",) if shape == "compact_parted" else ()
+        tables.save_table(df.coalesce(1), table, Layout(partition_by=parts))
+        upkeep.compact(spark, table, Layout(sort=("id",)))
     else:
         tables.save_table(df, table, shape)
     per_file = spark.table(table).groupBy("_metadata.file_path").count().agg(F.max("count"), F.sum("count")).first()
